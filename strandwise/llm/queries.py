@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, quality_rules, toxicity
+from . import graph_search, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.col("t.n_passages").alias("n_passages"), F.col("t.least_e").alias("least_e"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = ngram_join.near_duplicates(docs, words=3, percent=90)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mixing_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -48,6 +54,25 @@ select doc_id, size, source_size, target, cast(size * (floor(rate) + case when u
 """
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.substring_dedup(docs).withColumnRenamed("id", "doc_id")
+
+
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    _, scorer = quality_model.fit(docs)
+    out = quality_model.quality_scores(docs, scorer, out="score")
+    return out.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = tokens.token_counts(docs)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return out.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out, _ = quality_rules.quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -78,10 +103,21 @@ select page_id, host, cast(len(list_filter(lines, lambda x: trim(x, ' ' || chr(9
 """
 
 
+def op9_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return graph_search.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packing(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_toxicity": op1_toxicity,
-    "op3_mixing": op3_mixing,
-    "op7_quality_rules": op7_quality_rules,
-    "op8_line_dedup": op8_line_dedup,
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_ngram_join, op3_mixing, op4_substring_dedup, op5_quality_model,
+        op6_token_counts, op7_quality_rules, op8_line_dedup, op9_graph_search, op10_packing,
+    )
 }
 ORACLES: dict[str, str] = {"op3_mixing": OP3, "op8_line_dedup": OP8}
