@@ -65,4 +65,4 @@ def mixing(docs: DataFrame, **how) -> DataFrame:
     used = [how.get("source", "source"), how.get("text", "text"), how.get("doc_id", "doc_id")]
     plan = mixing_plan(own.select("_sw_row", *(F.col(f"_sw_row.{c}").alias(c) for c in used)), **how)
     some = plan.where(F.col("copies") > 0)
-    return some.withColumn("_sw_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    return some.withColumn("_sw_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_sw_row.*")
