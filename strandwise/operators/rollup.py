@@ -134,7 +134,7 @@ def level_rows(long: DataFrame, groups: DataFrame, mode: str, by: list[str], rep
     fixed = [F.col(c) for c in (*by, "ctype", "ref")]
     sets = [[*fixed, F.col("seqid")], [*fixed, F.col("seqid"), F.col("ptype")], fixed, [*fixed, F.col("ptype")]]
     rolled = fine.groupingSets(sets, *names_).agg(F.grouping("seqid").alias("_gs"), F.grouping("ptype").alias("_gp"), *sums)
-    wide = counters.wide(rolled, *by, "seqid", "ptype", "ctype", "_gs", "_gp")
+    wide = counters.wide(rolled, *by, "seqid", "ptype", "ctype", "_gs", "_gp").drop("_gs", "_gp")
     if mode == "chimaera":
         seen = long.select(*by, "seqid", "group_id", "ctype").distinct().join(groups, ["seqid", "group_id", "ctype"])
         keys = by

@@ -265,6 +265,12 @@ def unique_and_common(tests: DataFrame, by: list[str], comparison: str, alpha: f
     return s.withColumn("kind", F.when(n == 1, "unique").otherwise("common"))
 
 
+def pearson(x: str, y: str) -> Column:
+    """Pearson's r, null where either side does not vary."""
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.when((F.var_pop(x) > 1e-18) & (F.var_pop(y) > 1e-18), r)
+
+
 # -- correlations --------------------------------------------------------------------------------------------------------
 
 
@@ -274,7 +280,7 @@ def replicate_pearson(rows: DataFrame, section: list[str], uid: str) -> DataFram
     b = valued(rows).select(*section, uid, "grp", "sample", F.col("rep").alias("rep2"), F.col("value").alias("y"))
     key = [*section, "grp", "sample"]
     two = a.join(b, [*key, uid]).where("rep1 < rep2")
-    out = two.groupBy(*key, "rep1", "rep2").agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("pearson_r")).where("n >= 3")
+    out = two.groupBy(*key, "rep1", "rep2").agg(F.count(F.lit(1)).alias("n"), pearson("x", "y").alias("pearson_r")).where("n >= 3")
     df = (F.col("n") - 2).cast("double")
     r = F.col("pearson_r")
     t = F.try_divide(r * F.sqrt(df), F.sqrt(F.greatest(F.lit(0.0), 1 - r * r)))
@@ -286,7 +292,7 @@ def sample_correlation(rows: DataFrame, section: list[str], uid: str) -> DataFra
     live = rows.groupBy(*section, uid).agg(F.count("value").alias("_n")).where("_n > 0").select(*section, uid)
     v = rows.join(live, [*section, uid], "left_semi").select(*section, uid, F.concat_ws("::", "grp", "sample", "rep").alias("s"), F.coalesce("value", F.lit(0.0)).alias("v"))
     a, b = v.select(*section, uid, F.col("s").alias("sample1"), F.col("v").alias("x")), v.select(*section, uid, F.col("s").alias("sample2"), F.col("v").alias("y"))
-    return a.join(b, [*section, uid]).where("sample1 < sample2").groupBy(*section, "sample1", "sample2").agg(F.corr("x", "y").alias("r"))
+    return a.join(b, [*section, uid]).where("sample1 < sample2").groupBy(*section, "sample1", "sample2").agg(pearson("x", "y").alias("r"))
 
 
 def biomarker_correlation(rows: DataFrame, section: list[str], uid: str, k: int = 50) -> DataFrame:
@@ -296,4 +302,4 @@ def biomarker_correlation(rows: DataFrame, section: list[str], uid: str, k: int
     key = [*section, "grp", "sample", "rep"]
     a = v.select(*key, F.col(uid).alias("uid1"), F.col("value").alias("x"))
     b = v.select(*key, F.col(uid).alias("uid2"), F.col("value").alias("y"))
-    return a.join(b, key).where("uid1 < uid2").groupBy(*section, "uid1", "uid2").agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("r"))
+    return a.join(b, key).where("uid1 < uid2").groupBy(*section, "uid1", "uid2").agg(F.count(F.lit(1)).alias("n"), pearson("x", "y").alias("r"))

@@ -130,7 +130,7 @@ LEGACY_NAMES = [p for _, _, p in PAIRS]
 
 
 def _metric(metric: str) -> str:
-    return LONG + f" select sample_idx, seqid, id, pairing, num, cast(den as bigint) as den, round(round_even(cast(num as double) / den, 6), 5) as value from mx where metric = '{metric}' and den >= 2 and num > 0"
+    return LONG + f" select sample_idx, seqid, id, pairing, num, cast(den as bigint) as den, cast(num as double) / den as value from mx where metric = '{metric}' and den >= 2 and num > 0"
 
 
 def _prevalence(samples: float | None, group: float | None) -> str:
@@ -230,10 +230,10 @@ ORACLES: dict[str, str] = {
     "global_ranking": _ctes("tests") + ", c as (select uid, count(distinct section) as t, count(distinct case when padj < 0.05 then section end) as s from fx_tests group by uid) select section, x.uid, comparison, padj, t as n_sections_total, s as n_sections_significant from fx_tests x join c on c.uid = x.uid where test = 'primary'",
     "sig_unique_common": _ctes("tests") + ", s as (select distinct section, uid, comparison from fx_tests where padj < 0.05) select section, uid, comparison, case when count(*) over (partition by section, uid) = 1 then 'unique' else 'common' end as kind from s",
     "sig_levels": _ctes("tests") + "select section, uid, test, comparison, case when padj < 0.05 then 2 when padj < 0.1 then 1 else 0 end as level, round(-log10(greatest(padj, 1e-300)), 6) + 0.0 as score from fx_tests",
-    "replicate_pearson": VALUES + " select a.section, a.grp, a.sample, a.rep as rep1, b.rep as rep2, count(*) as n, round(corr(a.value, b.value), 6) as pearson_r from vals a join vals b on a.section = b.section and a.uid = b.uid and a.grp = b.grp and a.sample = b.sample and a.rep < b.rep where a.value is not null and b.value is not null group by all having count(*) >= 3",
-    "sample_correlation": VALUES + ", l as (select section, uid, grp || '::' || sample || '::' || rep as s, coalesce(value, 0) as v from vals where (section, uid) in (select section, uid from vals group by all having count(value) > 0)) select a.section, a.s as sample1, b.s as sample2, round(corr(a.v, b.v), 6) as r from l a join l b on a.section = b.section and a.uid = b.uid and a.s < b.s group by all",
+    "replicate_pearson": VALUES + " select a.section, a.grp, a.sample, a.rep as rep1, b.rep as rep2, count(*) as n, round(case when var_pop(a.value) > 1e-18 and var_pop(b.value) > 1e-18 then corr(a.value, b.value) end, 6) as pearson_r from vals a join vals b on a.section = b.section and a.uid = b.uid and a.grp = b.grp and a.sample = b.sample and a.rep < b.rep where a.value is not null and b.value is not null group by all having count(*) >= 3",
+    "sample_correlation": VALUES + ", l as (select section, uid, grp || '::' || sample || '::' || rep as s, coalesce(value, 0) as v from vals where (section, uid) in (select section, uid from vals group by all having count(value) > 0)) select a.section, a.s as sample1, b.s as sample2, round(case when var_pop(a.v) > 1e-18 and var_pop(b.v) > 1e-18 then corr(a.v, b.v) end, 6) as r from l a join l b on a.section = b.section and a.uid = b.uid and a.s < b.s group by all",
     "bmk_correlation_top50": VALUES + """, k as (select section, uid from (select section, uid, row_number() over (partition by section order by var_samp(value) desc, uid) as n from vals group by section, uid having var_samp(value) is not null) where n <= 50),
       v as (select vals.* from vals join k on k.section = vals.section and k.uid = vals.uid where value is not null),
-      c as (select a.section, a.uid as uid1, b.uid as uid2, count(*) as n, corr(a.value, b.value) as r from v a join v b on a.section = b.section and a.grp = b.grp and a.sample = b.sample and a.rep = b.rep and a.uid < b.uid group by all)
-      select section, uid1, uid2, n, round(r, 6) as r from c where n >= 6 and not isnan(r)""",
+      c as (select a.section, a.uid as uid1, b.uid as uid2, count(*) as n, case when var_pop(a.value) > 1e-18 and var_pop(b.value) > 1e-18 then corr(a.value, b.value) end as r from v a join v b on a.section = b.section and a.grp = b.grp and a.sample = b.sample and a.rep = b.rep and a.uid < b.uid group by all)
+      select section, uid1, uid2, n, round(r, 6) as r from c where n >= 6 and r is not null""",
 }

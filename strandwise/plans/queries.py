@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import bases, names, pvalues
 from ..operators import counters, hierarchy, interval_join, matrix, multivariate, rollup, sections, stats
 from . import fixtures
+from .store import kept
 
 COV, EDIT = 10, 2
 BY = ["sample_idx"]
@@ -21,13 +22,13 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def tree(spark, d) -> DataFrame:
-    """Kept, as every roll-up joins it several times; Spark finds it again by its plan."""
-    return hierarchy.paths(fixtures.features(spark, d).drop("level")).persist()
+    """Stored, as every roll-up joins it several times."""
+    return kept(hierarchy.paths(fixtures.features(spark, d).drop("level")), "tree")
 
 
 def counts(spark, d) -> DataFrame:
-    """The long counters that all roll-ups share, kept after one pass over the sites."""
-    return rollup.part_counts(fixtures.sites(spark, d), fixtures.features(spark, d).drop("level"), BY, COV, EDIT).persist()
+    """The long counters that all roll-ups share, stored after one pass over the sites."""
+    return kept(rollup.part_counts(fixtures.sites(spark, d), fixtures.features(spark, d).drop("level"), BY, COV, EDIT), "counts")
 
 
 def vectors(df: DataFrame) -> DataFrame:
@@ -118,10 +119,11 @@ def _mode(mode: str) -> Query:
 def _levels(spark, d) -> DataFrame:
     c, t, p = counts(spark, d), tree(spark, d), fixtures.features(spark, d).drop("level")
     out = None
-    for mode in ("all_isoforms", "longest_isoform"):
-        r = rollup.level_rows(*rollup.mode_counts(c, t, mode, BY), mode, BY)
+    for mode in ("all_isoforms", "longest_isoform", "chimaera"):
+        long, groups = rollup.chimaera_counts(fixtures.sites(spark, d), t, p, BY, COV, EDIT) if mode == "chimaera" else rollup.mode_counts(c, t, mode, BY)
+        r = rollup.level_rows(kept(long, mode), kept(groups, mode), mode, BY)
         out = r if out is None else out.unionByName(r)
-    return out.unionByName(rollup.level_rows(*rollup.chimaera_counts(fixtures.sites(spark, d), t, p, BY, COV, EDIT), "chimaera", BY))
+    return out
 
 
 LEVEL = ["sample_idx", "seqid", "id", "ptype", "ctype", "mode", "total_sites", *counters.VECTORS]
@@ -157,8 +159,8 @@ def long_matrix(spark, d, **how) -> DataFrame:
 
 def _metric(metric: str) -> Query:
     def query(spark, d):
-        m = long_matrix(spark, d, min_cov=2, decimals=6).where(F.col("metric") == metric)
-        return m.select("sample_idx", "seqid", "id", "pairing", "num", "den", F.round("value", 5).alias("value")).where("value is not null and num > 0")
+        m = long_matrix(spark, d, min_cov=2, decimals=None).where(F.col("metric") == metric)
+        return m.select("sample_idx", "seqid", "id", "pairing", "num", "den", "value").where("value is not null and num > 0")
 
     return query
 
@@ -235,7 +237,7 @@ def values(spark, d) -> DataFrame:
     f = fixtures.features(spark, d).where("level <= 2").select(F.col("type").alias("section"), F.col("feature_id").alias("uid"))
     m = long_matrix(spark, d, decimals=None, pairings=("AG",)).where("metric = 'espr'").select(F.col("id").alias("uid"), "sample_idx", "value")
     grid = f.crossJoin(F.broadcast(s))  # a dozen samples by construction
-    return grid.join(m, ["uid", "sample_idx"], "left").select("section", "uid", "grp", "sample", "rep", "value")
+    return kept(grid.join(m, ["uid", "sample_idx"], "left").select("section", "uid", "grp", "sample", "rep", "value"), "values")
 
 
 def qc_missing(spark, d):
@@ -263,7 +265,7 @@ def coefficient_variation(spark, d):
 
 
 def varied(spark, d) -> DataFrame:
-    return sections.filtered(values(spark, d), SEC, UID)
+    return kept(sections.filtered(values(spark, d), SEC, UID), "varied")
 
 
 def kruskal_h(spark, d):
@@ -350,7 +352,7 @@ def sample_correlation(spark, d):
 
 
 def bmk_correlation_top50(spark, d):
-    return rounded(stats.biomarker_correlation(values(spark, d), SEC, UID, 50).where("n >= 6 and not isnan(r)"), "r")
+    return rounded(stats.biomarker_correlation(values(spark, d), SEC, UID, 50).where("n >= 6 and r is not null"), "r")
 
 
 def section_membership(spark, d):
