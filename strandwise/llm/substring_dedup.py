@@ -9,8 +9,8 @@ it also starts in a document of a lesser id; windows are judged on the input. Do
 2. The new run is merge-joined with every older run: what occurs in both, or in several documents of the batch, is a hit.
 3. Hits are verified: the windows with a hit's fingerprint, of the batch and of its history's texts, meet by fingerprint,
    and a window (128 bits: fingerprint and an independent hash of all its words) is repeated if a lesser id has it. A
-   fingerprint of more than HOT documents is dealt out over several tasks, each with the least ids of its windows,
-   which are summed before the shuffle.
+   fingerprint of more than HOT documents is dealt out over several tasks, each with the least ids of its repeated
+   windows, which are summed in the tasks that read them.
 4. When a batch comes, runs of one level are compacted two by two into one of the next, so their number stays logarithmic.
 
 Null and empty texts, and texts of fewer words, lose nothing. Rows with a null id lose nothing and are no source. Rows
@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from . import _text
 from ._bloom import among, bitmap, may_have
 from ._runtime import join_small, remove, shared_dir, stored
 
-WORDS, GRAM, BATCHES, HOT = 13, 6, 3, 512
+WORDS, GRAM, BATCHES, HOT = 13, 6, 3, 4096
 #: Windows of one row at most: the bits of its mask.
 RUN = 60
 
@@ -48,9 +50,9 @@ def prints(w: _text.Words, words: int, gram: int) -> np.ndarray:
     return out
 
 
-def signature(hashes: np.ndarray) -> int:
-    """Tells the texts of rows that repeat an id."""
-    return int(np.add.reduce(hashes) >> np.uint64(33)) if len(hashes) else 0
+def signature(words: bytes) -> int:
+    """Tells the texts of rows that repeat an id, by their bytes from the first word to the last."""
+    return zlib.crc32(words)
 
 
 class FingerprintIndex:
@@ -139,7 +141,7 @@ class FingerprintIndex:
                         m = e - a - words + 1
                         if m < 1 or not use[a : a + m].any():
                             continue
-                        f, sig = fp[a : a + m], signature(w.hashes[a:e])
+                        f, sig = fp[a : a + m], signature(w.buf[w.starts[a] : w.ends[e - 1]])
                         cuts = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1], [True])))
                         for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                             if use[a + x]:
@@ -161,10 +163,11 @@ class FingerprintIndex:
             texts = texts.union(history.where("id is not null").select("id", "text", F.lit(False).alias("fresh")))
         rows = texts.mapInArrow(windows, "fp long, id long, fresh boolean, sig long, pos int, keys array<long>")
         hot = stored(hit.where(F.col("n") > HOT).select("fp", F.ceil(F.col("n") / HOT).cast("int").alias("salts")), "hot-prints")
+        kept = None
         if hot.limit(1).count():
-            rows = join_small(rows, hot, "fp")
-            many = rows.where("salts is not null")
-            first = many.select("fp", "salts", "id", F.explode("keys").alias("key")).groupBy("fp", "salts", "key").agg(F.min("id").alias("id"))
+            kept = rows = stored(join_small(rows, hot, "fp"), "windows")  # read twice
+            many = rows.where("salts is not null").select("fp", "salts", "id", "keys").mapInArrow(least_ids, "fp long, salts int, key long, first long, last long")
+            first = many.groupBy("fp", "salts", "key").agg(F.min("first").alias("id"), F.max("last").alias("last")).where("id < last")
             first = first.select("fp", "id", F.lit(False).alias("fresh"), F.lit(0).cast("long").alias("sig"), F.lit(-1).alias("pos"), F.array("key").alias("keys"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
             salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("salts"))).cast("int")
             rows = rows.select("fp", "id", "fresh", "sig", "pos", "keys", salt.alias("salt")).unionByName(first)
@@ -192,35 +195,54 @@ class FingerprintIndex:
                             o.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], ["id", "sig", "pos", "mask"])
 
-        return stored(rows.mapInArrow(repeated, "id long, sig long, pos long, mask long"), "repeated")
-
-
-def _outcome(col: pa.Array, marks: pa.Array | None, words: int) -> list[tuple[int, int, bytes]]:
-    """(words, removed words, kept text) of each text."""
-    out = []
-    given = marks.to_pylist() if marks is not None else [None] * len(col)
-    for w in _text.slices(col):
-        for i, a, e in w.each():
-            n = e - a
-            gone = np.zeros(n, bool)
-            if given[i]:
-                sig = signature(w.hashes[a:e])
-                diff = np.zeros(n + 1, np.int64)
-                for m in given[i]:
-                    if m["sig"] == sig:
-                        mask, p = m["mask"], m["pos"]
-                        while mask:
-                            low = (mask & -mask).bit_length() - 1
-                            diff[p + low] += 1
-                            diff[p + low + words] -= 1
-                            mask &= mask - 1
-                gone = np.cumsum(diff[:n]) > 0
-            keep = np.flatnonzero(~gone)
-            zero = int(w.starts[a]) if n else 0
-            raw = bytes(w.buf[zero : int(w.ends[e - 1])]) if n else b""
-            text = b" ".join(raw[x - zero : y - zero] for x, y in zip(w.starts[a:e][keep].tolist(), w.ends[a:e][keep].tolist(), strict=True))
-            out.append((n, n - len(keep), text))
-    return out
+        out = stored(rows.mapInArrow(repeated, "id long, sig long, pos long, mask long"), "repeated")
+        if kept is not None:
+            remove(kept)
+        return out
+
+
+def least_ids(batches):
+    """Of (fp, salts, id, keys): the least and the greatest id of each window that a task sees, some rows at a time."""
+    seen: dict[tuple[int, int, int], list[int]] = {}
+
+    def rows():
+        cols = [pa.array([k[i] for k in seen], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64()))]
+        cols += [pa.array([v[i] for v in seen.values()], pa.int64()) for i in range(2)]
+        return pa.RecordBatch.from_arrays(cols, ["fp", "salts", "key", "first", "last"])
+
+    for b in batches:
+        fp, salts, ids = (b.column(i).to_pylist() for i in range(3))
+        keys = b.column(3)
+        flat, at = keys.flatten().to_pylist(), np.append(0, np.cumsum(keys.value_lengths().to_numpy())).tolist()
+        for r, d in enumerate(ids):
+            for k in flat[at[r] : at[r + 1]]:
+                v = seen.setdefault((fp[r], salts[r], k), [d, d])
+                if d < v[0]:
+                    v[0] = d
+                elif d > v[1]:
+                    v[1] = d
+        if len(seen) > 200_000:
+            yield rows()
+            seen.clear()
+    yield rows()
+
+
+def _outcome(text: bytes, marks: list | None, width: int) -> tuple[int, int, bytes]:
+    """Words, removed words and the kept ones joined by a space. bytes.split() knows the same separators as the pattern."""
+    words = text.split()
+    n = len(words)
+    if marks:
+        sig, diff = signature(text.strip()), np.zeros(n + 1, np.int64)
+        for m in marks:
+            if m["sig"] == sig:
+                mask, p = m["mask"], m["pos"]
+                while mask:
+                    low = (mask & -mask).bit_length() - 1
+                    diff[p + low] += 1
+                    diff[p + low + width] -= 1
+                    mask &= mask - 1
+        words = list(compress(words, (np.cumsum(diff[:n]) == 0).tolist()))
+    return n, n - len(words), b" ".join(words)
 
 
 def substring_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, gram: int = GRAM, batches: int = BATCHES, texts: bool = False) -> DataFrame:
@@ -240,7 +262,8 @@ def substring_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     names = ["n_words", "n_removed", "kept_sha256", *(["kept_text"] if texts else [])]
 
     def result(col: pa.Array, given: pa.Array | None) -> pa.Array:
-        got = _outcome(col, given, words)
+        marked = given.to_pylist() if given is not None else repeat(None)
+        got = [_outcome((t.as_py() or "").encode(), m, words) for t, m in zip(col, marked, strict=False)]
         cols = [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([hashlib.sha256(g[2]).hexdigest() for g in got], pa.string())]
         if texts:
             cols.append(pa.array([g[2].decode() for g in got], pa.string()))
