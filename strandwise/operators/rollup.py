@@ -172,16 +172,16 @@ def all_sites_rows(sites: DataFrame, seqids: DataFrame, by: list[str], cov: int
     return _report(rows, by, report_all)
 
 
-def report(sites: DataFrame, parts: DataFrame, by: list[str], cov: int = 1, edit: int = 1, report_all: bool = False, runs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """All feature rows and all aggregate rows of a set of samples."""
-    tree = hierarchy.paths(parts)
-    counts = part_counts(sites, parts, by, cov, edit)
-    chim, unions = chimaera_counts(sites, tree, parts, by, cov, edit)
-    out = [mode_rows(counts, tree, "feature", by, report_all), _report(_group_rows(chim, unions, "chimaera", by, total=True), by, report_all)]
-    for mode in ("longest_isoform", "all_isoforms"):
-        long, groups = mode_counts(counts, tree, mode, by)
-        out += [_report(_group_rows(long, groups, mode, by), by, report_all), level_rows(long, groups, mode, by, report_all)]
-    out += [level_rows(chim, unions, "chimaera", by, report_all), all_sites_rows(sites, parts, by, cov, edit, report_all)]
+def report(sites: DataFrame, parts: DataFrame, by: list[str], cov: int = 1, edit: int = 1, report_all: bool = False, runs: DataFrame | None = None, keep=None) -> tuple[DataFrame, DataFrame]:
+    """All feature rows and all aggregate rows of a set of samples. keep(table, name), such as plans.store.kept, stores what is used several times."""
+    keep = keep or (lambda df, name: df)
+    tree = keep(hierarchy.paths(parts), "tree")
+    counts = keep(part_counts(sites, parts, by, cov, edit), "counts")
+    out = [mode_rows(counts, tree, "feature", by, report_all), all_sites_rows(sites, parts, by, cov, edit, report_all)]
+    for mode in ("longest_isoform", "all_isoforms", "chimaera"):
+        long, groups = chimaera_counts(sites, tree, parts, by, cov, edit) if mode == "chimaera" else mode_counts(counts, tree, mode, by)
+        long, groups = keep(long, mode), keep(groups, mode)
+        out += [_report(_group_rows(long, groups, mode, by, total=mode == "chimaera"), by, report_all), level_rows(long, groups, mode, by, report_all)]
     return feature_rows(counts, tree, parts, by, report_all, runs), reduce(DataFrame.unionByName, out)
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandwise.functions import bases, names, pvalues
+from strandwise.plans.store import kept
 from strandwise.operators import counters, hierarchy, interval_join, matrix, rollup, sections, stats
 from strandwise.sources import gff3, site_tables, sinks, tables
 
@@ -88,7 +89,7 @@ def test_interval_bounds_and_strands(spark):
 
 def test_report(spark):
     s = sites(spark, [("c", x, 1, 0, 9, 9, 0, 0, 0) for x in (5, 22, 27, 50)] + [("c", 60, 0, 0, 9, 9, 0, 0, 0), ("z", 5, 1, 0, 9, 9, 0, 0, 0)])
-    feats, aggs = rollup.report(s, parts(spark, GENOME), [], 1, 1)
+    feats, aggs = rollup.report(s, parts(spark, GENOME), [], 1, 1, keep=kept)
     n = {(r.id, r.parent_ids): r.obs_A for r in feats.collect()}
     assert n[("g1", ".")] == 4 and n[("e2", ".,g1,t1")] == 2 and n[("e2", ".,g1,t2")] == 2 and ("g2", ".") not in n
     a = {(r.id, r.ctype): r for r in aggs.collect()}
@@ -101,14 +102,14 @@ def test_report(spark):
 
 def test_feature_mode_sums_to_all_isoforms(spark):
     s = sites(spark, [("c", x, 1, x % 4, 9, 3, 2, 2, 2) for x in range(100)])
-    _, aggs = rollup.report(s, parts(spark, GENOME), [], 1, 1)
+    _, aggs = rollup.report(s, parts(spark, GENOME), [], 1, 1, keep=kept)
     rows = aggs.where("type = 'feature' and ctype = 'exon'").collect()
     of = lambda mode: sum(r.read_AG for r in rows if r["mode"] == mode)
     assert of("feature") == of("all_isoforms") >= of("longest_isoform") and of("chimaera") <= of("all_isoforms")
 
 
 def test_report_all_has_zero_rows(spark):
-    feats, _ = rollup.report(sites(spark, [("c", 5, 1, 0, 9, 9, 0, 0, 0)]), parts(spark, GENOME), [], 1, 1, report_all=True)
+    feats, _ = rollup.report(sites(spark, [("c", 5, 1, 0, 9, 9, 0, 0, 0)]), parts(spark, GENOME), [], 1, 1, report_all=True, keep=kept)
     assert feats.count() == len(GENOME) and feats.where("id = 'g2' and obs_A = 0").count() == 1
 
 
@@ -196,7 +197,8 @@ def test_gff(spark, tmp_path):
 
 def test_report_round_trip(spark, tmp_path):
     s = sites(spark, [("c", x, 1, 0, 9, 5, 0, 4, 0) for x in (5, 22)])
-    feats, aggs = rollup.report(s, parts(spark, GENOME), [], 1, 1)
+    feats, aggs = rollup.report(s, parts(spark, GENOME), [], 1, 1, keep=kept)
+    feats, aggs = kept(feats, "f"), kept(aggs, "a")
     sinks.write_report(aggs, str(tmp_path / "a"))
     back = tables.read_report(spark, str(tmp_path / "a"))
     cols = ["seqid", "id", "ctype", "start", "total_sites", "read_AG"]
