@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,5 +59,8 @@ def join_small(left: DataFrame, small: DataFrame, key: str, how: str = "left", r
     return salted.join(other, on, how).drop("_sw_key", "_sw_salt", "_sw_salt2")
 
 
-def python_bool(x) -> bool:
-    return bool(x)
+def release() -> None:
+    """Give freed memory of a Python worker back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)

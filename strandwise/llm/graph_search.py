@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._runtime import stored
+from ._runtime import release, stored
 
 SHARD, DEGREE, BEAM, ALPHA, BLOCK = 4000, 32, 96, 1.2, 256
 #: Rows of a group of equal vectors that are gathered in one step, about.
@@ -163,6 +163,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, vec_id: str
         g = Graph(v)
         kind = pa.list_(pa.int64())
         edges = pa.ListArray.from_arrays(pa.array(np.arange(0, g.edges.size + 1, g.degree, dtype=np.int32)), pa.array(g.edges.ravel())).cast(kind)
+        release()
         return pa.table({"shard": rows["shard"], "node": pa.array(np.arange(len(v)), pa.int64()), "ids": rows["ids"], "v": rows["v"], "edges": edges})
 
     graphs = nodes.withColumn("first", F.col("ids")[0]).groupBy("shard").applyInArrow(build, "shard int, node long, ids array<long>, v array<double>, edges array<long>")
@@ -207,6 +208,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 20, vec_id: str
                     found.append(np.stack([np.full(len(top), own[a + i]), out_ids[top]], 1))
                     scores.append(out_s[top])
         pairs, s = np.concatenate(found), np.concatenate(scores)
+        release()
         return pa.table({"query_id": pairs[:, 0], "vec_id": pairs[:, 1], "score": s})
 
     near = copies.groupBy("shard", "block").cogroup(each.groupBy("shard", "block")).applyInArrow(ask, "query_id long, vec_id long, score double")
