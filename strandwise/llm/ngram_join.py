@@ -8,13 +8,15 @@ shortest lists, must hold a common element. Lists are ordered by the count of th
 good guess of their length; any common order is right).
 
 1. The prefix postings are grouped by element; lists of one document end there. A list's least document is its leader.
-2. Documents that share a leader meet in chunks of about CHUNK (the leader is in each). In a chunk DivideSkip finds all links: a
-   heap merges a query's short lists, long ones are probed by binary search, and who reaches T is counted exactly.
-3. Chunks of one leader never met each other: where a list of such a leader joins different components, the pairs across
-   them are compared too, without those that the triangle inequality of the Jaccard distance to the leader excludes. Pairs
-   within a component need no comparison. So no link between different components is lost, and large groups of near copies
-   cost links in proportion to their size.
-4. Components come from the links in Spark. Exact copies (equal sets) are one node throughout.
+2. Documents that share a leader meet in chunks of about CHUNK (the leader is in each), first with their prefixes only.
+   Prefixes longer by EXTRA hundredths must share as many elements more, so DivideSkip over a chunk (a heap merges a query's
+   short lists, long ones are probed by binary search) finds who can be linked; the rest leaves.
+3. Those connected in this way meet again, with whole texts, and the same search finds and counts the links. Pairs that are
+   connected already need no comparison, so a large group of near copies costs about its size.
+4. Chunks of one leader never met each other: who is in such a group and not connected with its leader meets each of its
+   chunks, again first with prefixes and then, where candidates are not connected yet, with whole texts. So no link
+   between different components is lost.
+5. Components come from the links in Spark. Exact copies (equal sets) are one node throughout.
 
 Elements are 64-bit hashes; equal sets are told by size and two 64-bit sums. Rows with a null id take no part (component
 null). Rows that repeat an id are one node. Empty tables give empty results. Extra columns are not touched.
@@ -23,6 +25,7 @@ null). Rows that repeat an id are one node. Empty tables give empty results. Ext
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
@@ -36,8 +39,10 @@ from ._runtime import join_small, remove, stored
 from .components import components
 
 WORDS, PERCENT = 5, 80
+#: Hundredths of a set that its prefix has beyond the plain one.
+EXTRA = 5
 #: Documents that meet in one chunk, about.
-CHUNK = 256
+CHUNK = 64
 SKETCH_BITS = 16
 #: DivideSkip's weight of a probe against a merge step.
 MU = 0.0085
@@ -56,9 +61,19 @@ def element_sets(w: _text.Words, k: int):
 
 
 def required(n: int, percent: int) -> int:
+    """Common elements that a set of n must have with any it is linked to."""
     return (percent * n + 99) // 100
 
 
+def extra(n: int) -> int:
+    """Common elements that two prefixes of this length beyond the plain one must have."""
+    return 1 + n * EXTRA // 100
+
+
+def prefix_size(n: int, percent: int) -> int:
+    return n - required(n, percent) + extra(n) if n else 0
+
+
 def list_lengths(docs: DataFrame, text: str, k: int) -> np.ndarray:
     """How many shingles fall in each of 2**SKETCH_BITS hash buckets: a table of fixed size over all texts."""
 
@@ -89,7 +104,7 @@ def sets(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataF
                     n.append(len(s))
                     sums.append((_text.mix(s).sum(), _text.mix(~s).sum()))
                     order = np.lexsort((s, cast.value[(s >> shift).astype(np.int64)]))
-                    prefix.append(s[order[: len(s) - required(len(s), percent) + 1]].view(np.int64) if len(s) else s.view(np.int64))
+                    prefix.append(s[order[: prefix_size(len(s), percent)]].view(np.int64))
             at = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
             flat = np.concatenate(prefix) if prefix else np.zeros(0, np.int64)
             s2 = np.array(sums, np.uint64).reshape(-1, 2).view(np.int64)
@@ -100,27 +115,32 @@ def sets(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataF
 
 
 class Index:
-    """Inverted lists over the sets of a chunk, and DivideSkip's search in them."""
+    """Inverted lists over the sets of a chunk, and DivideSkip's search in them. Lists of one document hold no link and are left out."""
 
     def __init__(self, found: list[np.ndarray]):
         self.sets = found
+        sizes = [len(s) for s in found]
+        self.begin = np.concatenate(([0], np.cumsum(sizes)))
         values = np.concatenate(found)
-        owner = np.repeat(np.arange(len(found)), [len(s) for s in found])
         order = np.argsort(values, kind="stable")  # owners ascend within a list
-        self.tokens, first = np.unique(values[order], return_index=True)
+        self.tokens, first, count = np.unique(values[order], return_index=True, return_counts=True)
         self.at = np.append(first, len(values))
-        self.owners = owner[order]
-
-    def search(self, q: int, percent: int, wanted) -> list[tuple[int, int]]:
-        """(document, intersection) of all wanted documents with required() elements of q."""
-        mine = self.sets[q]
-        t = required(len(mine), percent)
-        where = np.searchsorted(self.tokens, mine)
-        lengths = self.at[where + 1] - self.at[where]
+        self.owners = np.repeat(np.arange(len(found)), sizes)[order]
+        self.lengths = np.empty(len(values), np.int64)
+        self.lengths[order] = np.repeat(count, count)
+
+    def search(self, q: int, t: int, wanted) -> list[tuple[int, int]]:
+        """(document, intersection) of all wanted documents with t elements of q or more."""
+        lengths = self.lengths[self.begin[q] : self.begin[q + 1]]
+        use = lengths > 1
+        if np.count_nonzero(use) < t:
+            return []
+        mine, lengths = self.sets[q][use], lengths[use]
         order = np.argsort(lengths, kind="stable")
-        skip = min(t - 1, int(t / (MU * np.log2(max(2, lengths.max())) + 1)))
-        short, long = where[order[: len(order) - skip]], mine[order[len(order) - skip :]]
-        merged = heapq.merge(*(self.owners[self.at[x] : self.at[x + 1]].tolist() for x in short.tolist()))
+        skip = min(t - 1, int(t / (MU * np.log2(lengths.max()) + 1)))
+        short, long = mine[order[: len(order) - skip]], mine[order[len(order) - skip :]]
+        where = np.searchsorted(self.tokens, short)
+        merged = heapq.merge(*(self.owners[self.at[x] : self.at[x + 1]].tolist() for x in where.tolist()))
         found = []
         for d, same in groupby(merged):
             n = sum(1 for _ in same)
@@ -134,8 +154,12 @@ class Index:
         return found
 
 
-def chunk_links(ids: list[int], found: list[np.ndarray], percent: int) -> list[int]:
-    """The least id that each document of a chunk reaches by links within it."""
+def chunk_links(ids: list[int], found: list[np.ndarray], needed, linked, known: list[int] | None = None) -> list[int]:
+    """The least id that each document of a chunk reaches by links within it.
+
+    needed(q): common elements that any link of q has; linked(q, d, n): whether n common ones are a link. known: labels of what
+    is connected already; then only documents outside the first one's part search.
+    """
     root = list(range(len(ids)))
 
     def top(i: int) -> int:
@@ -144,12 +168,20 @@ def chunk_links(ids: list[int], found: list[np.ndarray], percent: int) -> list[i
             i = root[i]
         return i
 
-    index, left = Index(found), len(ids)
-    for q in range(len(ids)):
+    left, queries = len(ids), range(len(ids))
+    if known is not None:
+        first: dict[int, int] = {}
+        for i, x in enumerate(known):
+            if first.setdefault(x, i) != i:
+                root[i] = first[x]
+                left -= 1
+        queries = [i for i, x in enumerate(known) if x != known[0]]
+    index = Index(found) if left > 1 else None
+    for q in queries:
         if left == 1:
             break
-        for d, n in index.search(q, percent, lambda d, q=q: top(d) != top(q)):
-            if 100 * n >= percent * (len(found[q]) + len(found[d]) - n) and top(d) != top(q):
+        for d, n in index.search(q, needed(q), lambda d, q=q: top(d) != top(q)):
+            if top(d) != top(q) and linked(q, d, n):
                 root[top(d)] = top(q)
                 left -= 1
     least: dict[int, int] = {}
@@ -158,50 +190,103 @@ def chunk_links(ids: list[int], found: list[np.ndarray], percent: int) -> list[i
     return [least[top(i)] for i in range(len(ids))]
 
 
-def compared(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, k: int, percent: int, name: str) -> DataFrame:
-    """Of pairs (id, leader): stored rows id, leader, root (least id linked within the chunk), common (with the leader), n, m."""
-    pairs = stored(pairs.where("id <> leader").distinct(), name + "-pairs")
-    hot = stored(pairs.groupBy("leader").count().where(F.col("count") > CHUNK).select("leader", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")), name + "-hot")
+def meetings(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Stored rows (id, leader, chunk) of pairs (id, leader), the leader in each of its chunks, and the leaders of several chunks."""
+    pairs = pairs.where("id <> leader")
+    several = pairs.groupBy("leader").count().where(F.col("count") > CHUNK)
+    hot = stored(several.select("leader", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")), name + "-hot")
     split = join_small(pairs, hot, "leader")
     rows = split.select("id", "leader", F.when(F.col("chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("chunks"))).cast("int").alias("chunk"))
-    single = pairs.select("leader").distinct().join(hot, "leader", "left")
-    heads = single.select(F.col("leader").alias("id"), "leader", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1)).alias("chunk"))
-    rows = stored(rows.union(heads), name + "-rows")
+    heads = join_small(pairs.select("leader").distinct(), hot, "leader")
+    heads = heads.select(F.col("leader").alias("id"), "leader", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1)).alias("chunk"))
+    return stored(rows.union(heads), name), hot
+
+
+def grouped(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """rows dealt out by chunk, each chunk's leader first."""
+    return rows.select("leader", "chunk", "id", *columns).repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", F.col("id") != F.col("leader"), "id")
+
+
+LINKS = "id long, root long, leader long, chunk long"
+
+
+def roots(keys: Iterator[tuple[tuple, int, tuple]], finish) -> Iterator[pa.RecordBatch]:
+    """(id, root, leader, chunk) of each chunk in a stream of ((leader, chunk), id, payload); finish(ids, payloads) gives the roots."""
+    out: list[list[int]] = [[], [], [], []]
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["id", "root", "leader", "chunk"])
+
+    for key, rows in groupby(keys, key=lambda x: x[0]):
+        got = list(rows)
+        if len(got) > 1:
+            ids = [x[1] for x in got]
+            for i, r in zip(ids, finish(ids, [x[2] for x in got]), strict=True):
+                if i != r:
+                    for o, v in zip(out, (i, r, *key), strict=True):
+                        o.append(v)
+        if len(out[0]) > 10_000:
+            yield batch()
+            out = [[], [], [], []]
+    yield batch()
+
+
+def candidates(rows: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Stored (id, root, leader, chunk): documents of a chunk whose prefixes have enough in common to be linked, and the least of those connected so.
+
+    A link has extra() common elements in the two prefixes, that of the smaller set; elements are folded to 32 bits.
+    """
     bits = bitmap(rows.select("id").distinct(), "id")
-    texts = docs.select(F.col(doc_id).cast("long").alias("_sw_id"), F.col(text).alias("text"))
-    texts = texts.where(among(texts, "_sw_id", bits))
-    full = rows.join(texts, rows["id"] == texts["_sw_id"]).select("leader", "chunk", "id", "text")
-    full = full.repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", F.col("id") != F.col("leader"), "id")
+    few = found.where(among(found, "id", bits))
 
-    def links(batches):
-        key, ids, found = None, [], []
+    def fold(batches):
+        for b in batches:
+            p = b.column(2)
+            at = np.concatenate(([0], np.cumsum(p.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int32)
+            flat = (p.flatten().to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["_id", "n", "p"])
 
-        def done():
-            roots = chunk_links(ids, found, percent)
-            head = found[0]
-            common = [len(np.intersect1d(head, s, assume_unique=True)) for s in found]
-            cols = [ids, [key[0]] * len(ids), roots, common, [len(s) for s in found], [len(head)] * len(ids)]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "leader", "root", "common", "n", "m"])
+    few = few.select("id", "n", "prefix").mapInArrow(fold, "_id long, n long, p array<int>")
+    full = grouped(rows.join(few, rows["id"] == few["_id"]), ["n", "p"])
 
+    def stream(batches):
         for b in batches:
-            keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-            own = b.column(2).to_pylist()
-            for w in _text.slices(b.column(3), table=_text.LOWER):
+            p = b.column("p")
+            flat, at = p.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(p.value_lengths().to_numpy(zero_copy_only=False))).tolist()
+            cols = [b.column(c).to_pylist() for c in ("leader", "chunk", "id", "n")]
+            for i, (leader, chunk, x, n) in enumerate(zip(*cols, strict=True)):
+                yield (leader, chunk), x, (n, np.unique(flat[at[i] : at[i + 1]]))
+
+    def finish(ids, payloads):
+        n, s = [x[0] for x in payloads], [x[1] for x in payloads]
+        lost = [extra(x) - (prefix_size(x, percent) - len(y)) for x, y in payloads]  # elements that fell together when folded
+        return chunk_links(ids, s, lambda q: max(1, extra(required(n[q], percent)) - (extra(n[q]) - lost[q])), lambda q, d, c: c >= min(lost[q], lost[d]))
+
+    return stored(full.mapInArrow(lambda batches: roots(stream(batches), finish), LINKS), "candidates")
+
+
+def compared(rows: DataFrame, docs: DataFrame, text: str, doc_id: str, k: int, percent: int, name: str, known: bool = False) -> DataFrame:
+    """Stored links (id, root, leader, chunk) of chunks, from whole texts. known: rows also have a label of what is connected already."""
+    bits = bitmap(rows.select("id").distinct(), "id")
+    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text"))
+    texts = texts.where(among(texts, "_id", bits))
+    full = grouped(rows.join(texts, rows["id"] == texts["_id"]), ["text", *(["label"] if known else [])])
+
+    def stream(batches):
+        for b in batches:
+            cols = [b.column(c).to_pylist() for c in ("leader", "chunk", "id")]
+            label = b.column("label").to_pylist() if known else None
+            for w in _text.slices(b.column("text"), table=_text.LOWER):
                 for i, s in element_sets(w, k):
-                    if keys[i] != key:
-                        if len(ids) > 1:
-                            yield done()
-                        key, ids, found = keys[i], [], []
                     if len(s):
-                        ids.append(own[i])
-                        found.append(s)
-        if len(ids) > 1:
-            yield done()
-
-    out = stored(full.mapInArrow(links, "id long, leader long, root long, common long, n long, m long"), name)
-    for x in (pairs, rows):
-        remove(x)
-    return out
+                        yield (cols[0][i], cols[1][i]), cols[2][i], (s, label[i] if known else 0)
+
+    def finish(ids, payloads):
+        s = [x[0] for x in payloads]
+        link = lambda q, d, n: 100 * n >= percent * (len(s[q]) + len(s[d]) - n)
+        return chunk_links(ids, s, lambda q: required(len(s[q]), percent), link, [x[1] for x in payloads] if known else None)
+
+    return stored(full.mapInArrow(lambda batches: roots(stream(batches), finish), LINKS), name)
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -211,38 +296,44 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     node = stored(full.groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "classes")
 
     # 1. lists of two documents or more, and their leaders
-    posting = full.select("id", F.explode("prefix").alias("token"))
-    heads = posting.groupBy("token").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").select("token", "leader")
-    heads = stored(heads, "list-heads")
+    plain = F.slice("prefix", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    short = full.select("id", "n", "a", "b", plain.alias("prefix"))
+    heads = short.select("id", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
+    heads = stored(heads.where("leader < last").select("token"), "shared-lists")
     cast = docs.sparkSession.sparkContext.broadcast(bitmap(heads, "token"))
 
     def shared(batches):
         for b in batches:
             p = b.column(3)
-            flat, at = p.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(np.diff(p.offsets.to_numpy()))))
+            flat, each = p.flatten().to_numpy(zero_copy_only=False), p.value_lengths().to_numpy(zero_copy_only=False)
             use = may_have(cast.value, flat)
-            row = np.repeat(np.arange(len(b)), np.diff(at))[use]
-            yield pa.RecordBatch.from_arrays([b.column(i).take(pa.array(row)) for i in range(3)] + [pa.array(flat[use])], ["n", "a", "b", "token"])
+            row = pa.array(np.repeat(np.arange(len(b)), each)[use])
+            yield pa.RecordBatch.from_arrays([b.column(i).take(row) for i in range(3)] + [pa.array(flat[use])], ["n", "a", "b", "token"])
 
-    posting = full.select("n", "a", "b", "prefix").mapInArrow(shared, "n long, a long, b long, token long")
+    posting = short.select("n", "a", "b", "prefix").mapInArrow(shared, "n long, a long, b long, token long")
     key = lambda x, y: (x["n"] == y["n"]) & (x["a"] == y["a"]) & (x["b"] == y["b"])
     posting = posting.dropDuplicates(["token", "n", "a", "b"])  # copies are one node, summed before the shuffle
     posting = stored(posting.join(node, key(posting, node)).select("token", "rep"), "postings")
+    remove(heads)
     leaders = posting.groupBy("token").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("token", "leader")
-    lists = posting.join(stored(leaders, "leaders"), "token").select("token", F.col("rep").alias("id"), "leader")
-    lists = stored(lists, "lists")
+    leaders = stored(leaders, "leaders")
+    pairs = stored(posting.join(leaders, "token").select(F.col("rep").alias("id"), "leader").distinct(), "meetings")
     remove(posting)
-    remove(heads)
+    remove(leaders)
 
-    # 2. and 3. links within chunks, then across
-    near = compared(lists.select("id", "leader"), docs, text, doc_id, words, percent, "near")
-    links = near.where("root <> id").select(F.col("id").alias("a"), F.col("root").alias("b"))
+    # 2. who can be linked, by prefixes; 3. who is, by whole sets
+    first, hot1 = meetings(pairs, "first")
+    second = stored(candidates(first, full, percent).select("id", F.col("root").alias("leader")).distinct(), "second")
+    rows, hot2 = meetings(second, "rows")
+    links = compared(rows, docs, text, doc_id, words, percent, "links").select(F.col("id").alias("a"), F.col("root").alias("b"))
     label = components(links)
-    hot = stored(near.groupBy("leader").count().where(F.col("count") > CHUNK).select("leader", F.lit(1).alias("hot")), "hot-leaders")
-    if hot.limit(1).count():
-        across = _across(lists, near, hot, label, percent)
-        more = compared(across, docs, text, doc_id, words, percent, "across").where("root <> id")
-        label = components(links.union(more.select(F.col("id").alias("a"), F.col("root").alias("b"))))
+
+    # 4. across the chunks of one leader
+    again = join_small(pairs, hot1, "leader", "inner").union(join_small(second, hot2, "leader", "inner").select("id", "leader", "chunks")).where("id <> leader")
+    if hot1.union(hot2).limit(1).count():
+        some = candidates(_across(again, label), full, percent)
+        more = compared(_open(some, label), docs, text, doc_id, words, percent, "across", known=True)
+        label = components(links.union(more.select(F.col("id").alias("a"), F.col("root").alias("b"))).union(label.select("id", "label")))
     top = stored(node.join(label, node["rep"] == label["id"], "left").select("n", "a", "b", F.coalesce("label", "rep").alias("component")), "components")
     rows = found.select("id", "n", "a", "b")
     out = rows.join(top.withColumnsRenamed({"n": "_n", "a": "_a", "b": "_b"}), (rows["n"] == F.col("_n")) & (rows["a"] == F.col("_a")) & (rows["b"] == F.col("_b")), "left")
@@ -250,26 +341,29 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component"))
 
 
-def _across(lists: DataFrame, near: DataFrame, hot: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs (id, leader) of documents that share a list of a leader with several chunks, in different components."""
-    rows = join_small(lists, hot, "leader", "inner").select("token", "id", "leader")
-    seen = near.groupBy(F.col("id").alias("_id"), F.col("leader").alias("_leader")).agg(F.max("common").alias("common"), F.max("n").alias("n"), F.max("m").alias("m"))
-    seen = stored(seen, "distances")
-    rows = rows.join(seen, (rows["id"] == F.col("_id")) & (rows["leader"] == F.col("_leader")), "left").drop("_id", "_leader")
-    rows = rows.withColumn("far", 1 - F.col("common") / (F.col("n") + F.col("m") - F.col("common")))
-    rows = rows.join(label, "id", "left").select("token", "id", "n", "far", F.coalesce("label", "id").alias("part"))
-    rows = stored(rows, "hot-lists")
-    parts = rows.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token")
-    rows = stored(rows.join(stored(parts, "mixed"), "token"), "mixed-lists")
-    kinds = stored(rows.select("token", "part").distinct(), "mixed-parts")
-    other = kinds.select(F.col("token").alias("_t"), F.col("part").alias("_p"))
-    ways = stored(kinds.join(other, (kinds["token"] == other["_t"]) & (kinds["part"] < other["_p"])).select("token", "part", "_p"), "ways")
-    one = rows.join(ways, ["token", "part"]).select("token", F.col("_p").alias("part"), F.col("id").alias("x"), F.col("n").alias("nx"), F.col("far").alias("fx"))
-    two = one.join(rows, ["token", "part"])
-    gap = F.abs(F.col("fx") - F.col("far")) > 1 - percent / 100 + 1e-9
-    sizes = (100 * F.col("nx") < percent * F.col("n")) | (100 * F.col("n") < percent * F.col("nx"))
-    two = two.where(~F.coalesce(gap, F.lit(False)) & ~F.coalesce(sizes, F.lit(False)))
-    return two.select(F.greatest("x", "id").alias("id"), F.least("x", "id").alias("leader"))
+def _across(again: DataFrame, label: DataFrame) -> DataFrame:
+    """Stored rows (id, leader, chunk, label): leaders of several chunks meet all theirs again, and who is not connected with the leader is in each chunk."""
+    again = again.groupBy("id", "leader").agg(F.max("chunks").alias("chunks"))
+    heads = again.groupBy("leader").agg(F.max("chunks").alias("chunks")).select(F.col("leader").alias("id"), "leader", "chunks")
+    rows = again.union(heads)
+    rows = stored(rows.join(label, "id", "left").select("id", "leader", "chunks", F.coalesce("label", "id").alias("label")), "again")
+    main = stored(rows.where("id = leader").select("leader", F.col("label").alias("main"), F.col("chunks").alias("all")), "mains")
+    rows = join_small(rows, main, "leader", "inner")
+    rest = stored(rows.where("label <> main").select("leader").distinct(), "open-leaders")
+    rows = join_small(rows, rest.withColumn("open", F.lit(True)), "leader", "inner")
+    every = F.sequence(F.lit(0), F.col("all") - 1)
+    one = F.array(F.pmod(F.xxhash64("id"), F.col("all")).cast("int"))
+    where = F.when((F.col("label") != F.col("main")) | (F.col("id") == F.col("leader")), every).otherwise(one)
+    return stored(rows.select("id", "leader", F.explode(where).alias("chunk"), "label"), "across-rows")
+
+
+def _open(some: DataFrame, label: DataFrame) -> DataFrame:
+    """Stored rows (id, leader, chunk, label) of the candidates of a chunk, where they are not all connected yet. A chunk's candidates stay together."""
+    rows = some.select("id", F.col("root").alias("leader"), F.xxhash64("leader", "chunk").alias("chunk"))
+    rows = rows.union(rows.select(F.col("leader").alias("id"), "leader", "chunk").distinct())
+    rows = stored(rows.join(label, "id", "left").select("id", "leader", "chunk", F.coalesce("label", "id").alias("label")), "open-rows")
+    mixed = rows.groupBy("leader", "chunk").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("leader", "chunk")
+    return stored(rows.join(stored(mixed, "open-chunks"), ["leader", "chunk"]).select("id", "leader", "chunk", "label"), "open")
 
 
 def deduplicated(docs: DataFrame, *, doc_id: str = "doc_id", **how) -> DataFrame:
