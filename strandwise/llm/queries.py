@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import graph_search, line_dedup, mixing, ngram_join, packing, quality_model, quality_rules, substring_dedup, tokens, toxicity
+from ._runtime import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = line_dedup.page_lines(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "text")
+    pages = stored(pages, "page-lines")  # three scans need the text, the patterns run once
     out = line_dedup.line_dedup(pages, host="host", doc_id="page_id", counts=True)
     return out.select("page_id", "host", "n_lines", "n_dropped", F.md5("text").alias("kept_md5"))
 
