@@ -174,6 +174,7 @@ ORACLES: dict[str, str] = {
     "feature_counts": _ctes(*FC) + f"select sample_idx, t.seqid, t.path as parent_ids, t.feature_id as id, t.type, cast(start0 + 1 as bigint) as start, cast(end0 as bigint) as \"end\", t.strand, cast(end0 - start0 as bigint) as total_sites, {VECTORS} from fc join tree t on t.seqid = fc.seqid and t.feature_id = fc.feature_id where {QUALIFIED} > 0",
     "feature_counts_report_all": _ctes(*FC, "samples") + f"select s.sample_idx, t.seqid, t.feature_id as id, cast(end0 - start0 as bigint) as total_sites, {_vectors(True)} from tree t cross join fx_samples s left join fc on t.seqid = fc.seqid and t.feature_id = fc.feature_id and fc.sample_idx = s.sample_idx",
     "feature_counts_binned": _ctes("sites", "features", "g", "hits") + "select sample_idx, h.seqid, h.feature_id, count(*) as sites, cast(sum(coverage) as bigint) as coverage from hits h join fx_features f on f.seqid = h.seqid and f.feature_id = h.feature_id and f.level = 1 group by all",
+    "feature_counts_binned_all": _ctes("sites", "features", "g", "hits") + "select sample_idx, seqid, feature_id, count(*) as sites, cast(sum(coverage) as bigint) as coverage from hits group by all",
     "feature_counts_plain": _ctes("sites", "features", "g", "hits") + "select h.seqid, h.feature_id, count(*) as sites, cast(sum(coverage) as bigint) as coverage from hits h join fx_features f on f.seqid = h.seqid and f.feature_id = h.feature_id and f.level = 1 where sample_idx = 0 group by all",
     "feature_type_pushdown": _ctes("features") + """, k as (select * from fx_features where type in ('gene', 'mRNA', 'CDS')),
       l as (select k.*, p.feature_id as p1, q.feature_id as p2 from k left join k p on p.feature_id = k.parent_id and p.seqid = k.seqid left join k q on q.feature_id = p.parent_id and q.seqid = k.seqid)

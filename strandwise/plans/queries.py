@@ -78,6 +78,12 @@ def feature_counts_plain(spark, d):
     return hits.groupBy("seqid", "feature_id").agg(F.count(F.lit(1)).alias("sites"), F.sum("coverage").cast("bigint").alias("coverage"))
 
 
+def feature_counts_binned_all(spark, d):
+    """Sites and coverage of every feature of every level, in every sample; feature_counts_binned has the roots only."""
+    hits = interval_join.sites_in_parts(fixtures.sites(spark, d), fixtures.features(spark, d), ["feature_id"])
+    return hits.groupBy("sample_idx", "seqid", "feature_id").agg(F.count(F.lit(1)).alias("sites"), F.sum("coverage").cast("bigint").alias("coverage"))
+
+
 def feature_type_pushdown(spark, d):
     p = fixtures.features(spark, d).where(F.col("type").isin("gene", "mRNA", "CDS")).drop("level")
     return hierarchy.paths(p).groupBy("type", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("length").cast("bigint").alias("length"))
@@ -376,7 +382,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         site_scan_normalised, site_qualified_long, site_all_sites_by_seq_genome, quick_ag_ct_by_seq, feature_counts, feature_counts_report_all, feature_counts_binned,
-        feature_counts_plain, feature_type_pushdown, feature_hierarchy_paths, feature_ancestors, longest_isoform_choice, chimaera_intervals, chimaera_counts, rollup_sequence, rollup_genome,
+        feature_counts_binned_all, feature_counts_plain, feature_type_pushdown, feature_hierarchy_paths, feature_ancestors, longest_isoform_choice, chimaera_intervals, chimaera_counts, rollup_sequence, rollup_genome,
         aggregate_ids, matrix_legacy_index, matrix_wide_ag, uid_build, safe_names, sample_column_parse, sample_duplicates, file_uid, atog_transform, qc_missing, qc_describe, group_statistics,
         bmk_mean_by_group, variance_filter_topk, coefficient_variation, kruskal_h, anova_f, bartlett_stat, student_t, welch_t, mannwhitney_u, effect_size_log2fc, group_pairs,
         pvalues_kruskal, pvalues_global, pvalues_pairwise, tests_auto, assumption_tests, bh_fdr, significant_any, global_ranking, sig_unique_common, sig_levels, replicate_pearson,
