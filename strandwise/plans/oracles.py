@@ -133,6 +133,13 @@ def _metric(metric: str) -> str:
     return LONG + f" select sample_idx, seqid, id, pairing, num, cast(den as bigint) as den, cast(num as double) / den as value from mx where metric = '{metric}' and den >= 2 and num > 0"
 
 
+def _cells(metric: str) -> str:
+    """All samples of each row with an edited cell."""
+    return LONG + f""", k as (select distinct seqid, id, type, pairing from long where metric = '{metric}' and value <> 0)
+      select s.sample_idx, k.seqid, k.id, k.pairing, l.num, cast(l.den as bigint) as den, l.value from k cross join fx_samples s
+      left join (select * from long where metric = '{metric}') l on l.seqid = k.seqid and l.id = k.id and l.type = k.type and l.pairing = k.pairing and l.sample_idx = s.sample_idx"""
+
+
 def _prevalence(samples: float | None, group: float | None) -> str:
     per = LONG + ", per as (select seqid, id, type, pairing, metric, grp, count(*) as n from long where value is not null and value <> 0 group by all)"
     if samples is None:
@@ -192,6 +199,8 @@ ORACLES: dict[str, str] = {
     "aggregate_ids": _ctes("features", "tree") + "select distinct seqid, root_type as ptype, type as ctype, m.mode, 'sequence_' || seqid || '_' || root_type || '_' || type || '_' || m.mode as sequence_id, 'global_' || type || '_' || m.mode as global_id, 'sequence' as type from tree cross join (values ('all_isoforms'), ('longest_isoform'), ('chimaera')) as m(mode) where lev >= 3",
     "matrix_espf": _metric("espf"),
     "matrix_espr": _metric("espr"),
+    "matrix_espf_cells": _cells("espf"),
+    "matrix_espr_cells": _cells("espr"),
     "matrix_legacy_index": WIDE + " " + " union all ".join(f"select '{p}' as pairing, cast(sum(read_{LEGACY_NAMES[n]}) as bigint) as num, cast(sum(read_{p[0]}A + read_{p[0]}C + read_{p[0]}G + read_{p[0]}T) as bigint) as den from w" for n, (_, _, p) in enumerate(EDITS)),
     "matrix_wide_ag": LONG + " select seqid, id, type, " + ", ".join(f"max(case when sample_idx = {i} then value end) as \"{c}\"" for i, c in COLUMNS) + " from long where metric = 'espf' and pairing = 'AG' group by seqid, id, type having sum(case when value <> 0 then 1 else 0 end) > 0",
     "prevalence_any": _prevalence(None, None),

@@ -171,6 +171,22 @@ def _metric(metric: str) -> Query:
     return query
 
 
+def _cells(metric: str) -> Query:
+    """Every cell of the matrix rows that stay: 0 is covered and not edited, null not observed (null counts: no row of the sample)."""
+
+    def query(spark, d):
+        s = fixtures.samples(spark)
+        m = kept(long_matrix(spark, d, decimals=None).where(F.col("metric") == metric), "cells")
+        grid = matrix.prevalent(m, s, KEY).crossJoin(F.broadcast(s.select("sample_idx")))  # a dozen samples by construction
+        m = m.select(*(F.col(c).alias(f"_{c}") for c in ("sample_idx", *KEY, "pairing")), "num", "den", "value")
+        on = grid["sample_idx"] == m["_sample_idx"]
+        for c in (*KEY, "pairing"):
+            on = on & grid[c].eqNullSafe(m[f"_{c}"])
+        return grid.join(m, on, "left").select("sample_idx", "seqid", "id", "pairing", "num", "den", "value")
+
+    return query
+
+
 def matrix_legacy_index(spark, d):
     m = long_matrix(spark, d, legacy_pair_index=True).where("metric = 'espr'")
     return m.groupBy("pairing").agg(F.sum("num").cast("bigint").alias("num"), F.sum("den").cast("bigint").alias("den"))
@@ -390,6 +406,7 @@ QUERIES: dict[str, Query] = {
     )
 } | {
     "rollup_feature_mode": _mode("feature"), "rollup_all_isoforms": _mode("all_isoforms"), "rollup_longest_isoform": _mode("longest_isoform"),
-    "matrix_espf": _metric("espf"), "matrix_espr": _metric("espr"), "prevalence_any": _prevalence(None, None), "prevalence_samples_pct": _prevalence(50, None),
+    "matrix_espf": _metric("espf"), "matrix_espr": _metric("espr"),
+    "matrix_espf_cells": _cells("espf"), "matrix_espr_cells": _cells("espr"), "prevalence_any": _prevalence(None, None), "prevalence_samples_pct": _prevalence(50, None),
     "prevalence_group_pct": _prevalence(90, 75),
 }

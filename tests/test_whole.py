@@ -23,3 +23,12 @@ def test_binned_counts_cover_all_levels_and_samples(spark):
     assert set(by) == {1, 2, 3} and all(s == 12 for _, s in by.values())
     whole = queries.QUERIES["feature_counts"](spark, SMALL).select("sample_idx", "seqid", F.col("id").alias("feature_id"))
     assert whole.join(got, ["sample_idx", "seqid", "feature_id"], "left_anti").count() == 0  # all that qualify are there
+
+
+def test_cells_tell_zero_from_unobserved(spark):
+    for metric in ("espf", "espr"):
+        got = queries.QUERIES[f"matrix_{metric}_cells"](spark, SMALL).cache()
+        n = got.agg(F.count(F.lit(1)).alias("all"), F.expr("count_if(value = 0)").alias("zero"), F.expr("count_if(value is null)").alias("none"), F.countDistinct("seqid", "id", "pairing").alias("keys")).first()
+        assert n["all"] == 12 * n["keys"] and n["zero"] > 0 and n["none"] > 0
+        assert got.groupBy("seqid", "id", "pairing").agg(F.max("value").alias("v")).where("v is null or v = 0").count() == 0
+        assert queries.QUERIES[f"matrix_{metric}"](spark, SMALL).select("sample_idx", "id", "pairing").join(got.where("value > 0"), ["sample_idx", "id", "pairing"], "left_anti").count() == 0
