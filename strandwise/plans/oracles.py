@@ -247,3 +247,9 @@ ORACLES: dict[str, str] = {
       c as (select a.section, a.uid as uid1, b.uid as uid2, count(*) as n, case when var_pop(a.value) > 1e-18 and var_pop(b.value) > 1e-18 then corr(a.value, b.value) end as r from v a join v b on a.section = b.section and a.grp = b.grp and a.sample = b.sample and a.rep = b.rep and a.uid < b.uid group by all)
       select section, uid1, uid2, n, round(r, 6) as r from c where n >= 6 and r is not null""",
 }
+
+#: Every level, pairing and metric in place of the roots and transcripts of one matrix; the statistics on it are the same.
+VALS = VALUES[len(LONG) :]
+ALL_VALS = """, vals as (select k.pairing || '_' || k.metric || '_' || f.type as section, f.feature_id as uid, s.grp, s.sample, s.rep, l.value from fx_features f cross join fx_samples s
+  cross join (select distinct pairing, metric from mx) k left join long l on l.id = f.feature_id and l.sample_idx = s.sample_idx and l.pairing = k.pairing and l.metric = k.metric)"""
+ORACLES |= {f"{n}_all": q.replace(VALS, ALL_VALS) for n, q in ORACLES.items() if VALS in q}

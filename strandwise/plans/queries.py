@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -262,86 +263,96 @@ def values(spark, d) -> DataFrame:
     return kept(grid.join(m, ["uid", "sample_idx"], "left").select("section", "uid", "grp", "sample", "rep", "value"), "values")
 
 
-def qc_missing(spark, d):
-    return stats.missing(values(spark, d), ["section", "grp", "sample", "rep"])
+def all_values(spark, d) -> DataFrame:
+    """As values(), of every level, pairing and metric: a section is one type of one matrix, as AG_espr_exon."""
+    s = fixtures.samples(spark)
+    f = fixtures.features(spark, d).select("type", F.col("feature_id").alias("uid"))
+    pairs = spark.createDataFrame([(p, m) for p in bases.EDITS for m in ("espf", "espr")], "pairing string, metric string")
+    m = long_matrix(spark, d, decimals=None).select(F.col("id").alias("uid"), "sample_idx", "pairing", "metric", "value")
+    grid = f.crossJoin(F.broadcast(pairs)).crossJoin(F.broadcast(s))  # 24 matrices of a dozen samples by construction
+    return kept(grid.join(m, ["uid", "sample_idx", "pairing", "metric"], "left").select(F.concat_ws("_", "pairing", "metric", "type").alias("section"), "uid", "grp", "sample", "rep", "value"), "all-values")
+
 
+def qc_missing(spark, d, v=values):
+    return stats.missing(v(spark, d), ["section", "grp", "sample", "rep"])
 
-def qc_describe(spark, d):
-    return rounded(stats.describe(values(spark, d), ["section", "grp", "sample", "rep"]), "mean", "std", "min", "q25", "q50", "q75", "max")
 
+def qc_describe(spark, d, v=values):
+    return rounded(stats.describe(v(spark, d), ["section", "grp", "sample", "rep"]), "mean", "std", "min", "q25", "q50", "q75", "max")
 
-def group_statistics(spark, d):
-    return rounded(stats.group_statistics(values(spark, d), ["section", "grp"]), "mean", "median", "std", "min", "max", "q25", "q75")
 
+def group_statistics(spark, d, v=values):
+    return rounded(stats.group_statistics(v(spark, d), ["section", "grp"]), "mean", "median", "std", "min", "max", "q25", "q75")
 
-def bmk_mean_by_group(spark, d):
-    return rounded(stats.group_means(values(spark, d), B), "mean")
 
+def bmk_mean_by_group(spark, d, v=values):
+    return rounded(stats.group_means(v(spark, d), B), "mean")
 
-def variance_filter_topk(spark, d):
-    return rounded(stats.top_variance(values(spark, d), SEC, UID, 50).where("variance > 1e-10").select("section", "uid", "variance"), "variance", digits=9)
 
+def variance_filter_topk(spark, d, v=values):
+    return rounded(stats.top_variance(v(spark, d), SEC, UID, 50).where("variance > 1e-10").select("section", "uid", "variance"), "variance", digits=9)
 
-def coefficient_variation(spark, d):
-    return rounded(stats.coefficient_of_variation(values(spark, d), B), "cv")
 
+def coefficient_variation(spark, d, v=values):
+    return rounded(stats.coefficient_of_variation(v(spark, d), B), "cv")
 
-def varied(spark, d) -> DataFrame:
-    return kept(sections.filtered(values(spark, d), SEC, UID), "varied")
 
+def varied(spark, d, v=values) -> DataFrame:
+    return kept(sections.filtered(v(spark, d), SEC, UID), "varied")
 
-def kruskal_h(spark, d):
-    return rounded(stats.kruskal(varied(spark, d), B), "h")
 
+def kruskal_h(spark, d, v=values):
+    return rounded(stats.kruskal(varied(spark, d, v), B), "h")
 
-def anova_f(spark, d):
-    return rounded(stats.anova(varied(spark, d), B), "f")
 
+def anova_f(spark, d, v=values):
+    return rounded(stats.anova(varied(spark, d, v), B), "f")
 
-def bartlett_stat(spark, d):
-    return rounded(stats.bartlett(varied(spark, d), B), "bartlett")
 
+def bartlett_stat(spark, d, v=values):
+    return rounded(stats.bartlett(varied(spark, d, v), B), "bartlett")
 
-def student_t(spark, d):
-    return rounded(stats.student(stats.pairs(varied(spark, d), B), B), "t")
 
+def student_t(spark, d, v=values):
+    return rounded(stats.student(stats.pairs(varied(spark, d, v), B), B), "t")
 
-def welch_t(spark, d):
-    return rounded(stats.welch(stats.pairs(varied(spark, d), B), B), "t", "df", digits=5)
 
+def welch_t(spark, d, v=values):
+    return rounded(stats.welch(stats.pairs(varied(spark, d, v), B), B), "t", "df", digits=5)
 
-def mannwhitney_u(spark, d):
-    return rounded(stats.mann_whitney(varied(spark, d), B), "effect_size")
 
+def mannwhitney_u(spark, d, v=values):
+    return rounded(stats.mann_whitney(varied(spark, d, v), B), "effect_size")
 
-def effect_size_log2fc(spark, d):
-    return rounded(stats.fold_changes(stats.pairs(varied(spark, d), B), B), "diff", "log2fc")
 
+def effect_size_log2fc(spark, d, v=values):
+    return rounded(stats.fold_changes(stats.pairs(varied(spark, d, v), B), B), "diff", "log2fc")
 
-def group_pairs(spark, d):
-    p = stats.pairs(values(spark, d), B)
+
+def group_pairs(spark, d, v=values):
+    p = stats.pairs(v(spark, d), B)
     return p.groupBy("section", "grp1", "grp2").agg(F.count(F.lit(1)).alias("uids"), F.sum(F.col("n1") + F.col("n2")).cast("bigint").alias("values"))
 
 
-def pvalues_kruskal(spark, d):
-    k = stats.kruskal(varied(spark, d), B).where("df = 2 and h is not null")
+def pvalues_kruskal(spark, d, v=values):
+    k = stats.kruskal(varied(spark, d, v), B).where("df = 2 and h is not null")
     return rounded(k.select("section", "uid", pvalues.chi2_p("h", F.col("df").cast("double")).alias("pval")), "pval")
 
 
-def pvalues_global(spark, d):
-    return stats.global_tests(varied(spark, d), B, SEC)
+def pvalues_global(spark, d, v=values):
+    return stats.global_tests(varied(spark, d, v), B, SEC)
 
 
-def pvalues_pairwise(spark, d):
-    return stats.pairwise_tests(varied(spark, d), B, SEC)
+def pvalues_pairwise(spark, d, v=values):
+    return stats.pairwise_tests(varied(spark, d, v), B, SEC)
 
 
-def tests_auto(spark, d):
-    return stats.global_tests(varied(spark, d), B, SEC, "auto").where("test = 'primary'")
+def tests_auto(spark, d, v=values):
+    return stats.global_tests(varied(spark, d, v), B, SEC, "auto").where("test = 'primary'")
 
 
-def assumption_tests(spark, d):
-    return stats.assumptions(varied(spark, d), B)
+def assumption_tests(spark, d, v=values):
+    return stats.assumptions(varied(spark, d, v), B)
 
 
 def bh_fdr(spark, d):
@@ -365,16 +376,16 @@ def sig_levels(spark, d):
     return rounded(t.select("section", "uid", "test", "comparison", stats.significance_level(F.col("padj")).alias("level"), bases.score10(F.col("padj")).alias("score")), "score")
 
 
-def replicate_pearson(spark, d):
-    return rounded(stats.replicate_pearson(values(spark, d), SEC, UID).drop("pval"), "pearson_r")
+def replicate_pearson(spark, d, v=values):
+    return rounded(stats.replicate_pearson(v(spark, d), SEC, UID).drop("pval"), "pearson_r")
 
 
-def sample_correlation(spark, d):
-    return rounded(stats.sample_correlation(values(spark, d), SEC, UID), "r")
+def sample_correlation(spark, d, v=values):
+    return rounded(stats.sample_correlation(v(spark, d), SEC, UID), "r")
 
 
-def bmk_correlation_top50(spark, d):
-    return rounded(stats.biomarker_correlation(values(spark, d), SEC, UID, 50).where("n >= 6 and r is not null"), "r")
+def bmk_correlation_top50(spark, d, v=values):
+    return rounded(stats.biomarker_correlation(v(spark, d), SEC, UID, 50).where("n >= 6 and r is not null"), "r")
 
 
 def section_membership(spark, d):
@@ -410,3 +421,10 @@ QUERIES: dict[str, Query] = {
     "matrix_espf_cells": _cells("espf"), "matrix_espr_cells": _cells("espr"), "prevalence_any": _prevalence(None, None), "prevalence_samples_pct": _prevalence(50, None),
     "prevalence_group_pct": _prevalence(90, 75),
 }
+
+#: Queries on values(); each has one more, named with _all, on all_values().
+ON_VALUES = (
+    qc_missing, qc_describe, group_statistics, bmk_mean_by_group, variance_filter_topk, coefficient_variation, kruskal_h, anova_f, bartlett_stat, student_t, welch_t, mannwhitney_u,
+    effect_size_log2fc, group_pairs, pvalues_kruskal, pvalues_global, pvalues_pairwise, tests_auto, assumption_tests, replicate_pearson, sample_correlation, bmk_correlation_top50,
+)
+QUERIES |= {f"{f.__name__}_all": partial(f, v=all_values) for f in ON_VALUES}

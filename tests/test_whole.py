@@ -32,3 +32,10 @@ def test_cells_tell_zero_from_unobserved(spark):
         assert n["all"] == 12 * n["keys"] and n["zero"] > 0 and n["none"] > 0
         assert got.groupBy("seqid", "id", "pairing").agg(F.max("value").alias("v")).where("v is null or v = 0").count() == 0
         assert queries.QUERIES[f"matrix_{metric}"](spark, SMALL).select("sample_idx", "id", "pairing").join(got.where("value > 0"), ["sample_idx", "id", "pairing"], "left_anti").count() == 0
+
+
+def test_statistics_cover_all_types_and_matrices(spark):
+    got = queries.QUERIES["qc_missing_all"](spark, SMALL).groupBy("section").agg(F.count(F.lit(1)).alias("samples"), F.max("total").alias("uids")).collect()
+    types = {r["type"]: r["count"] for r in fixtures.features(spark, SMALL).groupBy("type").count().collect()}
+    assert {r["section"] for r in got} == {f"{x}{y}_{m}_{t}" for x in "ACGT" for y in "ACGT" if x != y for m in ("espf", "espr") for t in types}
+    assert all(r["samples"] == 12 and r["uids"] == types[r["section"].split("_", 2)[2]] for r in got)
