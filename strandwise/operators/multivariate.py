@@ -6,13 +6,34 @@ Samples are few and biomarkers many, so what reaches the driver is a samples-by-
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import stats
 
 MAX_UIDS, MAX_SAMPLES, SEED = 500, 2000, 42
+#: Sections that run at a time.
+AT_ONCE = 4
+
+
+def by_section(rows: DataFrame, step, tests: DataFrame | None = None, section: str = "section") -> DataFrame:
+    """step(rows, tests) of each section, its results (a few hundred rows at most) under the section's name. A few sections run at a time."""
+    names = [r[0] for r in rows.select(section).distinct().orderBy(section).collect()]
+
+    def one(name: str):
+        got = step(rows.where(F.col(section) == name), None if tests is None else tests.where(F.col(section) == name))
+        return got.schema, [(name, *r) for r in got.collect()]
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        done = list(pool.map(one, names))
+    if not done:
+        return step(rows, tests).select(F.lit(None).cast("string").alias(section), "*").limit(0)
+    schema = StructType([StructField(section, StringType()), *done[0][0].fields])
+    return rows.sparkSession.createDataFrame([r for _, rs in done for r in rs], schema)
 
 
 def _sample():
@@ -122,13 +143,13 @@ def folds(labels: list[float], k: int, seed: int = SEED) -> list[int]:
     return out
 
 
-def cross_validated(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 50, max_uids: int = 100) -> DataFrame:
+def cross_validated(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 50, depth: int = 10, rounds: int = 50, max_uids: int = MAX_UIDS) -> DataFrame:
     """Accuracy (mean, deviation) of a random forest, of boosted trees (two groups) and of a linear discriminant over folds."""
     from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 
     spark = rows.sparkSession
     schema = "model string, folds int, accuracy double, std double"
-    uids = [r[0] for r in selected(rows, tests, uid, max_uids=max_uids).collect()]
+    uids = [r[0] for r in selected(rows, tests, uid, max_uids=max_uids, raw=False).collect()]
     if len(uids) < 2:
         return spark.createDataFrame([], schema)
     table, classes = _labelled(_table(rows, uids, uid))
@@ -142,7 +163,7 @@ def cross_validated(rows: DataFrame, tests: DataFrame | None = None, uid: str =
     x = np.stack([r["features"].toArray() for r in got])
     y = np.array(labels)
     found: dict[str, list[float]] = {}
-    models = {"random_forest": RandomForestClassifier(numTrees=trees, seed=SEED)} | ({"gradient_boosting": GBTClassifier(seed=SEED)} if classes == 2 else {})
+    models = {"random_forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED)} | ({"gradient_boosting": GBTClassifier(maxIter=rounds, seed=SEED)} if classes == 2 else {})
     for f in sorted(set(fold)):
         train, test = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
         inside = np.array(fold) != f

@@ -393,16 +393,23 @@ def section_membership(spark, d):
     return sections.memberships(r, ["id"]).groupBy("section").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def pca_variance(spark, d):
-    return multivariate.principal_components(values(spark, d).where("section = 'gene'"))[1]
+def pca_variance(spark, d, v=all_values):
+    return multivariate.by_section(v(spark, d), lambda rows, _: multivariate.principal_components(rows)[1])
 
 
-def rf_importance(spark, d):
-    return multivariate.importance(values(spark, d).where("section = 'gene'"), trees=20, depth=5, max_uids=30)
+def primary(rows: DataFrame) -> DataFrame:
+    """Adjusted p-values of rows' biomarkers over all groups, by which learning selects."""
+    return kept(stats.global_tests(kept(sections.filtered(rows, SEC, UID), "varied"), B, SEC).where("test = 'primary'"), "primary")
 
 
-def cv_accuracy(spark, d):
-    return multivariate.cross_validated(values(spark, d).where("section = 'gene' and grp <> 'low'"), trees=5, max_uids=20)
+def rf_importance(spark, d, v=all_values):
+    rows = v(spark, d)
+    return multivariate.by_section(rows, multivariate.importance, primary(rows))
+
+
+def cv_accuracy(spark, d, v=all_values):
+    rows = v(spark, d)
+    return multivariate.by_section(rows, multivariate.cross_validated, primary(rows))
 
 
 QUERIES: dict[str, Query] = {

@@ -39,3 +39,25 @@ def test_statistics_cover_all_types_and_matrices(spark):
     types = {r["type"]: r["count"] for r in fixtures.features(spark, SMALL).groupBy("type").count().collect()}
     assert {r["section"] for r in got} == {f"{x}{y}_{m}_{t}" for x in "ACGT" for y in "ACGT" if x != y for m in ("espf", "espr") for t in types}
     assert all(r["samples"] == 12 and r["uids"] == types[r["section"].split("_", 2)[2]] for r in got)
+
+
+def test_multivariate_steps_cover_sections_groups_and_biomarkers(spark):
+    def two(spark, d):
+        s = fixtures.samples(spark)
+        n = spark.range(40).select(F.concat(F.lit("u"), "id").alias("uid"), "id")
+        rows = n.crossJoin(s).crossJoin(spark.createDataFrame([("x",), ("y",)], "section string"))
+        value = F.pmod(F.xxhash64("uid", "section", "sample_idx"), F.lit(97)) / 97 + F.when(F.col("grp") == "low", F.col("id")).otherwise(0)
+        return rows.select("section", "uid", "grp", "sample", "rep", value.cast("double").alias("value"))
+
+    imp = queries.rf_importance(spark, SMALL, two).collect()
+    assert {r["section"] for r in imp} == {"x", "y"} and len({r["uid"] for r in imp}) > 30  # no cut at 20 or 30
+    assert {r["section"] for r in queries.pca_variance(spark, SMALL, two).collect()} == {"x", "y"}
+
+
+def test_cross_validation_has_the_production_settings():
+    import inspect
+
+    from strandwise.operators import multivariate
+
+    p = inspect.signature(multivariate.cross_validated).parameters
+    assert [p[n].default for n in ("trees", "depth", "rounds", "max_uids")] == [50, 10, 50, 500]
