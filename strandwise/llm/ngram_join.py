@@ -341,6 +341,36 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component"))
 
 
+def linked_pairs(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The join itself: membership (id, rep) of all nonempty documents, and every link (rep1 < rep2, common) between representatives of equal sets.
+
+    Each pair with a common element in its plain prefixes is verified once on the whole sets. The rows grow with the number of
+    such pairs, so a group of m near copies costs up to m(m-1)/2; near_duplicates is for components.
+    """
+    full = sets(docs, text, doc_id, words, percent).where("n > 0 and id is not null")
+    node = stored(full.groupBy("n", "a", "b").agg(F.min("id").alias("rep"), F.min_by("prefix", "id").alias("prefix")), "classes")
+    member = full.select("id", "n", "a", "b").join(node.select("n", "a", "b", "rep"), ["n", "a", "b"]).select("id", "rep").distinct()
+    plain = F.slice("prefix", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    posting = stored(node.select("rep", "n", F.explode(plain).alias("token")), "pair-postings")
+    p, q = (posting.select("token", *(F.col(c).alias(c + i) for c in ("rep", "n"))) for i in "12")
+    fits = (F.col("rep1") < F.col("rep2")) & (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)
+    pairs = stored(p.join(q, "token").where(fits).select("rep1", "rep2", "n1", "n2").distinct(), "pair-candidates")
+
+    def make(batches):
+        for b in batches:
+            for w in _text.slices(b.column(1), table=_text.LOWER):
+                for i, s in element_sets(w, words):
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], ["x", "s"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("x"), F.col(text).alias("text"))
+    need = pairs.select(F.col("rep1").alias("x")).union(pairs.select("rep2")).distinct()
+    whole = stored(rows.join(need, "x", "left_semi").dropDuplicates(["x"]).mapInArrow(make, "x long, s array<long>"), "pair-sets")
+    one, two = (whole.select(F.col("x").alias(f"rep{i}"), F.col("s").alias(f"s{i}")) for i in "12")
+    common = F.size(F.array_intersect("s1", "s2")).cast("long")
+    found = pairs.join(one, "rep1").join(two, "rep2").select("rep1", "rep2", (F.col("n1") + F.col("n2")).alias("n"), common.alias("common"))
+    return member, stored(found.where(F.col("common") * 100 >= (F.col("n") - F.col("common")) * percent).select("rep1", "rep2", "common"), "linked-pairs")
+
+
 def _across(again: DataFrame, label: DataFrame) -> DataFrame:
     """Stored rows (id, leader, chunk, label): leaders of several chunks meet all theirs again, and who is not connected with the leader is in each chunk."""
     again = again.groupBy("id", "leader").agg(F.max("chunks").alias("chunks"))
