@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -14,46 +13,53 @@ from pyspark.sql import functions as F
 #: A side is broadcast only if its counted rows stay within this bound (a row is a key and a few numbers).
 BROADCAST_ROWS = 20_000
 SALTS = 64
+#: Bytes of an Arrow batch.
+BATCH = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a folder of our own only where that is unset (tests, one machine)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of spark.checkpoint.dir, which driver and executors share. A folder of one machine's own would lose rows, so there is no other."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="strandwise-")
-        spark.sparkContext.setCheckpointDir(found)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found.rstrip("/")
 
 
+def modest(spark: SparkSession) -> None:
+    """Arrow batches of texts of at most BATCH bytes in this session: a worker holds several copies of one."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: it cuts the lineage and outlives any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/strandwise/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._sw_path = path
+    return out
 
 
 def remove(df: DataFrame) -> None:
-    """Delete the files under a table made by stored(), once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/strandwise/" in path:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    """Delete the files of a table made by stored(), once nothing reads it any more."""
+    remove_path(df.sparkSession, df._sw_path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def join_small(left: DataFrame, small: DataFrame, key: str, how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
     """left joined with small (one row a key) null-safely; broadcast if small has at most `rows` rows, else salted.
 
-    small must be cheap to read twice (a stored table). The key's copy from small is dropped.
+    small must be cheap to read twice (a stored table). The key's copy from small is dropped. The salt is a hash of the row, so a
+    task that is run again deals its rows as before.
     """
     other = small.withColumnRenamed(key, "_sw_key")
     if small.limit(rows + 1).count() <= rows:
         return left.join(F.broadcast(other), left[key].eqNullSafe(other["_sw_key"]), how).drop("_sw_key")
-    salted = left.withColumn("_sw_salt", F.floor(F.rand(7) * SALTS).cast("int"))
+    salted = left.withColumn("_sw_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int"))
     other = other.withColumn("_sw_salt2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     on = salted[key].eqNullSafe(other["_sw_key"]) & (salted["_sw_salt"] == other["_sw_salt2"])
     return salted.join(other, on, how).drop("_sw_key", "_sw_salt", "_sw_salt2")

@@ -2,30 +2,35 @@
 
 A document's set: its distinct k-word shingles (A-Z as a-z, words [^\\x20\\x09-\\x0D]+); with fewer words the whole sequence is
 one element; without words, or with a null text, it is empty and linked with nothing. Two documents link when
-100 * intersection >= percent * union. A link needs T = ceil(percent * n / 100) common elements, so of a set's inverted
-lists the T - 1 longest may be skipped while looking for candidates: what is left, the prefix of n - T + 1 elements of the
-shortest lists, must hold a common element. Lists are ordered by the count of their hash bucket in a table of fixed size (a
-good guess of their length; any common order is right).
-
-1. The prefix postings are grouped by element; lists of one document end there. A list's least document is its leader.
-2. Documents that share a leader meet in chunks of about CHUNK (the leader is in each), first with their prefixes only.
-   Prefixes longer by EXTRA hundredths must share as many elements more, so DivideSkip over a chunk (a heap merges a query's
-   short lists, long ones are probed by binary search) finds who can be linked; the rest leaves.
-3. Those connected in this way meet again, with whole texts, and the same search finds and counts the links. Pairs that are
-   connected already need no comparison, so a large group of near copies costs about its size.
-4. Chunks of one leader never met each other: who is in such a group and not connected with its leader meets each of its
-   chunks, again first with prefixes and then, where candidates are not connected yet, with whole texts. So no link
-   between different components is lost.
-5. Components come from the links in Spark. Exact copies (equal sets) are one node throughout.
-
-Elements are 64-bit hashes; equal sets are told by size and two 64-bit sums. Rows with a null id take no part (component
-null). Rows that repeat an id are one node. Empty tables give empty results. Extra columns are not touched.
+100 * intersection >= percent * union, so a link has T = ceil(percent * n / 100) common elements at least. Equal sets are one
+class, and classes are the nodes of all that follows.
+
+1. Signatures. An element and its successor, by hash, make a pair. An element of one set only breaks two pairs of its own set
+   and one of the other at most, so linked sets have most pairs in common (broken()). Each class sends its first pairs, by
+   hash, to the owners of their slots and learns how many it shares with others; who shares too few is linked with nothing.
+   Pairs are rare even where elements are common, so this thins the corpus out at any size.
+2. Inverted lists. Of the classes that are left, each element's list length is counted exactly. Who has fewer than T
+   elements with a list of two or more leaves. Lists are ordered by length: the T - 1 longest lists of a class may be
+   skipped in looking for candidates, so a list is read by those for which it is among the shorter ones, apart for each pair
+   of neighbouring length bands (linked sets differ in size by `percent` at most). A list's least class is its leader.
+3. Those that share a leader meet in chunks of about CHUNK, the leader in each. DivideSkip searches a chunk's lists: a heap
+   merges a query's short lists, its long ones are probed by binary search, and who reaches T common elements is tested for a
+   link. Pairs that are connected already need no comparison, so a large group of near copies costs about its size.
+4. Chunks of one leader never met each other: whoever is not connected with the leader meets the other chunks too, more in
+   each round, until it is or has met all. So no link between different components is lost.
+5. Components come from the links in Spark.
+
+Elements are 64-bit hashes; equal sets are told by size and two 64-bit sums. Rows are nodes by their set, so different texts
+under one id are apart unless they link. Rows with a null id take no part (component null). Empty tables give empty results.
+near_duplicates returns columns of its own only; extra columns of docs, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -34,18 +39,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
-from ._bloom import among, bitmap, may_have
-from ._runtime import join_small, remove, stored
+from ._bloom import among, bitmap
+from ._runtime import join_small, modest, release, remove, stored
 from .components import components
 
 WORDS, PERCENT = 5, 80
-#: Hundredths of a set that its prefix has beyond the plain one.
+#: Hundredths of a set's pairs that are sent beyond those that a link may break.
 EXTRA = 5
-#: Documents that meet in one chunk, about.
-CHUNK = 64
-SKETCH_BITS = 16
+#: Classes that meet in one chunk, about, and how many times more chunks each round of step 4 covers.
+CHUNK, GROWTH = 64, 8
 #: DivideSkip's weight of a probe against a merge step.
 MU = 0.0085
+#: Bits of a slot.
+SLOT = np.uint64((1 << 47) - 1)
 
 
 def element_sets(w: _text.Words, k: int):
@@ -65,53 +71,189 @@ def required(n: int, percent: int) -> int:
     return (percent * n + 99) // 100
 
 
-def extra(n: int) -> int:
-    """Common elements that two prefixes of this length beyond the plain one must have."""
-    return 1 + n * EXTRA // 100
+def paired(percent: int) -> bool:
+    """Whether pairs of neighbours survive a link often enough to be a signature; else single elements are."""
+    return percent >= 70
 
 
-def prefix_size(n: int, percent: int) -> int:
-    return n - required(n, percent) + extra(n) if n else 0
+def broken(n: int, percent: int) -> int:
+    """At most so many of a set's pairs (or elements) are not in a set that it is linked to.
+
+    With x elements of its own only and y of the other only, x + y <= (100 - percent) / percent * (n - x); 2x + y is largest
+    for the largest x, n - T.
+    """
+    lost = n - required(n, percent)
+    return 2 * lost + 1 if paired(percent) else lost
+
+
+def sent(n: int, percent: int) -> int:
+    return broken(n, percent) + 1 + n * EXTRA // 100
+
+
+@lru_cache(1 << 16)
+def shared_at_least(n: int, percent: int) -> int:
+    """Pairs that a set of n and any that it is linked to must both have sent; 0 or less: nothing is known."""
+    if percent < 10:
+        return 0
+    pairs = lambda m: m - 1 if paired(percent) else m
+    fewest = lambda m: min(1 + m * EXTRA // 100, pairs(m) - broken(m, percent))
+    low, high = required(n, percent), 100 * n // percent
+    if low > 1000:  # the first term is the lesser one from here on, and it grows
+        return 1 + low * EXTRA // 100
+    return min(fewest(m) for m in range(low, high + 1))
 
 
-def list_lengths(docs: DataFrame, text: str, k: int) -> np.ndarray:
-    """How many shingles fall in each of 2**SKETCH_BITS hash buckets: a table of fixed size over all texts."""
+def sums(s: np.ndarray) -> tuple[int, int]:
+    return int(_text.mix(s).sum(dtype=np.uint64)), int(_text.mix(~s).sum(dtype=np.uint64))
 
-    def count(batches):
-        n = np.zeros(1 << SKETCH_BITS, np.int64)
+
+def signature(s: np.ndarray, percent: int) -> np.ndarray:
+    """Slots of the pairs that a set sends, the first ones by hash."""
+    g = _text.mix(s[:-1] * np.uint64(0xD6E8FEB86659FD93) + s[1:]) if paired(percent) else _text.mix(s)
+    m = min(len(g), sent(len(s), percent))
+    if m < len(g):
+        g = np.partition(g, m - 1)[:m]
+    return _text.mix(g) & SLOT  # mixed again: the first ones by hash are all small
+
+
+def sets(docs: DataFrame, text: str, doc_id: str, k: int) -> DataFrame:
+    """Stored: id, n, a, b (two sums that tell equal sets) of each row."""
+
+    def make(batches):
         for b in batches:
+            out = [(len(s), *sums(s)) for w in _text.slices(b.column(1), table=_text.LOWER) for _, s in element_sets(w, k)]
+            c = np.array(out, np.uint64).reshape(-1, 3).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c[:, i]) for i in range(3))], ["id", "n", "a", "b"])
+        release()
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    return stored(rows.mapInArrow(make, "id long, n long, a long, b long"), "shingle-sets")
+
+
+def sharing(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
+    """(a, c): how many of its sent pairs each class shares with others, or a little more; classes that share none are left out.
+
+    A task first looks at its own batch: who shares a slot there is counted at once, and one of them speaks for all, so a slot's
+    owner gets a row for each batch at most, however common the pair.
+    """
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def send(batches):
+        for b in batches:
+            seen, slots = {}, []
             for w in _text.slices(b.column(0), table=_text.LOWER):
-                n += np.bincount((w.shingles(k) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(n))
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["bucket", "n"])
+                for _, s in element_sets(w, k):
+                    if len(s) > paired(percent):
+                        a = sums(s)[0]
+                        if a not in seen:
+                            seen[a] = len(seen)
+                            slots.append(signature(s, percent))
+            if not slots:
+                continue
+            names = np.array(list(seen), np.uint64).view(np.int64)
+            owner = np.repeat(np.arange(len(slots)), [len(x) for x in slots])
+            slot = np.concatenate(slots)
+            order = np.argsort(slot, kind="stable")
+            slot, owner = slot[order], owner[order]
+            first, many = runs(slot)
+            c = np.bincount(owner[np.repeat(many > 1, many)], minlength=len(slots))
+            at = np.flatnonzero(c)
+            yield packed(np.array([0]), np.array([-1]), [names[at].tobytes()], [c[at].astype(np.int64).tobytes()])
+            slot, owner = slot[first], names[owner[first]]
+            to = (slot % np.uint64(parts)).astype(np.int64)
+            slot |= np.where(many > 1, ~SLOT, np.uint64(0))  # counted already
+            order = np.argsort(to, kind="stable")
+            cut = np.searchsorted(to[order], np.arange(parts + 1))
+            use = np.flatnonzero(np.diff(cut))
+            slot, owner = slot[order], owner[order]
+            yield packed(use, use, [slot[cut[p] : cut[p + 1]].tobytes() for p in use], [owner[cut[p] : cut[p + 1]].tobytes() for p in use])
+        release()
+
+    def count(slot: np.ndarray, owner: np.ndarray):
+        told, slot = slot > SLOT, slot & SLOT
+        order = np.lexsort((owner, slot))
+        told, slot, owner = told[order], slot[order], owner[order]
+        first, many = runs(slot)
+        other = np.concatenate(([False], owner[1:] != owner[:-1]))
+        other[first] = False
+        use = np.logical_or.reduceat(told | other, first)
+        names, c = np.unique(owner[np.repeat(use, many) & ~told], return_counts=True)
+        return names, c
+
+    def gather(batches):
+        key, slots, owners = None, [], []
+
+        def done():
+            if slots:
+                names, c = count(np.concatenate(slots), np.concatenate(owners))
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(c)], ["a", "c"])
 
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in docs.select(text).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).toLocalIterator():
-        out[r[0]] = r[1]
-    return out
+        for b in batches:
+            for part, kind, one, two in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if kind < 0:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(one, np.int64)), pa.array(np.frombuffer(two, np.int64))], ["a", "c"])
+                    continue
+                if part != key:
+                    yield from done()
+                    key, slots, owners = part, [], []
+                slots.append(np.frombuffer(one, np.uint64))
+                owners.append(np.frombuffer(two, np.int64))
+        yield from done()
+        release()
+
+    rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(text).alias("text"))
+    asked = rows.mapInArrow(send, "part long, kind long, one binary, two binary")
+    dealt = asked.repartition(parts, F.when(F.col("kind") < 0, F.xxhash64("one")).otherwise(F.col("part"))).sortWithinPartitions("part", "kind")
+    return dealt.mapInArrow(gather, "a long, c long").groupBy("a").agg(F.sum("c").alias("c"))
+
+
+def packed(part, kind, one, two) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(kind, pa.int64()), pa.array(one, pa.binary()), pa.array(two, pa.binary())], ["part", "kind", "one", "two"])
 
 
-def sets(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
-    """Stored: id, n, a, b (two sums that tell equal sets) and prefix, the elements of the shortest lists."""
-    cast = docs.sparkSession.sparkContext.broadcast(list_lengths(docs, text, k))
+def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and length of each run of equal values in a sorted array."""
+    if not len(x):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+    return first, np.diff(np.append(first, len(x)))
+
+
+def lists(docs: DataFrame, node: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
+    """Stored: a, n and tokens of the classes that can be linked: their elements with a list of two or more, the shortest list first."""
+    count = sharing(docs, text, doc_id, k, percent)
+    some = node.join(count.withColumnRenamed("a", "_a"), node["a"] == F.col("_a"), "left").select("n", "a", "rep", F.coalesce("c", F.lit(0)).alias("c"))
+
+    @F.arrow_udf("boolean")
+    def enough(n: pa.Array, c: pa.Array) -> pa.Array:
+        return pa.array([y >= shared_at_least(x, percent) for x, y in zip(n.to_pylist(), c.to_pylist(), strict=True)], pa.bool_())
+
+    some = stored(some.where(enough("n", "c")).select(F.col("rep").alias("_rep"), F.col("a").alias("_a")), "sharing")
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = texts.where(among(texts, "id", bitmap(some, "_rep"))).join(some, F.col("id") == F.col("_rep")).select("_a", "text")
 
     def make(batches):
-        shift = np.uint64(64 - SKETCH_BITS)
         for b in batches:
-            n, sums, prefix = [], [], []
+            want, got, at = b.column(0).to_pylist(), [], []
             for w in _text.slices(b.column(1), table=_text.LOWER):
-                for _, s in element_sets(w, k):
-                    n.append(len(s))
-                    sums.append((_text.mix(s).sum(), _text.mix(~s).sum()))
-                    order = np.lexsort((s, cast.value[(s >> shift).astype(np.int64)]))
-                    prefix.append(s[order[: prefix_size(len(s), percent)]].view(np.int64))
-            at = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
-            flat = np.concatenate(prefix) if prefix else np.zeros(0, np.int64)
-            s2 = np.array(sums, np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(s2[:, 0]), pa.array(s2[:, 1]), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["id", "n", "a", "b", "prefix"])
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return stored(rows.mapInArrow(make, "id long, n long, a long, b long, prefix array<long>"), "shingle-sets")
+                for i, s in element_sets(w, k):
+                    if len(s) and sums(s)[0] == want[i] % (1 << 64):
+                        at.append(want[i])
+                        got.append(s.view(np.int64))
+            if at:
+                cut = pa.array(np.concatenate(([0], np.cumsum([len(s) for s in got]))).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([len(s) for s in got], pa.int64()), pa.ListArray.from_arrays(cut, pa.array(np.concatenate(got)))], ["a", "n", "s"])
+        release()
+
+    whole = stored(texts.mapInArrow(make, "a long, n long, s array<long>"), "whole-sets")
+    remove(some)
+    posting = whole.select("a", "n", F.explode("s").alias("token"))
+    length = posting.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumnRenamed("token", "_token")
+    found = posting.join(length, F.col("token") == F.col("_token")).groupBy("a", "n").agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("x"))
+    found = found.where(F.size("x") * 100 >= F.col("n") * percent).select("a", "n", F.col("x.token").alias("tokens"))
+    found = stored(found, "lists")
+    remove(whole)
+    return found
 
 
 class Index:
@@ -154,13 +296,9 @@ class Index:
         return found
 
 
-def chunk_links(ids: list[int], found: list[np.ndarray], needed, linked, known: list[int] | None = None) -> list[int]:
-    """The least id that each document of a chunk reaches by links within it.
-
-    needed(q): common elements that any link of q has; linked(q, d, n): whether n common ones are a link. known: labels of what
-    is connected already; then only documents outside the first one's part search.
-    """
-    root = list(range(len(ids)))
+def chunk_links(found: list[np.ndarray], sizes: list[int], percent: int, known: list[int], asks: list[bool]) -> list[tuple[int, int]]:
+    """Links (two places) that connect what is linked in a chunk. known: labels of what is connected already; asks: who searches."""
+    root = list(range(len(found)))
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -168,245 +306,185 @@ def chunk_links(ids: list[int], found: list[np.ndarray], needed, linked, known:
             i = root[i]
         return i
 
-    left, queries = len(ids), range(len(ids))
-    if known is not None:
-        first: dict[int, int] = {}
-        for i, x in enumerate(known):
-            if first.setdefault(x, i) != i:
-                root[i] = first[x]
-                left -= 1
-        queries = [i for i, x in enumerate(known) if x != known[0]]
+    left, first = len(found), {}
+    for i, x in enumerate(known):
+        if first.setdefault(x, i) != i:
+            root[i] = first[x]
+            left -= 1
+    out = []
     index = Index(found) if left > 1 else None
-    for q in queries:
+    for q in range(len(found)):
         if left == 1:
             break
-        for d, n in index.search(q, needed(q), lambda d, q=q: top(d) != top(q)):
-            if top(d) != top(q) and linked(q, d, n):
+        if not asks[q]:
+            continue
+        for d, n in index.search(q, required(sizes[q], percent), lambda d, q=q: top(d) != top(q)):
+            if top(d) != top(q) and 100 * n >= percent * (sizes[q] + sizes[d] - n):
                 root[top(d)] = top(q)
                 left -= 1
-    least: dict[int, int] = {}
-    for i, x in enumerate(ids):
-        least[top(i)] = min(x, least.get(top(i), x))
-    return [least[top(i)] for i in range(len(ids))]
-
-
-def meetings(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Stored rows (id, leader, chunk) of pairs (id, leader), the leader in each of its chunks, and the leaders of several chunks."""
-    pairs = pairs.where("id <> leader")
-    several = pairs.groupBy("leader").count().where(F.col("count") > CHUNK)
-    hot = stored(several.select("leader", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")), name + "-hot")
-    split = join_small(pairs, hot, "leader")
-    rows = split.select("id", "leader", F.when(F.col("chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("chunks"))).cast("int").alias("chunk"))
-    heads = join_small(pairs.select("leader").distinct(), hot, "leader")
-    heads = heads.select(F.col("leader").alias("id"), "leader", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1)).alias("chunk"))
-    return stored(rows.union(heads), name), hot
-
-
-def grouped(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """rows dealt out by chunk, each chunk's leader first."""
-    return rows.select("leader", "chunk", "id", *columns).repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", F.col("id") != F.col("leader"), "id")
-
-
-LINKS = "id long, root long, leader long, chunk long"
-
-
-def roots(keys: Iterator[tuple[tuple, int, tuple]], finish) -> Iterator[pa.RecordBatch]:
-    """(id, root, leader, chunk) of each chunk in a stream of ((leader, chunk), id, payload); finish(ids, payloads) gives the roots."""
-    out: list[list[int]] = [[], [], [], []]
-
-    def batch():
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["id", "root", "leader", "chunk"])
-
-    for key, rows in groupby(keys, key=lambda x: x[0]):
-        got = list(rows)
-        if len(got) > 1:
-            ids = [x[1] for x in got]
-            for i, r in zip(ids, finish(ids, [x[2] for x in got]), strict=True):
-                if i != r:
-                    for o, v in zip(out, (i, r, *key), strict=True):
-                        o.append(v)
-        if len(out[0]) > 10_000:
-            yield batch()
-            out = [[], [], [], []]
-    yield batch()
-
-
-def candidates(rows: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Stored (id, root, leader, chunk): documents of a chunk whose prefixes have enough in common to be linked, and the least of those connected so.
-
-    A link has extra() common elements in the two prefixes, that of the smaller set; elements are folded to 32 bits.
-    """
-    bits = bitmap(rows.select("id").distinct(), "id")
-    few = found.where(among(found, "id", bits))
-
-    def fold(batches):
-        for b in batches:
-            p = b.column(2)
-            at = np.concatenate(([0], np.cumsum(p.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int32)
-            flat = (p.flatten().to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["_id", "n", "p"])
-
-    few = few.select("id", "n", "prefix").mapInArrow(fold, "_id long, n long, p array<int>")
-    full = grouped(rows.join(few, rows["id"] == few["_id"]), ["n", "p"])
-
-    def stream(batches):
-        for b in batches:
-            p = b.column("p")
-            flat, at = p.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(p.value_lengths().to_numpy(zero_copy_only=False))).tolist()
-            cols = [b.column(c).to_pylist() for c in ("leader", "chunk", "id", "n")]
-            for i, (leader, chunk, x, n) in enumerate(zip(*cols, strict=True)):
-                yield (leader, chunk), x, (n, np.unique(flat[at[i] : at[i + 1]]))
-
-    def finish(ids, payloads):
-        n, s = [x[0] for x in payloads], [x[1] for x in payloads]
-        lost = [extra(x) - (prefix_size(x, percent) - len(y)) for x, y in payloads]  # elements that fell together when folded
-        return chunk_links(ids, s, lambda q: max(1, extra(required(n[q], percent)) - (extra(n[q]) - lost[q])), lambda q, d, c: c >= min(lost[q], lost[d]))
-
-    return stored(full.mapInArrow(lambda batches: roots(stream(batches), finish), LINKS), "candidates")
+                out.append((q, d))
+    return out
 
 
-def compared(rows: DataFrame, docs: DataFrame, text: str, doc_id: str, k: int, percent: int, name: str, known: bool = False) -> DataFrame:
-    """Stored links (id, root, leader, chunk) of chunks, from whole texts. known: rows also have a label of what is connected already."""
-    bits = bitmap(rows.select("id").distinct(), "id")
-    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text"))
-    texts = texts.where(among(texts, "_id", bits))
-    full = grouped(rows.join(texts, rows["id"] == texts["_id"]), ["text", *(["label"] if known else [])])
+def meet(rows: DataFrame, found: DataFrame, percent: int, name: str) -> DataFrame:
+    """Stored links (a, b) of rows (leader, chunk, x, label, asks), whose sets are in found."""
+    full = rows.join(found, rows["x"] == found["a"]).select("leader", "chunk", "x", "label", "asks", "n", "tokens")
+    full = full.repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", "x")
 
     def stream(batches):
         for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("leader", "chunk", "id")]
-            label = b.column("label").to_pylist() if known else None
-            for w in _text.slices(b.column("text"), table=_text.LOWER):
-                for i, s in element_sets(w, k):
-                    if len(s):
-                        yield (cols[0][i], cols[1][i]), cols[2][i], (s, label[i] if known else 0)
-
-    def finish(ids, payloads):
-        s = [x[0] for x in payloads]
-        link = lambda q, d, n: 100 * n >= percent * (len(s[q]) + len(s[d]) - n)
-        return chunk_links(ids, s, lambda q: required(len(s[q]), percent), link, [x[1] for x in payloads] if known else None)
-
-    return stored(full.mapInArrow(lambda batches: roots(stream(batches), finish), LINKS), name)
+            cols = [b.column(c).to_pylist() for c in ("leader", "chunk", "x", "label", "asks", "n")]
+            t = b.column("tokens")
+            flat, at = t.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(t.value_lengths().to_numpy(zero_copy_only=False))).tolist()
+            for i, (leader, chunk, *row) in enumerate(zip(*cols, strict=True)):
+                yield (leader, chunk), (*row, np.sort(flat[at[i] : at[i + 1]]))
+
+    def find(batches) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        for _, rows in groupby(stream(batches), key=lambda x: x[0]):
+            got = list({r[1][0]: r[1] for r in rows}.values())
+            if len(got) > 1:
+                x, label, asks, n, s = zip(*got, strict=True)
+                out += [(x[i], x[j]) for i, j in chunk_links(s, n, percent, label, asks)]
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in range(2)], ["a", "b"])
+                out = []
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in range(2)], ["a", "b"])
+        release()
+
+    return stored(full.mapInArrow(find, "a long, b long"), name)
+
+
+def prefix_lists(found: DataFrame, percent: int) -> DataFrame:
+    """(a, token, band): the lists that each class must read, once for each of its two pairs of neighbouring bands."""
+    t = F.ceil(F.col("n") * percent / 100)
+    prefix = F.slice("tokens", 1, (F.size("tokens") - t + 1).cast("int"))
+    width = math.log(100 / percent) * 1.01 if percent < 100 else 1.0  # a little more, against rounding
+    band = F.floor(F.log("n") / width).cast("int")
+    rows = found.select("a", band.alias("band"), F.explode(prefix).alias("token"))
+    return rows.select("a", "token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
+
+
+def linked(found: DataFrame, percent: int) -> DataFrame:
+    """(id, label) of all classes that are linked with another one: label is the least class reachable."""
+    posting = prefix_lists(found, percent)
+    leaders = posting.groupBy("token", "band").agg(F.min("a").alias("leader"), F.max("a").alias("last")).where("leader < last").drop("last")
+    pairs = posting.join(leaders, ["token", "band"]).where("a <> leader").select(F.col("a").alias("x"), "leader").distinct()
+    pairs = stored(pairs, "meetings")
+    hot = pairs.groupBy("leader").count().where(F.col("count") > CHUNK).select("leader", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
+    hot = stored(hot, "hot-leaders")
+    split = join_small(pairs, hot, "leader")
+    home = F.when(F.col("chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64("x"), F.col("chunks"))).cast("int")
+    rows = stored(split.select("x", "leader", home.alias("chunk"), F.coalesce("chunks", F.lit(1)).alias("chunks")), "members")
+    heads = rows.select("leader", "chunk").distinct().select(F.col("leader").alias("x"), "leader", "chunk")
+    first = rows.select("x", "leader", "chunk").union(heads).select("leader", "chunk", "x", F.col("x").alias("label"), F.lit(True).alias("asks"))
+    links = meet(first, found, percent, "links")
+    label = components(links)
+    members = rows.where("chunks > 1")
+    met, step = 1, GROWTH
+    while True:
+        # who is not connected with its leader goes on to the chunks met .. met + step - 1 after its own
+        now = members.join(label.withColumnRenamed("id", "x"), "x", "left").select("x", "leader", "chunk", "chunks", F.coalesce("label", "x").alias("label"))
+        top = label.select(F.col("id").alias("leader"), F.col("label").alias("main"))
+        main = members.select("leader").distinct().join(top, "leader", "left").select("leader", F.coalesce("main", "leader").alias("main"))
+        now = stored(join_small(now, stored(main, "mains"), "leader", "inner"), "members-now")
+        more = now.where((F.col("label") != F.col("main")) & (F.col("chunks") > met))
+        to = F.sequence(F.col("chunk") + met, F.col("chunk") + F.least(F.lit(met + step), F.col("chunks")) - 1)
+        asks = more.select("leader", F.explode(to).alias("to"), "chunks", "x", "label").select("leader", F.pmod("to", "chunks").alias("chunk"), "x", "label", F.lit(True).alias("asks"))
+        asks = stored(asks, "asking")
+        if not asks.limit(1).count():
+            remove(asks)
+            remove(now)
+            break
+        asked = asks.select(F.col("leader").alias("_l"), F.col("chunk").alias("_c")).distinct()
+        there = now.join(asked, (F.col("leader") == F.col("_l")) & (F.col("chunk") == F.col("_c")), "left_semi").select("leader", "chunk", "x", "label", F.lit(False).alias("asks"))
+        found_now = meet(asks.union(there), found, percent, "more-links")
+        links = links.union(found_now)
+        remove(asks)
+        remove(now)
+        label = components(links)
+        met, step = met + step, step * GROWTH
+    remove(pairs)
+    remove(rows)
+    return label
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row a row of docs: id, n_shingles, component (least id reachable by links, itself included; null for a null id)."""
-    found = sets(docs, text, doc_id, words, percent)
-    full = found.where("n > 0 and id is not null")
-    node = stored(full.groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "classes")
-
-    # 1. lists of two documents or more, and their leaders
-    plain = F.slice("prefix", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
-    short = full.select("id", "n", "a", "b", plain.alias("prefix"))
-    heads = short.select("id", F.explode("prefix").alias("token")).groupBy("token").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-    heads = stored(heads.where("leader < last").select("token"), "shared-lists")
-    cast = docs.sparkSession.sparkContext.broadcast(bitmap(heads, "token"))
-
-    def shared(batches):
-        for b in batches:
-            p = b.column(3)
-            flat, each = p.flatten().to_numpy(zero_copy_only=False), p.value_lengths().to_numpy(zero_copy_only=False)
-            use = may_have(cast.value, flat)
-            row = pa.array(np.repeat(np.arange(len(b)), each)[use])
-            yield pa.RecordBatch.from_arrays([b.column(i).take(row) for i in range(3)] + [pa.array(flat[use])], ["n", "a", "b", "token"])
-
-    posting = short.select("n", "a", "b", "prefix").mapInArrow(shared, "n long, a long, b long, token long")
-    key = lambda x, y: (x["n"] == y["n"]) & (x["a"] == y["a"]) & (x["b"] == y["b"])
-    posting = posting.dropDuplicates(["token", "n", "a", "b"])  # copies are one node, summed before the shuffle
-    posting = stored(posting.join(node, key(posting, node)).select("token", "rep"), "postings")
-    remove(heads)
-    leaders = posting.groupBy("token").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("token", "leader")
-    leaders = stored(leaders, "leaders")
-    pairs = stored(posting.join(leaders, "token").select(F.col("rep").alias("id"), "leader").distinct(), "meetings")
-    remove(posting)
-    remove(leaders)
-
-    # 2. who can be linked, by prefixes; 3. who is, by whole sets
-    first, hot1 = meetings(pairs, "first")
-    second = stored(candidates(first, full, percent).select("id", F.col("root").alias("leader")).distinct(), "second")
-    rows, hot2 = meetings(second, "rows")
-    links = compared(rows, docs, text, doc_id, words, percent, "links").select(F.col("id").alias("a"), F.col("root").alias("b"))
-    label = components(links)
-
-    # 4. across the chunks of one leader
-    again = join_small(pairs, hot1, "leader", "inner").union(join_small(second, hot2, "leader", "inner").select("id", "leader", "chunks")).where("id <> leader")
-    if hot1.union(hot2).limit(1).count():
-        some = candidates(_across(again, label), full, percent)
-        more = compared(_open(some, label), docs, text, doc_id, words, percent, "across", known=True)
-        label = components(links.union(more.select(F.col("id").alias("a"), F.col("root").alias("b"))).union(label.select("id", "label")))
-    top = stored(node.join(label, node["rep"] == label["id"], "left").select("n", "a", "b", F.coalesce("label", "rep").alias("component")), "components")
-    rows = found.select("id", "n", "a", "b")
-    out = rows.join(top.withColumnsRenamed({"n": "_n", "a": "_a", "b": "_b"}), (rows["n"] == F.col("_n")) & (rows["a"] == F.col("_a")) & (rows["b"] == F.col("_b")), "left")
+    return classified(docs, text, doc_id, words, percent).select("id", F.col("n").alias("n_shingles"), "component")
+
+
+def classified(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
+    """id, n, a, b (the class) and component of each row, and keeper: the component's least id, in its class of that id only."""
+    modest(docs.sparkSession)
+    rows = sets(docs, text, doc_id, k)
+    node = stored(rows.where("n > 0 and id is not null").groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "classes")
+    found = lists(docs, node, text, doc_id, k, percent)
+    label = linked(found, percent)
+    remove(found)
+    part = stored(node.join(label, node["a"] == label["id"]).select("n", "a", "b", "rep", "label"), "linked-classes")
+    least = part.groupBy("label").agg(F.min(F.struct("rep", "n", "a", "b")).alias("least"))
+    part = part.join(least, "label").select(*(F.col(c).alias("_" + c) for c in "nab"), "least")
+    same = (F.col("n") == F.col("_n")) & (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))
+    top = node.join(part, same, "left")
+    own = F.struct("rep", "n", "a", "b")
+    keeper = F.when(F.coalesce(F.col("least") == own, F.lit(True)), F.col("rep"))
+    top = stored(top.select(*(F.col(c).alias("_" + c) for c in "nab"), F.coalesce("least.rep", "rep").alias("component"), keeper.alias("keeper")), "components")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select("id", F.col("n").alias("n_shingles"), component.alias("component"))
+    return rows.join(top, same, "left").select("id", "n", "a", "b", component.alias("component"), "keeper")
 
 
 def linked_pairs(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The join itself: membership (id, rep) of all nonempty documents, and every link (rep1 < rep2, common) between representatives of equal sets.
 
-    Each pair with a common element in its plain prefixes is verified once on the whole sets. The rows grow with the number of
-    such pairs, so a group of m near copies costs up to m(m-1)/2; near_duplicates is for components.
+    Each pair with a common element among the lists that both must read is verified once on the whole sets. The rows grow with
+    the number of such pairs, so a group of m near copies costs up to m(m-1)/2; near_duplicates is for components. Ids must be unique.
     """
-    full = sets(docs, text, doc_id, words, percent).where("n > 0 and id is not null")
-    node = stored(full.groupBy("n", "a", "b").agg(F.min("id").alias("rep"), F.min_by("prefix", "id").alias("prefix")), "classes")
-    member = full.select("id", "n", "a", "b").join(node.select("n", "a", "b", "rep"), ["n", "a", "b"]).select("id", "rep").distinct()
-    plain = F.slice("prefix", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
-    posting = stored(node.select("rep", "n", F.explode(plain).alias("token")), "pair-postings")
-    p, q = (posting.select("token", *(F.col(c).alias(c + i) for c in ("rep", "n"))) for i in "12")
-    fits = (F.col("rep1") < F.col("rep2")) & (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)
-    pairs = stored(p.join(q, "token").where(fits).select("rep1", "rep2", "n1", "n2").distinct(), "pair-candidates")
+    modest(docs.sparkSession)
+    full = sets(docs, text, doc_id, words).where("n > 0 and id is not null")
+    node = stored(full.groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "classes")
+    member = full.select("id", "n", "a", "b").join(node, ["n", "a", "b"]).select("id", "rep").distinct()
+    found = lists(docs, node, text, doc_id, words, percent)
+    named = found.join(node.select(F.col("a").alias("_a"), "rep"), F.col("a") == F.col("_a")).select("rep", "n", "tokens", "a")
+    posting = stored(prefix_lists(found, percent).join(named.select("a", "rep"), "a").select("rep", "token", "band"), "pair-postings")
+    p, q = (posting.select("token", "band", F.col("rep").alias(f"rep{i}")) for i in "12")
+    pairs = p.join(q, ["token", "band"]).where("rep1 < rep2").select("rep1", "rep2").distinct()
+    one, two = (named.select(F.col("rep").alias(f"rep{i}"), F.col("n").alias(f"n{i}"), F.col("tokens").alias(f"s{i}")) for i in "12")
+    common = F.size(F.array_intersect("s1", "s2")).cast("long")
+    links = pairs.join(one, "rep1").join(two, "rep2").select("rep1", "rep2", (F.col("n1") + F.col("n2")).alias("n"), common.alias("common"))
+    return member, stored(links.where(F.col("common") * 100 >= (F.col("n") - F.col("common")) * percent).select("rep1", "rep2", "common"), "linked-pairs")
 
-    def make(batches):
-        for b in batches:
-            for w in _text.slices(b.column(1), table=_text.LOWER):
-                for i, s in element_sets(w, words):
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], ["x", "s"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("x"), F.col(text).alias("text"))
-    need = pairs.select(F.col("rep1").alias("x")).union(pairs.select("rep2")).distinct()
-    whole = stored(rows.join(need, "x", "left_semi").dropDuplicates(["x"]).mapInArrow(make, "x long, s array<long>"), "pair-sets")
-    one, two = (whole.select(F.col("x").alias(f"rep{i}"), F.col("s").alias(f"s{i}")) for i in "12")
-    common = F.size(F.array_intersect("s1", "s2")).cast("long")
-    found = pairs.join(one, "rep1").join(two, "rep2").select("rep1", "rep2", (F.col("n1") + F.col("n2")).alias("n"), common.alias("common"))
-    return member, stored(found.where(F.col("common") * 100 >= (F.col("n") - F.col("common")) * percent).select("rep1", "rep2", "common"), "linked-pairs")
-
-
-def _across(again: DataFrame, label: DataFrame) -> DataFrame:
-    """Stored rows (id, leader, chunk, label): leaders of several chunks meet all theirs again, and who is not connected with the leader is in each chunk."""
-    again = again.groupBy("id", "leader").agg(F.max("chunks").alias("chunks"))
-    heads = again.groupBy("leader").agg(F.max("chunks").alias("chunks")).select(F.col("leader").alias("id"), "leader", "chunks")
-    rows = again.union(heads)
-    rows = stored(rows.join(label, "id", "left").select("id", "leader", "chunks", F.coalesce("label", "id").alias("label")), "again")
-    main = stored(rows.where("id = leader").select("leader", F.col("label").alias("main"), F.col("chunks").alias("all")), "mains")
-    rows = join_small(rows, main, "leader", "inner")
-    rest = stored(rows.where("label <> main").select("leader").distinct(), "open-leaders")
-    rows = join_small(rows, rest.withColumn("open", F.lit(True)), "leader", "inner")
-    every = F.sequence(F.lit(0), F.col("all") - 1)
-    one = F.array(F.pmod(F.xxhash64("id"), F.col("all")).cast("int"))
-    where = F.when((F.col("label") != F.col("main")) | (F.col("id") == F.col("leader")), every).otherwise(one)
-    return stored(rows.select("id", "leader", F.explode(where).alias("chunk"), "label"), "across-rows")
-
-
-def _open(some: DataFrame, label: DataFrame) -> DataFrame:
-    """Stored rows (id, leader, chunk, label) of the candidates of a chunk, where they are not all connected yet. A chunk's candidates stay together."""
-    rows = some.select("id", F.col("root").alias("leader"), F.xxhash64("leader", "chunk").alias("chunk"))
-    rows = rows.union(rows.select(F.col("leader").alias("id"), "leader", "chunk").distinct())
-    rows = stored(rows.join(label, "id", "left").select("id", "leader", "chunk", F.coalesce("label", "id").alias("label")), "open-rows")
-    mixed = rows.groupBy("leader", "chunk").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("leader", "chunk")
-    return stored(rows.join(stored(mixed, "open-chunks"), ["leader", "chunk"]).select("id", "leader", "chunk", "label"), "open")
-
-
-def deduplicated(docs: DataFrame, *, doc_id: str = "doc_id", **how) -> DataFrame:
-    """docs with one document of each component, that of the least id. Rows with a null id stay; of rows that repeat a kept id one stays."""
-    found = stored(near_duplicates(docs, doc_id=doc_id, **how), "near-duplicates")
-    gone = found.where("component <> id").select(F.col("id").alias("_sw_id")).distinct()
-    again = found.where("component = id").groupBy("id").count().where("count > 1").limit(1).count()
-    gone = stored(gone, "duplicates")
-    bits = bitmap(gone, "_sw_id")
-    maybe = among(docs, doc_id, bits)
-    tested = docs.where(maybe)
-    rest = tested.join(gone, tested[doc_id] == gone["_sw_id"], "left_anti")
-    out = docs.where(~maybe).unionByName(rest)  # most rows need no shuffle
-    if again:
-        out = out.where(F.col(doc_id).isNull()).unionByName(out.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]))
-    return out
+def deduplicated(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """docs with one document of each component, that of the least id.
+
+    Rows with a null id and rows without words stay. Rows are judged by id and text together: different texts under one id both
+    stay unless they link. Of rows that repeat a kept id and its set of shingles the one of the least text stays.
+    """
+    found = stored(classified(docs, text, doc_id, words, percent).where("n > 0 and id is not null"), "near-duplicates")
+    stays = F.col("id").eqNullSafe(F.col("keeper"))
+    key = ["id", "n", "a", "b"]
+    gone = stored(found.where(~stays).select(*(F.col(c).alias("_sw_" + c) for c in key)).distinct(), "duplicates")
+    twice = found.where(stays).groupBy(*key).count().where("count > 1").select(*(F.col(c).alias("_sw_" + c) for c in key))
+    twice = stored(twice, "repeated-rows")
+
+    @F.arrow_udf("struct<n: long, a: long, b: long>")
+    def of(col: pa.Array) -> pa.Array:
+        out = [(len(s), *sums(s)) for w in _text.slices(col, table=_text.LOWER) for _, s in element_sets(w, words)]
+        c = np.array(out, np.uint64).reshape(-1, 3).view(np.int64)
+        return pa.StructArray.from_arrays([pa.array(c[:, i]) for i in range(3)], ["n", "a", "b"])
+
+    # columns of docs may have any names: they travel in one struct
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_sw_row"))
+    own = F.col("_sw_row")[doc_id].cast("long")
+    maybe = among(rows.withColumn("_sw_own", own), "_sw_own", bitmap(gone.union(twice), "_sw_id"))
+    rows = rows.withColumn("_sw_own", own)
+    some = rows.where(maybe).withColumn("_sw_k", of(F.col("_sw_row")[text]))
+    same = (F.col("_sw_own") == F.col("_sw_id")) & (F.col("_sw_k.n") == F.col("_sw_n")) & (F.col("_sw_k.a") == F.col("_sw_a")) & (F.col("_sw_k.b") == F.col("_sw_b"))
+    rest = some.join(gone, same, "left_anti")
+    if twice.limit(1).count():
+        once = rest.join(twice, same, "left_semi").groupBy("_sw_own", "_sw_k")
+        once = once.agg(F.min_by("_sw_row", F.struct(F.col("_sw_row")[text], F.to_json("_sw_row"))).alias("_sw_row"))
+        rest = rest.join(twice, same, "left_anti").select("_sw_row").union(once.select("_sw_row"))
+    out = rows.where(~maybe).select("_sw_row").union(rest.select("_sw_row"))  # most rows need no shuffle
+    return out.select(*(F.col("_sw_row")[c].alias(c) for c in docs.columns))

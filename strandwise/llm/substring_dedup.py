@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import _text
 from ._bloom import among, bitmap, may_have
-from ._runtime import join_small, remove, shared_dir, stored
+from ._runtime import join_small, remove, remove_path, shared_dir, stored
 
 WORDS, GRAM, BATCHES, HOT = 13, 6, 3, 4096
 #: Windows of one row at most: the bits of its mask.
@@ -70,9 +70,8 @@ class FingerprintIndex:
         return name
 
     def _drop(self, name: str) -> None:
-        rows = self.spark.table(name)
-        remove(rows)
         self.spark.sql(f"drop table {name}")
+        remove_path(self.spark, f"{shared_dir(self.spark)}/strandwise/{name}")
 
     def drop(self) -> None:
         for _, name in self.runs:
