@@ -3,25 +3,27 @@
 A window is `words` consecutive words ([^\\x20\\x09-\\x0D]+, unchanged) of one document. A word is removed if a window that covers
 it also starts in a document of a lesser id; windows are judged on the input. Documents come in batches of rising ids.
 
-1. Each window has a fingerprint: the least hash among the `gram`-word grams inside it (winnowing), so equal windows have
-   equal fingerprints and neighbours mostly share one. A batch's fingerprints become a run: an immutable table sorted by
-   fingerprint and bucketed, so that runs merge-join without a shuffle.
-2. The new run is merge-joined with every older run: what occurs in both, or in several documents of the batch, is a hit.
-3. Hits are verified: the windows with a hit's fingerprint, of the batch and of its history's texts, meet by fingerprint,
-   and a window (128 bits: fingerprint and an independent hash of all its words) is repeated if a lesser id has it. A
-   fingerprint of more than HOT documents is dealt out over several tasks, each with the least ids of its repeated
-   windows, which are summed in the tasks that read them.
-4. When a batch comes, runs of one level are compacted two by two into one of the next, so their number stays logarithmic.
-
-Null and empty texts, and texts of fewer words, lose nothing. Rows with a null id lose nothing and are no source. Rows
-that repeat an id are one document as a source; each row is judged by its own text. Empty tables give empty results.
+1. A window's fingerprint is the least hash of the `gram`-word grams inside it (winnowing): equal windows have equal
+   fingerprints and neighbours mostly share one. It names the bucket that owns the window, so neighbours travel together.
+2. A task first looks at its own Arrow batch: a window that a lesser id of that batch has is repeated and stays at home. So a bucket
+   gets a window once from each Arrow batch at most, however common it is.
+3. A bucket sorts its windows and merge-joins them with the older runs: what is in a run, or has a lesser id in the batch, is
+   repeated. All ids of older runs are less, so runs hold no ids and history is never read again.
+4. The bucket's new windows become a run: an immutable table, one row a bucket with its sorted window hashes, bucketed so that
+   later joins shuffle no run. When a batch comes, runs of one level are compacted two by two into one of the next, so their
+   number stays logarithmic. The newest batch is no run yet unless it is flushed.
+5. What was found is verified on the text of the row that loses words: the window at that place must have that hash.
+
+A window is told by 64 bits, mixed of its fingerprint and 40 bits of an independent hash of all its words. Null and empty texts,
+and texts of fewer words, lose nothing. Rows with a null id lose nothing and are no source. Rows that repeat an id are one
+document as a source; each row is judged by its own text. Empty tables give empty results. The result has columns of its own
+only; extra columns of docs, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
-import zlib
 from itertools import compress, repeat
 
 import numpy as np
@@ -30,12 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text
-from ._bloom import among, bitmap, may_have
-from ._runtime import join_small, remove, remove_path, shared_dir, stored
+from ._bloom import among, bitmap
+from ._runtime import modest, release, remove_path, shared_dir, stored
 
-WORDS, GRAM, BATCHES, HOT = 13, 6, 3, 4096
-#: Windows of one row at most: the bits of its mask.
-RUN = 60
+WORDS, GRAM, BATCHES = 13, 6, 4
+#: Windows of one row at most, and bytes of text for a bucket, about: it is sorted in one task's memory.
+RUN, BUCKET = 120, 32 << 20
+#: Bits of a window's own hash.
+KEY = np.uint64((1 << 40) - 1)
 
 
 def prints(w: _text.Words, words: int, gram: int) -> np.ndarray:
@@ -50,223 +54,245 @@ def prints(w: _text.Words, words: int, gram: int) -> np.ndarray:
     return out
 
 
-def signature(words: bytes) -> int:
-    """Tells the texts of rows that repeat an id, by their bytes from the first word to the last."""
-    return zlib.crc32(words)
+def keys(w: _text.Words, words: int) -> np.ndarray:
+    return _text.chain(w.hashes, words) & KEY
+
+
+def windows(col: pa.Array, words: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Row, place, fingerprint and key of all windows of a column."""
+    out = []
+    for w in _text.slices(col):
+        fp, key = prints(w, words, gram), keys(w, words)
+        n = np.diff(w.of)
+        row, at = np.repeat(np.arange(len(n)), n), np.arange(len(w.hashes))
+        use = np.flatnonzero(w.of[1:][row] - at >= words)
+        out.append((w.first + row[use], use - w.of[:-1][row[use]], fp[use], key[use]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (*[np.zeros(0, np.int64)] * 2, *[np.zeros(0, np.uint64)] * 2)
+
+
+def names(fp: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return _text.mix(fp ^ _text.mix(key))
+
+
+def later(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which windows have a copy of a lesser id."""
+    order = np.lexsort((ids, name))
+    x, i = name[order], ids[order]
+    first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))[: len(x)]
+    least = np.repeat(i[first], np.diff(np.append(first, len(x))))
+    out = np.empty(len(x), bool)
+    out[order] = i > least
+    return out
+
+
+def stretches(row: np.ndarray, at: np.ndarray, same: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First index and length of the stretches of neighbouring windows (of equal `same`), of at most RUN."""
+    if not len(row):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cut = np.concatenate(([True], (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)))
+    if same is not None:
+        cut[1:] |= same[1:] != same[:-1]
+    first = np.flatnonzero(cut)
+    since = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+    first = np.flatnonzero(since % RUN == 0)
+    return first, np.diff(np.append(first, len(row)))
+
+
+def planes(x: np.ndarray, size: int) -> bytes:
+    """Numbers by their bytes, all lowest ones first: zeros and sorted numbers compress well then."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes()
+
+
+def unplanes(b: bytes, size: int) -> np.ndarray:
+    x = np.frombuffer(b, np.uint8).reshape(size, -1)
+    out = np.zeros((x.shape[1], 8), np.uint8)
+    out[:, :size] = x.T
+    return out.view("<u8").ravel()
+
+
+ASKED = "p int, id binary, at binary, n binary, fp binary, key binary"
+MARKS = "id long, pos long, n long, key long"
+#: What a bucket answers: marks, or its run.
+ANSWER = f"p int, {MARKS}, run binary"
+
+
+def answer(p: int, marks: tuple[np.ndarray, ...], run: bytes | None) -> pa.Table:
+    id_, pos, n, key = (np.asarray(c).astype(np.int64) for c in marks)
+    more = 0 if run is None else 1
+    cols = [pa.array(np.concatenate((c, np.zeros(more, np.int64)))) for c in (id_, pos, n, key)]
+    last = pa.array([None] * len(id_) + [run] * more, pa.binary())
+    return pa.Table.from_arrays([pa.array(np.full(len(id_) + more, p, np.int32)), *cols, last], ["p", "id", "pos", "n", "key", "run"])
 
 
 class FingerprintIndex:
-    """Runs of fingerprints (fp, n documents) of all batches so far."""
+    """Runs of the windows of all batches so far."""
 
-    def __init__(self, spark: SparkSession, words: int = WORDS, gram: int = GRAM):
+    def __init__(self, spark: SparkSession, words: int = WORDS, gram: int = GRAM, buckets: int | None = None):
         self.spark, self.words, self.gram = spark, words, gram
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[tuple[int, str]] = []  # (level, table)
+        self.tables: list[str] = []
 
     def _write(self, rows: DataFrame) -> str:
         name = f"strandwise_run_{uuid.uuid4().hex}"
-        path = f"{shared_dir(self.spark)}/strandwise/{name}"
-        rows.sortWithinPartitions("fp").write.format("parquet").bucketBy(self.buckets, "fp").sortBy("fp").option("path", path).saveAsTable(name)
+        rows.write.format("parquet").bucketBy(self.buckets, "p").option("path", f"{shared_dir(self.spark)}/strandwise/{name}").saveAsTable(name)
+        self.tables.append(name)
         return name
 
     def _drop(self, name: str) -> None:
+        self.tables.remove(name)
         self.spark.sql(f"drop table {name}")
         remove_path(self.spark, f"{shared_dir(self.spark)}/strandwise/{name}")
 
     def drop(self) -> None:
-        for _, name in self.runs:
+        for name in list(self.tables):
             self._drop(name)
         self.runs = []
 
+    def run(self, name: str) -> DataFrame:
+        """(p, run): one row a bucket."""
+        return self.spark.table(name).where("run is not null").select("p", "run")
+
     def compact(self) -> None:
         """Merge-join pairs of runs of one level into a run of the next."""
+
+        @F.arrow_udf("binary")
+        def merged(a: pa.Array, b: pa.Array) -> pa.Array:
+            return pa.array([planes(np.union1d(unplanes(x, 8), unplanes(y, 8)), 8) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.binary())
+
         while len(self.runs) > 1 and self.runs[-1][0] == self.runs[-2][0]:
             (level, one), (_, two) = self.runs[-2], self.runs[-1]
-            a, b = self.spark.table(one), self.spark.table(two)
-            both = a.join(b, a["fp"] == b["fp"], "full_outer")
-            n = F.coalesce(a["n"], F.lit(0)) + F.coalesce(b["n"], F.lit(0))
-            merged = self._write(both.select(F.coalesce(a["fp"], b["fp"]).alias("fp"), n.alias("n"), F.lit(False).alias("several")))
-            self.runs[-2:] = [(level + 1, merged)]
-            self._drop(one)
-            self._drop(two)
-
-    def add(self, batch: DataFrame, history: DataFrame | None) -> DataFrame:
-        """Index a batch (id, text); stored: id, sig, pos, mask of its repeated windows. history: the texts indexed before."""
+            a, b = self.run(one), self.run(two).withColumnRenamed("run", "other")
+            both = a.join(b, "p").select("p", merged("run", "other").alias("run"))
+            self.runs[-2:] = [(level + 1, self._write(both))]
+
+    def add(self, batch: DataFrame, flush: bool = True) -> DataFrame:
+        """The repeated windows of a batch (id, text): stretches (id, pos, n) and the key of the first, stored. flush: the batch becomes a run."""
         self.compact()
-        words, gram = self.words, self.gram
+        words, gram, buckets = self.words, self.gram, self.buckets
 
-        def fingerprints(batches):
-            for b in batches:
-                for w in _text.slices(b.column(1)):
-                    fp, rows, of = prints(w, words, gram), [], []
-                    for i, a, e in w.each():
-                        if e - a >= words:
-                            rows.append(np.unique(fp[a : e - words + 1]))
-                            of.append(i)
-                    if rows:
-                        at = np.repeat(of, [len(r) for r in rows])
-                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows).view(np.int64)), b.column(0).take(pa.array(at))], ["fp", "id"])
-
-        found = batch.where("id is not null").mapInArrow(fingerprints, "fp long, id long")
-        run = found.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
-        name = self._write(run.select("fp", "n", (F.col("first") < F.col("last")).alias("several")))
-        new = self.spark.table(name)
-        hits = [new.where("several").select("fp", "n")]
-        for _, old in self.runs:
-            o = self.spark.table(old)
-            hits.append(new.join(o, new["fp"] == o["fp"]).select(new["fp"], (new["n"] + o["n"]).alias("n")))
-        self.runs.append((0, name))
-        hit = hits[0]
-        for h in hits[1:]:
-            hit = hit.union(h)
-        hit = stored(hit.groupBy("fp").agg(F.sum("n").alias("n")), "hits")
-        out = self._verified(hit, batch, history)
-        remove(hit)
-        return out
-
-    def _verified(self, hit: DataFrame, batch: DataFrame, history: DataFrame | None) -> DataFrame:
-        words, gram = self.words, self.gram
-        cast = self.spark.sparkContext.broadcast(bitmap(hit, "fp"))
-
-        def windows(batches):
+        def send(batches):
             for b in batches:
-                for w in _text.slices(b.column(1)):
-                    fp = prints(w, words, gram)
-                    if not len(fp):
-                        continue
-                    key, use = _text.chain(w.hashes, words), may_have(cast.value, fp.view(np.int64))
-                    out: list[list] = [[], [], [], [], []]
-                    for i, a, e in w.each():
-                        m = e - a - words + 1
-                        if m < 1 or not use[a : a + m].any():
-                            continue
-                        f, sig = fp[a : a + m], signature(w.buf[w.starts[a] : w.ends[e - 1]])
-                        cuts = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1], [True])))
-                        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                            if use[a + x]:
-                                for s in range(x, y, RUN):
-                                    t = min(y, s + RUN)
-                                    out[0].append(int(f[x].view(np.int64)))
-                                    out[1].append(i)
-                                    out[2].append(sig)
-                                    out[3].append(s)
-                                    out[4].append(key[a + s : a + t].view(np.int64))
-                    if out[0]:
-                        at = np.concatenate(([0], np.cumsum([len(k) for k in out[4]]))).astype(np.int32)
-                        keys = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(out[4])))
-                        where = pa.array(out[1], pa.int64())
-                        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), b.column(0).take(where), b.column(2).take(where), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()), keys], ["fp", "id", "fresh", "sig", "pos", "keys"])
-
-        texts = batch.where("id is not null").select("id", "text", F.lit(True).alias("fresh"))
-        if history is not None:
-            texts = texts.union(history.where("id is not null").select("id", "text", F.lit(False).alias("fresh")))
-        rows = texts.mapInArrow(windows, "fp long, id long, fresh boolean, sig long, pos int, keys array<long>")
-        hot = stored(hit.where(F.col("n") > HOT).select("fp", F.ceil(F.col("n") / HOT).cast("int").alias("salts")), "hot-prints")
-        kept = None
-        if hot.limit(1).count():
-            kept = rows = stored(join_small(rows, hot, "fp"), "windows")  # read twice
-            many = rows.where("salts is not null").select("fp", "salts", "id", "keys").mapInArrow(least_ids, "fp long, salts int, key long, first long, last long")
-            first = many.groupBy("fp", "salts", "key").agg(F.min("first").alias("id"), F.max("last").alias("last")).where("id < last")
-            first = first.select("fp", "id", F.lit(False).alias("fresh"), F.lit(0).cast("long").alias("sig"), F.lit(-1).alias("pos"), F.array("key").alias("keys"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-            salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("salts"))).cast("int")
-            rows = rows.select("fp", "id", "fresh", "sig", "pos", "keys", salt.alias("salt")).unionByName(first)
+                row, at, fp, key = windows(b.column(1), words, gram)
+                if not len(row):
+                    continue
+                ids = b.column(0).to_numpy(zero_copy_only=False)[row]
+                known = later(names(fp, key), ids)
+                use = np.flatnonzero(known)
+                first, n = stretches(row[use], at[use])
+                got = [(0, ids[use][first], at[use][first], n, None, key[use][first])] if len(first) else []
+                use = np.flatnonzero(~known)
+                row, at, fp, key, ids = row[use], at[use], fp[use], key[use], ids[use]
+                first, n = stretches(row, at, fp)
+                to = (_text.mix(fp[first]) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                cut = np.searchsorted(to[order], np.arange(buckets + 1))
+                for p in np.flatnonzero(np.diff(cut)).tolist():
+                    f = first[order[cut[p] : cut[p + 1]]]
+                    m = n[order[cut[p] : cut[p + 1]]]
+                    each = np.repeat(f - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                    got.append((p, ids[f], at[f], m, fp[f], key[each]))
+                if got and got[0][4] is None:  # these are no question: any bucket passes them on
+                    got[0] = (int(got[0][1][0]) % buckets, *got[0][1:])
+                cols = [
+                    pa.array([x[0] for x in got], pa.int32()), pa.array([planes(x[1], 8) for x in got], pa.binary()), pa.array([planes(x[2], 4) for x in got], pa.binary()),
+                    pa.array([planes(x[3], 1) for x in got], pa.binary()), pa.array([None if x[4] is None else planes(x[4], 8) for x in got], pa.binary()), pa.array([planes(x[5], 5) for x in got], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, ["p", "id", "at", "n", "fp", "key"])
+            release()
+
+        def bucket(key_of: tuple, asked: pa.Table, older: pa.Table) -> pa.Table:
+            p = key_of[0].as_py()
+            marks, got = [], []
+            for r in asked.to_pylist():
+                if r["id"] is None:
+                    continue
+                id_, at, n, key = unplanes(r["id"], 8).view(np.int64), unplanes(r["at"], 4).view(np.int64), unplanes(r["n"], 1).view(np.int64), unplanes(r["key"], 5)
+                if r["fp"] is None:
+                    marks.append((id_, at, n, key))
+                else:
+                    got.append((id_, at, n, unplanes(r["fp"], 8), key))
+            name = np.zeros(0, np.uint64)
+            if got:
+                id_, at, n, fp, key = (np.concatenate(c) for c in zip(*got, strict=True))
+                of = np.repeat(np.arange(len(n)), n)
+                name = names(fp[of], key)
+                again = later(name, id_[of])
+                for c in older.column_names[1:]:
+                    run = unplanes(older[c][0].as_py(), 8)
+                    if len(run):
+                        again |= run[np.minimum(np.searchsorted(run, name), len(run) - 1)] == name
+                use = np.flatnonzero(again)
+                place = at[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                first, m = stretches(of[use], place[use])
+                f = use[first]
+                marks.append((id_[of[f]], place[f], m, key[f]))
+            marks = [np.concatenate(c) for c in zip(*marks, strict=True)] if marks else [np.zeros(0, np.int64)] * 4
+            out = answer(p, tuple(marks), planes(np.unique(name), 8) if flush else None)
+            release()
+            return out
+
+        every = self.spark.range(buckets).select(F.col("id").cast("int").alias("p"), *(F.lit(None).cast("binary").alias(c) for c in ("id", "at", "n", "fp", "key")))
+        asked = batch.where("id is not null").select("id", "text").mapInArrow(send, ASKED).union(every).repartition(buckets, "p")
+        older = None
+        for i, (_, name) in enumerate(self.runs):
+            one = self.run(name).withColumnRenamed("run", f"run{i}")
+            older = one if older is None else older.join(one, "p")
+        if older is None:
+            found = asked.groupBy("p").applyInArrow(lambda key, rows: bucket(key, rows, pa.table({"p": []})), ANSWER)
         else:
-            rows = rows.withColumn("salt", F.lit(0))
-        rows = rows.repartition("fp", "salt").sortWithinPartitions("fp", "salt", F.col("pos") >= 0, "id")
+            found = asked.groupBy("p").cogroup(older.groupBy("p")).applyInArrow(bucket, ANSWER)
+        name = self._write(found)
+        if flush:
+            self.runs.append((0, name))
+        return self.spark.table(name).where("run is null").drop("p", "run")
 
-        def repeated(batches):
-            key, least = None, {}
-            for b in batches:
-                fp, ids, fresh, sig, pos, salt = (b.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("fp", "id", "fresh", "sig", "pos", "salt"))
-                keys = b.column("keys")
-                flat, at = keys.flatten().to_numpy(zero_copy_only=False).tolist(), np.append(0, np.cumsum(keys.value_lengths().to_numpy())).tolist()
-                out: list[list[int]] = [[], [], [], []]
-                for r in range(len(fp)):
-                    if (fp[r], salt[r]) != key:
-                        key, least = (fp[r], salt[r]), {}
-                    mask, bit, d = 0, 1, ids[r]
-                    for k in flat[at[r] : at[r + 1]]:
-                        if least.setdefault(k, d) < d:
-                            mask |= bit
-                        bit <<= 1
-                    if mask and fresh[r]:
-                        for o, v in zip(out, (d, sig[r], pos[r], mask), strict=True):
-                            o.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], ["id", "sig", "pos", "mask"])
-
-        out = stored(rows.mapInArrow(repeated, "id long, sig long, pos long, mask long"), "repeated")
-        if kept is not None:
-            remove(kept)
-        return out
-
-
-def least_ids(batches):
-    """Of (fp, salts, id, keys): the least and the greatest id of each window that a task sees, some rows at a time."""
-    seen: dict[tuple[int, int, int], list[int]] = {}
-
-    def rows():
-        cols = [pa.array([k[i] for k in seen], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64()))]
-        cols += [pa.array([v[i] for v in seen.values()], pa.int64()) for i in range(2)]
-        return pa.RecordBatch.from_arrays(cols, ["fp", "salts", "key", "first", "last"])
-
-    for b in batches:
-        fp, salts, ids = (b.column(i).to_pylist() for i in range(3))
-        keys = b.column(3)
-        flat, at = keys.flatten().to_pylist(), np.append(0, np.cumsum(keys.value_lengths().to_numpy())).tolist()
-        for r, d in enumerate(ids):
-            for k in flat[at[r] : at[r + 1]]:
-                v = seen.setdefault((fp[r], salts[r], k), [d, d])
-                if d < v[0]:
-                    v[0] = d
-                elif d > v[1]:
-                    v[1] = d
-        if len(seen) > 200_000:
-            yield rows()
-            seen.clear()
-    yield rows()
-
-
-def _outcome(text: bytes, marks: list | None, width: int) -> tuple[int, int, bytes]:
+
+def _outcome(text: bytes, marks: list | None, key: np.ndarray, width: int) -> tuple[int, int, bytes]:
     """Words, removed words and the kept ones joined by a space. bytes.split() knows the same separators as the pattern."""
     words = text.split()
     n = len(words)
     if marks:
-        sig, diff = signature(text.strip()), np.zeros(n + 1, np.int64)
+        diff = np.zeros(n + 1, np.int64)
         for m in marks:
-            if m["sig"] == sig:
-                mask, p = m["mask"], m["pos"]
-                while mask:
-                    low = (mask & -mask).bit_length() - 1
-                    diff[p + low] += 1
-                    diff[p + low + width] -= 1
-                    mask &= mask - 1
+            p = m["pos"]
+            if p < len(key) and int(key[p]) == m["key"]:  # else it is for another text of the same id
+                diff[p] += 1
+                diff[p + m["n"] - 1 + width] -= 1
         words = list(compress(words, (np.cumsum(diff[:n]) == 0).tolist()))
     return n, n - len(words), b" ".join(words)
 
 
 def substring_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, gram: int = GRAM, batches: int = BATCHES, texts: bool = False) -> DataFrame:
-    """One row a row of docs: id, n_words, n_removed, kept_sha256 (kept words joined by a space) and, if asked, kept_text."""
+    """One row a row of docs: id, n_words, n_removed, kept_sha256 (kept words joined by a space) and, if asked, kept_text.
+
+    The batches are a half, a quarter and so on of the documents, the least first.
+    """
     spark = docs.sparkSession
+    modest(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    cuts = rows.agg(F.percentile_approx("id", [i / batches for i in range(1, batches)])).first()[0] if batches > 1 else []
-    cuts = sorted(set(cuts or []))
-    index, marks = FingerprintIndex(spark, words, gram), None
+    cuts, size = rows.agg(F.percentile_approx("id", [2.0**-i for i in range(batches - 1, 0, -1)] or [1.0], 10_000), F.sum(F.octet_length("text"))).first()
+    cuts = sorted(set(cuts or [])) if batches > 1 else []
+    index, marks = FingerprintIndex(spark, words, gram, max(int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // BUCKET)), None
     for i in range(len(cuts) + 1):
         low = rows.where(F.col("id") > cuts[i - 1]) if i else rows
-        batch = low.where(F.col("id") <= cuts[i]) if i < len(cuts) else low
-        got = index.add(batch, rows.where(F.col("id") <= cuts[i - 1]) if i else None)
+        got = index.add(low.where(F.col("id") <= cuts[i]) if i < len(cuts) else low, flush=i < len(cuts))
         marks = got if marks is None else marks.union(got)
+    marks = stored(marks, "repeated")
     index.drop()
     kind = "struct<n_words: long, n_removed: long, kept_sha256: string" + (", kept_text: string>" if texts else ">")
-    names = ["n_words", "n_removed", "kept_sha256", *(["kept_text"] if texts else [])]
+    names_ = ["n_words", "n_removed", "kept_sha256", *(["kept_text"] if texts else [])]
 
     def result(col: pa.Array, given: pa.Array | None) -> pa.Array:
+        own = repeat(np.zeros(0, np.uint64))
+        if given is not None:
+            own = (key[a : max(a, e - words + 1)] for w in _text.slices(col) for key in [keys(w, words)] for _, a, e in w.each())
         marked = given.to_pylist() if given is not None else repeat(None)
-        got = [_outcome((t.as_py() or "").encode(), m, words) for t, m in zip(col, marked, strict=False)]
+        got = [_outcome((t.as_py() or "").encode(), m, k, words) for t, m, k in zip(col, marked, own, strict=False)]
         cols = [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([hashlib.sha256(g[2]).hexdigest() for g in got], pa.string())]
         if texts:
             cols.append(pa.array([g[2].decode() for g in got], pa.string()))
-        return pa.StructArray.from_arrays(cols, names)
+        return pa.StructArray.from_arrays(cols, names_)
 
     @F.arrow_udf(kind)
     def whole(col: pa.Array) -> pa.Array:
@@ -277,7 +303,7 @@ def substring_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
         return result(col, given)
 
     maybe = among(rows, "id", bitmap(marks, "id"))
-    of = marks.groupBy(F.col("id").alias("_sw_id")).agg(F.collect_list(F.struct("sig", "pos", "mask")).alias("marks"))
+    of = marks.groupBy(F.col("id").alias("_sw_id")).agg(F.collect_list(F.struct("pos", "n", "key")).alias("marks"))
     tested = rows.where(maybe)
     marked = tested.join(of, tested["id"] == of["_sw_id"], "left").select("id", cut("text", "marks").alias("r"))
     same = rows.where(~maybe).select("id", whole("text").alias("r"))  # most texts need no shuffle
