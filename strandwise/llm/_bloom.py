@@ -31,8 +31,8 @@ def bitmap(df: DataFrame, column: str) -> np.ndarray:
 
     rows = df.select(F.col(column).cast("long")).mapInArrow(parts, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
     out = np.zeros(1 << (BITS - 6), np.int64)
-    for r in rows.toLocalIterator():  # at most 2**18 rows
-        out[r[0]] = r[1]
+    got = rows.toArrow()  # at most 2**18 rows
+    out[got["word"].to_numpy()] = got["bits"].to_numpy()
     return out.view(np.uint64)
 
 

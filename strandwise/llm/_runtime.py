@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: A side is broadcast only if its counted rows stay within this bound (a row is a key and a few numbers).
 BROADCAST_ROWS = 20_000
 SALTS = 64
+#: Rows of a key and a few numbers for one file, about.
+FILE_ROWS = 20_000
 #: Bytes of an Arrow batch.
 BATCH = 8 << 20
 
@@ -30,9 +32,20 @@ def modest(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: it cuts the lineage and outlives any executor."""
+def guarded(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its columns that begin with an underscore renamed, as operators name columns of their own so, and the way back."""
+    names = {c: f"sw{i}{c}" for i, c in enumerate(docs.columns) if c.startswith("_")}
+    return docs.withColumnsRenamed(names), {v: k for k, v in names.items()}
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: it cuts the lineage and outlives any executor.
+
+    rows: about how many narrow rows it has, so that a small table does not become a file for each partition.
+    """
     spark = df.sparkSession
+    if rows is not None and rows // FILE_ROWS + 1 < int(spark.conf.get("spark.sql.shuffle.partitions")):
+        df = df.coalesce(rows // FILE_ROWS + 1)
     path = f"{shared_dir(spark)}/strandwise/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from . import _text
 from ._bloom import among, bitmap
 from ._runtime import join_small, modest, release, remove, stored
-from .components import components
+from .components import components, merged
 
 WORDS, PERCENT = 5, 80
 #: Hundredths of a set's pairs that are sent beyond those that a link may break.
@@ -158,7 +158,7 @@ def sharing(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> Da
             first, many = runs(slot)
             c = np.bincount(owner[np.repeat(many > 1, many)], minlength=len(slots))
             at = np.flatnonzero(c)
-            yield packed(np.array([0]), np.array([-1]), [names[at].tobytes()], [c[at].astype(np.int64).tobytes()])
+            yield packed(np.array([int(names[0]) % parts]), np.array([-1]), [names[at].tobytes()], [c[at].astype(np.int64).tobytes()])
             slot, owner = slot[first], names[owner[first]]
             to = (slot % np.uint64(parts)).astype(np.int64)
             slot |= np.where(many > 1, ~SLOT, np.uint64(0))  # counted already
@@ -180,31 +180,44 @@ def sharing(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> Da
         names, c = np.unique(owner[np.repeat(use, many) & ~told], return_counts=True)
         return names, c
 
-    def gather(batches):
-        key, slots, owners = None, [], []
-
-        def done():
-            if slots:
-                names, c = count(np.concatenate(slots), np.concatenate(owners))
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(c)], ["a", "c"])
-
+    def blobs(batches):
+        """(part, kind, one, two) of a stream sorted by part: all of a part together."""
+        key, rows = None, []
         for b in batches:
-            for part, kind, one, two in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                if kind < 0:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(one, np.int64)), pa.array(np.frombuffer(two, np.int64))], ["a", "c"])
-                    continue
-                if part != key:
-                    yield from done()
-                    key, slots, owners = part, [], []
-                slots.append(np.frombuffer(one, np.uint64))
-                owners.append(np.frombuffer(two, np.int64))
-        yield from done()
+            for part, *row in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if part != key and rows:
+                    yield rows
+                    rows = []
+                key = part
+                rows.append(row)
+        if rows:
+            yield rows
+
+    def gather(batches):
+        for rows in blobs(batches):
+            got = [(np.frombuffer(one, np.int64), np.frombuffer(two, np.int64)) for kind, one, two in rows if kind < 0]
+            ask = [(np.frombuffer(one, np.uint64), np.frombuffer(two, np.int64)) for kind, one, two in rows if kind >= 0]
+            if ask:
+                got.append(count(*(np.concatenate(x) for x in zip(*ask, strict=True))))
+            name, c = (np.concatenate(x) for x in zip(*got, strict=True))
+            to = name % parts
+            order = np.argsort(to, kind="stable")
+            name, c, cut = name[order], c[order], np.searchsorted(to[order], np.arange(parts + 1))
+            use = np.flatnonzero(np.diff(cut))
+            yield packed(use, use, [name[cut[p] : cut[p + 1]].tobytes() for p in use], [c[cut[p] : cut[p + 1]].tobytes() for p in use])
         release()
 
+    def total(batches):
+        for rows in blobs(batches):
+            name, c = (np.concatenate([np.frombuffer(x[i], np.int64) for x in rows]) for i in (1, 2))
+            names, of = np.unique(name, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.bincount(of, c).astype(np.int64))], ["a", "c"])
+
     rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(text).alias("text"))
-    asked = rows.mapInArrow(send, "part long, kind long, one binary, two binary")
-    dealt = asked.repartition(parts, F.when(F.col("kind") < 0, F.xxhash64("one")).otherwise(F.col("part"))).sortWithinPartitions("part", "kind")
-    return dealt.mapInArrow(gather, "a long, c long").groupBy("a").agg(F.sum("c").alias("c"))
+    kind = "part long, kind long, one binary, two binary"
+    asked = rows.mapInArrow(send, kind).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    told = asked.mapInArrow(gather, kind).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    return told.mapInArrow(total, "a long, c long")
 
 
 def packed(part, kind, one, two) -> pa.RecordBatch:
@@ -271,8 +284,8 @@ class Index:
         self.lengths = np.empty(len(values), np.int64)
         self.lengths[order] = np.repeat(count, count)
 
-    def search(self, q: int, t: int, wanted) -> list[tuple[int, int]]:
-        """(document, intersection) of all wanted documents with t elements of q or more."""
+    def search(self, q: int, t: int, wanted: np.ndarray) -> list[tuple[int, int]]:
+        """(document, intersection) of all wanted documents (a mask) with t elements of q or more."""
         lengths = self.lengths[self.begin[q] : self.begin[q + 1]]
         use = lengths > 1
         if np.count_nonzero(use) < t:
@@ -282,11 +295,18 @@ class Index:
         skip = min(t - 1, int(t / (MU * np.log2(lengths.max()) + 1)))
         short, long = mine[order[: len(order) - skip]], mine[order[len(order) - skip :]]
         where = np.searchsorted(self.tokens, short)
-        merged = heapq.merge(*(self.owners[self.at[x] : self.at[x + 1]].tolist() for x in where.tolist()))
+        size = self.at[where + 1] - self.at[where]
+        place = np.repeat(self.at[where] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        owners, of = self.owners[place], np.repeat(np.arange(len(where)), size)
+        keep = wanted[owners]
+        owners, of = owners[keep], of[keep]
+        cut = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True]))).tolist() if len(of) else [0]
+        flat = owners.tolist()
+        merged_lists = heapq.merge(*(flat[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)))
         found = []
-        for d, same in groupby(merged):
+        for d, same in groupby(merged_lists):
             n = sum(1 for _ in same)
-            if d == q or n < t - skip or not wanted(d):
+            if n < t - skip:
                 continue
             other = self.sets[d]
             place = np.searchsorted(other, long)  # a probe of each long list for d
@@ -313,12 +333,17 @@ def chunk_links(found: list[np.ndarray], sizes: list[int], percent: int, known:
             left -= 1
     out = []
     index = Index(found) if left > 1 else None
+    size = np.array(sizes)
     for q in range(len(found)):
         if left == 1:
             break
         if not asks[q]:
             continue
-        for d, n in index.search(q, required(sizes[q], percent), lambda d, q=q: top(d) != top(q)):
+        mine = top(q)
+        wanted = np.array([top(d) != mine for d in range(len(found))]) & (100 * np.minimum(size, sizes[q]) >= percent * np.maximum(size, sizes[q]))
+        if not wanted.any():
+            continue
+        for d, n in index.search(q, required(sizes[q], percent), wanted):
             if top(d) != top(q) and 100 * n >= percent * (sizes[q] + sizes[d] - n):
                 root[top(d)] = top(q)
                 left -= 1
@@ -329,7 +354,8 @@ def chunk_links(found: list[np.ndarray], sizes: list[int], percent: int, known:
 def meet(rows: DataFrame, found: DataFrame, percent: int, name: str) -> DataFrame:
     """Stored links (a, b) of rows (leader, chunk, x, label, asks), whose sets are in found."""
     full = rows.join(found, rows["x"] == found["a"]).select("leader", "chunk", "x", "label", "asks", "n", "tokens")
-    full = full.repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", "x")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number: few bytes can be much work
+    full = full.repartition(parts, "leader", "chunk").sortWithinPartitions("leader", "chunk", "x")
 
     def stream(batches):
         for b in batches:
@@ -371,11 +397,12 @@ def linked(found: DataFrame, percent: int) -> DataFrame:
     leaders = posting.groupBy("token", "band").agg(F.min("a").alias("leader"), F.max("a").alias("last")).where("leader < last").drop("last")
     pairs = posting.join(leaders, ["token", "band"]).where("a <> leader").select(F.col("a").alias("x"), "leader").distinct()
     pairs = stored(pairs, "meetings")
+    size = pairs.count()
     hot = pairs.groupBy("leader").count().where(F.col("count") > CHUNK).select("leader", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
-    hot = stored(hot, "hot-leaders")
+    hot = stored(hot, "hot-leaders", size)
     split = join_small(pairs, hot, "leader")
     home = F.when(F.col("chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64("x"), F.col("chunks"))).cast("int")
-    rows = stored(split.select("x", "leader", home.alias("chunk"), F.coalesce("chunks", F.lit(1)).alias("chunks")), "members")
+    rows = stored(split.select("x", "leader", home.alias("chunk"), F.coalesce("chunks", F.lit(1)).alias("chunks")), "members", size)
     heads = rows.select("leader", "chunk").distinct().select(F.col("leader").alias("x"), "leader", "chunk")
     first = rows.select("x", "leader", "chunk").union(heads).select("leader", "chunk", "x", F.col("x").alias("label"), F.lit(True).alias("asks"))
     links = meet(first, found, percent, "links")
@@ -387,7 +414,7 @@ def linked(found: DataFrame, percent: int) -> DataFrame:
         now = members.join(label.withColumnRenamed("id", "x"), "x", "left").select("x", "leader", "chunk", "chunks", F.coalesce("label", "x").alias("label"))
         top = label.select(F.col("id").alias("leader"), F.col("label").alias("main"))
         main = members.select("leader").distinct().join(top, "leader", "left").select("leader", F.coalesce("main", "leader").alias("main"))
-        now = stored(join_small(now, stored(main, "mains"), "leader", "inner"), "members-now")
+        now = stored(join_small(now, stored(main, "mains", size), "leader", "inner"), "members-now", size)
         more = now.where((F.col("label") != F.col("main")) & (F.col("chunks") > met))
         to = F.sequence(F.col("chunk") + met, F.col("chunk") + F.least(F.lit(met + step), F.col("chunks")) - 1)
         asks = more.select("leader", F.explode(to).alias("to"), "chunks", "x", "label").select("leader", F.pmod("to", "chunks").alias("chunk"), "x", "label", F.lit(True).alias("asks"))
@@ -398,11 +425,9 @@ def linked(found: DataFrame, percent: int) -> DataFrame:
             break
         asked = asks.select(F.col("leader").alias("_l"), F.col("chunk").alias("_c")).distinct()
         there = now.join(asked, (F.col("leader") == F.col("_l")) & (F.col("chunk") == F.col("_c")), "left_semi").select("leader", "chunk", "x", "label", F.lit(False).alias("asks"))
-        found_now = meet(asks.union(there), found, percent, "more-links")
-        links = links.union(found_now)
+        label = merged(label, meet(asks.union(there), found, percent, "more-links"))
         remove(asks)
         remove(now)
-        label = components(links)
         met, step = met + step, step * GROWTH
     remove(pairs)
     remove(rows)
