@@ -2,8 +2,8 @@
 
 Overlapping heuristic labellers vote 1 (good), 0 (poor) or abstain on each whole text. Expectation-maximisation over the counts of
 vote patterns (few rows, whatever the corpus) estimates each labeller's accuracy and how common good texts are. Posterior
-labels of a bounded sample then train a linear scorer over hashed words and word pairs, weighted by how sure the posterior
-is; the scorer gives every text a score.
+labels of a bounded sample then train a linear scorer over hashed features of the text (words, word pairs and shapes of words),
+weighted by how sure the posterior is; the scorer, which sees no votes, gives every text a score.
 
 Null and empty texts have no features and get the scorer's base value. Null ids are scored like others but not sampled.
 Repeated rows get equal scores. An empty table, or votes of one kind only, give the prior to all. Texts are read whole. No table
@@ -20,11 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text
+from ._runtime import modest, release
 
 #: Features: 2**BITS hashed counts. At most TRAIN_ROWS rows, those of the least hash of the id, train the scorer.
 BITS, TRAIN_ROWS, PASSES, RATE = 16, 6000, 12, 0.5
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>{}[]\\^~=+@")] = True
+#: Bytes that are no part of a letter.
+ODD = np.ones(256, np.int64)
+ODD[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 0
 STOPS = frozenset("the of and to in a is that it for was on be as with der die und den das von zu la le de les et que en un el los las es por".split())
 
 
@@ -101,10 +105,24 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, steps: int = 100) -> Accu
     return model
 
 
-def features(w: _text.Words, a: int, e: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words and pairs with the root of their counts, of length 1 together."""
+def odd_bytes(w: _text.Words) -> np.ndarray:
+    """Bytes that are no letters of each word."""
+    total = np.concatenate(([0], np.cumsum(ODD[w.buf])))
+    return total[w.ends] - total[w.starts]
+
+
+def features(w: _text.Words, a: int, e: int, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed words, pairs, shapes and sizes with the root of their counts, of length 1 together.
+
+    A word's shape is its number of bytes and of bytes that are no letters; a text's sizes are the steps of its number of words
+    and of the share of its words that differ.
+    """
     h = w.hashes[a:e]
-    at = np.concatenate([h, _text.chain(h, 2)]) >> np.uint64(64 - BITS)
+    n = w.ends[a:e] - w.starts[a:e]
+    shape = _text.mix((np.minimum(n, 20) * 32 + np.minimum(odd[a:e], 20)).astype(np.uint64) + np.uint64(1))
+    steps = [int(4 * np.log2(e - a + 1)), 100 + int(10 * len(np.unique(h)) / max(1, e - a))]
+    sizes = _text.mix(np.array(steps, np.uint64) + np.uint64(1 << 20))
+    at = np.concatenate([h, _text.chain(h, 2), shape, np.repeat(sizes, max(1, e - a))]) >> np.uint64(64 - BITS)
     f, n = np.unique(at.astype(np.int64), return_counts=True)
     v = np.sqrt(n)
     return f, v / max(1e-9, np.sqrt((v**2).sum()))
@@ -112,32 +130,28 @@ def features(w: _text.Words, a: int, e: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Scorer:
-    """A linear scorer of fixed size: hashed weights and weights of the labellers' votes."""
+    """A linear scorer of fixed size over hashed features."""
 
     weights: np.ndarray
-    votes: np.ndarray  # [labeller, vote]
     base: float
 
-    def score(self, f: np.ndarray, v: np.ndarray, cast: tuple[int, ...]) -> float:
-        x = self.base + float((self.weights[f] * v).sum()) + float(sum(self.votes[j, c] for j, c in enumerate(cast)))
+    def score(self, f: np.ndarray, v: np.ndarray) -> float:
+        x = self.base + float((self.weights[f] * v).sum())
         return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, tuple[int, ...], float]], good: float) -> Scorer:
+def train(rows: list[tuple[np.ndarray, np.ndarray, float]], good: float) -> Scorer:
     """Adaptive gradient steps on the posterior as a soft label, in a fixed order."""
-    s = Scorer(np.zeros(1 << BITS, np.float32), np.zeros((LABELLERS, 3)), float(np.log(good / (1 - good))))
-    g, gv, gb = np.full(1 << BITS, 1e-3), np.full((LABELLERS, 3), 1e-3), 1e-3
-    rng, at = np.random.default_rng(3), np.arange(LABELLERS)
+    s = Scorer(np.zeros(1 << BITS, np.float32), float(np.log(good / (1 - good))))
+    g, gb = np.full(1 << BITS, 1e-3), 1e-3
+    rng = np.random.default_rng(3)
     for _ in range(PASSES):
         for i in rng.permutation(len(rows)).tolist():
-            f, v, cast, p = rows[i]
-            d = (s.score(f, v, cast) - p) * (abs(2 * p - 1) + 0.05)
+            f, v, p = rows[i]
+            d = (s.score(f, v) - p) * (abs(2 * p - 1) + 0.05)
             step = d * v
             g[f] += step * step
             s.weights[f] -= (RATE * step / np.sqrt(g[f])).astype(np.float32) * 0.2
-            c = np.array(cast)
-            gv[at, c] += d * d
-            s.votes[at, c] -= RATE * d / np.sqrt(gv[at, c]) * 0.2
             gb += d * d
             s.base -= RATE * d / np.sqrt(gb) * 0.1
     return s
@@ -145,7 +159,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, tuple[int, ...], float]], goo
 
 def fit(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> tuple[Accuracies | None, Scorer]:
     """The labellers' accuracies over the whole table and a scorer trained on a bounded sample."""
-    nothing = Scorer(np.zeros(1 << BITS, np.float32), np.zeros((LABELLERS, 3)), 0.0)
+    modest(docs.sparkSession)
+    nothing = Scorer(np.zeros(1 << BITS, np.float32), 0.0)
     names = [f"v{j}" for j in range(LABELLERS)]
 
     def pattern(batches):
@@ -169,8 +184,9 @@ def fit(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> tuple
         for b in batches:
             f, v, c = [], [], []
             for w in _text.slices(b.column(1), table=_text.LOWER):
+                odd = odd_bytes(w)
                 for _, a, e in w.each():
-                    x, y = features(w, a, e)
+                    x, y = features(w, a, e, odd)
                     f.append(x.astype(np.int32))
                     v.append(y.astype(np.float32))
                     c.append(votes(_shares(w, a, e)))
@@ -181,18 +197,21 @@ def fit(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> tuple
     if not rows:
         return model, nothing
     p = model.posterior(np.array([r[3] for r in rows]))
-    return model, train([(f, v, c, float(y)) for (_, f, v, c), y in zip(rows, p, strict=True)], model.good)
+    return model, train([(f, v, float(y)) for (_, f, v, _), y in zip(rows, p, strict=True)], model.good)
 
 
 def quality_scores(docs: DataFrame, scorer: Scorer, *, text: str = "text", out: str = "quality_score") -> DataFrame:
     """docs with a score from 0 to 1 (higher: good likelier)."""
+    modest(SparkSession.active())
     cast = SparkSession.active().sparkContext.broadcast(scorer)
 
     @F.arrow_udf("double")
     def score(col: pa.Array) -> pa.Array:
         got = []
         for w in _text.slices(col, table=_text.LOWER):
-            got += [cast.value.score(*features(w, a, e), votes(_shares(w, a, e))) for _, a, e in w.each()]
+            odd = odd_bytes(w)
+            got += [cast.value.score(*features(w, a, e, odd)) for _, a, e in w.each()]
+        release()
         return pa.array(got, pa.float64())
 
     return docs.withColumn(out, score(F.col(text)))
