@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._runtime import join_small, stored
+from ._runtime import guarded, join_small, stored
 
 RATIO, MIN_PAGES = 0.1, 4
 BLANKS = " \t\r"
@@ -31,7 +31,8 @@ def _full(line: Column) -> Column:
 
 
 def line_dedup(docs: DataFrame, *, host: str, text: str = "text", doc_id: str = "doc_id", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
-    """docs with boilerplate lines taken out of `text`; with counts also n_lines (not blank) and n_dropped."""
+    """docs with boilerplate lines taken out of `text`; with counts also n_lines (not blank) and n_dropped, which replace columns of these names."""
+    docs, back = guarded(docs)
     lines = docs.select(
         F.col(doc_id).alias("_sw_id"), F.col(host).alias("_sw_host"),
         F.explode(F.array_distinct(F.transform(F.filter(F.split(F.col(text), "\n", -1), _full), _key))).alias("_sw_line"),
@@ -49,7 +50,7 @@ def line_dedup(docs: DataFrame, *, host: str, text: str = "text", doc_id: str =
         full = F.coalesce(F.size(F.filter(split, _full)), F.lit(0))
         out = out.withColumn("n_lines", full.cast("long"))
         out = out.withColumn("n_dropped", F.when(F.col("_sw_bad").isNull() | F.col(text).isNull(), F.lit(0)).otherwise(F.size(split) - F.size(kept)).cast("long"))
-    return out.withColumn(text, F.when(F.col("_sw_bad").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))).drop("_sw_bad")
+    return out.withColumn(text, F.when(F.col("_sw_bad").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))).drop("_sw_bad").withColumnsRenamed(back)
 
 
 HOST = "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"

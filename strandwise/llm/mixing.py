@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._runtime import join_small, stored
+from ._runtime import guarded, join_small, stored
 
 WEIGHTS = (3, 1, 2)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +48,7 @@ def source_targets(docs: DataFrame, *, source: str = "source", text: str = "text
 def mixing_plan(docs: DataFrame, *, source: str = "source", text: str = "text", doc_id: str = "doc_id", seed: str = SEED, **how) -> DataFrame:
     """docs with size, source_size, target, copies and taken (size times copies); clashing columns are replaced."""
     targets = stored(source_targets(docs, source=source, text=text, **how), "mix-targets")
+    docs, back = guarded(docs)
     out = docs.withColumn("size", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
     out = out.drop(*(c for c in ("source_size", "target", "copies", "taken") if c in docs.columns))
     out = join_small(out.withColumn("_sw_source", F.col(source)), targets, "_sw_source").drop("_sw_source")
@@ -56,7 +57,7 @@ def mixing_plan(docs: DataFrame, *, source: str = "source", text: str = "text",
     chance = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
     copies = F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")
     out = out.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long"))
-    return out.withColumn("taken", F.col("size") * F.col("copies"))
+    return out.withColumn("taken", F.col("size") * F.col("copies")).withColumnsRenamed(back)
 
 
 def mixing(docs: DataFrame, **how) -> DataFrame:

@@ -8,7 +8,7 @@ exceeds the capacity, the group is packed again with one window more.
 
 Null and empty texts are the one id `end`. Every row of docs is packed, repeated rows and null ids too. Rows are dealt out
 by their place in a stored table, not by their values, so that no copy or id makes a large group. An empty table gives an
-empty result. Only pieces' numbers are shuffled, no ids.
+empty result. The result has columns of its own only; extra columns of docs, whatever their names, are not read. Only pieces' numbers are shuffled, no ids.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from ._runtime import stored
+from ._runtime import modest, release, stored
 
 CAPACITY, PART, WINDOWS, END = 1024, 256, 64, 0
 
@@ -62,6 +62,7 @@ def packed(sizes: list[int], capacity: int) -> list[list[int]]:
 def pieces(docs: DataFrame, *, text: str, doc_id: str, path: str | None, capacity: int, part: int, end: int) -> DataFrame:
     """Stored: doc_id, start, length, ids_crc32, doc_tokens; texts are tokenized once."""
     path = path or tokens.default_path()
+    modest(docs.sparkSession)
     close = np.array([end], "<u4").tobytes()
 
     def cut(batches):
@@ -80,6 +81,7 @@ def pieces(docs: DataFrame, *, text: str, doc_id: str, path: str | None, capacit
                     crc.append(zlib.crc32(ids[4 * x : 4 * y]))
                     total.append(n)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), *(pa.array(c, pa.int64()) for c in (start, length, crc, total))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        release()
 
     kind = dict(docs.dtypes)[doc_id]
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))

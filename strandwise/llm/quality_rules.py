@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._runtime import stored
+from ._runtime import guarded, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES, SYMBOLS = " \t\n\x0b\f\r", "#*$%&|<>"
@@ -31,6 +31,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 def statistics(docs: DataFrame, *, text: str = "text", out: str = "stats") -> DataFrame:
     """docs with a struct `out` of COUNTS (long). Words and windows stay inside the row: no shuffle."""
+    docs, back = guarded(docs)
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.regexp_extract_all(t, F.lit(WORD), F.lit(0))
     df = docs.withColumn("_sw_words", words)
@@ -51,7 +52,7 @@ def statistics(docs: DataFrame, *, text: str = "text", out: str = "stats") -> Da
         (F.size("_sw_lines") - F.size(F.array_distinct("_sw_lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("_sw_at").isNull(), F.lit(0)).otherwise(covered).cast("long").alias("n_repeat_words"),
     )
-    return df.withColumn(out, stats).drop("_sw_words", "_sw_grams", "_sw_at", "_sw_lines")
+    return df.withColumn(out, stats).drop("_sw_words", "_sw_grams", "_sw_at", "_sw_lines").withColumnsRenamed(back)
 
 
 def features(stats: str) -> dict[str, Column]:
@@ -154,7 +155,8 @@ def learn(stats: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", label:
     feature = features(column)
     rows = stats.where(where) if where is not None else stats
     rows = rows.select(F.col(doc_id).alias("_sw_doc"), *(c.alias(f) for f, c in feature.items()))
-    rows = rows.join(F.broadcast(y), rows["_sw_doc"] == y["_sw_id"]).dropDuplicates(["_sw_doc"])
+    rows = rows.join(F.broadcast(y), rows["_sw_doc"] == y["_sw_id"])
+    rows = rows.groupBy("_sw_doc", "_sw_y").agg(F.min(F.struct(*feature)).alias("x")).select("_sw_doc", "_sw_y", "x.*")  # of rows that repeat an id, the least
     got = sorted(rows.collect(), key=lambda r: zlib.crc32(str(r["_sw_doc"]).encode()))
     return covering([({f: r[f] for f in feature}, int(r["_sw_y"] > 0)) for r in got])
 
@@ -167,10 +169,11 @@ def base_failed(stats: str) -> Column:
 
 def quality_rules(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id", label: str = "quality", where: Column | None = None) -> tuple[DataFrame, list[Rule]]:
     """docs without its text, with COUNTS, base_failed, rule (0: none) and kept; and the rules. Texts are read once."""
+    docs, back = guarded(docs)
     base = statistics(docs, text=text, out="_sw_stats").drop(text).withColumn("_sw_failed", base_failed("_sw_stats"))
     base = stored(base, "quality-statistics")
     rules = learn(base, labels, doc_id=doc_id, label=label, column="_sw_stats", where=~F.col("_sw_failed") if where is None else ~F.col("_sw_failed") & where)
     out = base.drop(*(c for c in [*COUNTS, "base_failed", "rule", "kept"] if c in base.columns))
     number = verdict(rules, features("_sw_stats"))
     out = out.select(*out.columns, *(F.col(f"_sw_stats.{c}").alias(c) for c in COUNTS), F.col("_sw_failed").alias("base_failed"), F.when(F.col("_sw_failed"), F.lit(0)).otherwise(number).cast("int").alias("rule"))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)).drop("_sw_stats", "_sw_failed"), rules
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)).drop("_sw_stats", "_sw_failed").withColumnsRenamed(back), rules

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._runtime import modest
+
 #: The pattern of pre-tokens of byte-level BPE files with use_regex (a fixed value of the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NAME = "byte_bpe_50k.json"
@@ -172,6 +174,7 @@ def ids(path: str) -> Ids:
 def counted(text: Column, path: str | None = None) -> Column:
     """The number of tokens of a string column. Only the proven strings (at most the vocabulary) are broadcast."""
     path = path or default_path()
+    modest(SparkSession.active())
     cast = SparkSession.active().sparkContext.broadcast(frozenset(coder(path).whole_tokens()))
 
     @F.arrow_udf("long")

@@ -9,7 +9,7 @@ passages of clean texts. A text's evidence is the sum of -ln E over its passages
 fitted on the training texts makes it a probability.
 
 Nulls and empty texts have no tokens: no evidence, the curve's value at 0. Rows with a null id are scored, never learned
-from. Repeated rows get equal scores. An empty table or no labels: a score of PRIOR for all. Whole texts are scanned.
+from. Repeated rows get equal scores. Other columns pass through. An empty table or no labels: a score of PRIOR for all. Whole texts are scanned.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import _text
-from ._runtime import remove, stored
+from ._runtime import modest, release, remove, stored
 
 BUCKET_BITS = 18
 #: At most this many labelled rows are learned from, those with the least hash of the id (a documented bound).
@@ -144,6 +144,7 @@ def training(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label:
 
 def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", learn: Column | None = None) -> Model:
     """A model learned from the rows of labels that `learn` keeps."""
+    modest(docs.sparkSession)
     train = training(docs, labels, text, doc_id, label, learn)
     size = 1 << BUCKET_BITS
 
@@ -159,8 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str =
 
     counts = train.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     n = np.zeros(2 * size)
-    for r in counts.toLocalIterator():  # at most 2 * 2**BUCKET_BITS rows
-        n[r[0]] = r[1]
+    got = counts.toArrow()  # at most 2 * 2**BUCKET_BITS rows
+    n[got["bucket"].to_numpy()] = got["n"].to_numpy()
     clean, toxic = n[:size], n[size:]
     if not clean.sum() or not toxic.sum():
         remove(train)
@@ -204,6 +205,7 @@ RESULT = T.StructType([
 
 def scored(model: Model, text: Column) -> Column:
     """A struct: score, number of tokens and of significant passages, bytes of the best passage (start, end, counted from the first token), its E."""
+    modest(SparkSession.active())
     cast = SparkSession.active().sparkContext.broadcast(model)
 
     @F.arrow_udf(RESULT)
@@ -224,12 +226,15 @@ def scored(model: Model, text: Column) -> Column:
                 p = min(found, key=lambda f: f[3])
                 zero = int(starts[a])  # counted from the text's first token
                 rows.append((m.probability(x), e - a, len(found), int(starts[a + p[0]]) - zero, int(ends[a + p[1] - 1]) - zero, p[3]))
-        names = [f.name for f in RESULT]
-        return pa.array([dict(zip(names, r, strict=True)) for r in rows], pa.struct([("score", pa.float64()), ("n_tokens", pa.int64()), ("n_passages", pa.int64()), ("first_start", pa.int64()), ("first_end", pa.int64()), ("least_e", pa.float64())]))
+        kinds = (pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        out = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.name for f in RESULT])
+        release()
+        return out
 
     return score(text)
 
 
 def toxicity(docs: DataFrame, model: Model, *, text: str = "text", out: str = "toxicity") -> DataFrame:
-    """docs with a struct column `out` (see scored()); out must not be a column of docs."""
+    """docs with a struct column `out` (see scored()); a column of docs of that name is replaced."""
     return docs.withColumn(out, scored(model, F.col(text)))
