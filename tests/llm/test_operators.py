@@ -183,9 +183,8 @@ def test_mixing(spark):
 # -- 4 substring dedup ---------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(("batches", "hot"), [(1, 4096), (3, 2), (5, 4096)])
-def test_substring_dedup(spark, monkeypatch, batches, hot):
-    monkeypatch.setattr(substring_dedup, "HOT", hot)
+@pytest.mark.parametrize("batches", [1, 3, 5])
+def test_substring_dedup(spark, batches):
     rows = corpus()
     got = substring_dedup.substring_dedup(frame(spark, rows), batches=batches, texts=True).collect()
     want = sorted((-1 if i is None else i, len(brute.WORD.findall(t or "")), " ".join(k)) for (i, t), k in zip(rows, brute.removed(rows), strict=True))
@@ -193,6 +192,39 @@ def test_substring_dedup(spark, monkeypatch, batches, hot):
     assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 and r.n_removed == r.n_words - len(r.kept_text.split()) for r in got)
 
 
+def test_texts_under_one_id_lose_their_own_words(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, a), (5, "x " + a), (5, b), (5, "x y " + b), (9, b)]
+    got = substring_dedup.substring_dedup(frame(spark, rows), batches=3, texts=True).collect()
+    want = [(i, " ".join(k)) for (i, _), k in zip(rows, brute.removed(rows), strict=True)]
+    assert sorted((r.id, r.kept_text) for r in got) == sorted(want)
+
+
+def test_runs_are_sorted_and_compacted(spark):
+    rows = sorted((i, t) for i, t in corpus() if i is not None)
+    index, marked = substring_dedup.FingerprintIndex(spark), set()
+    for a in range(0, len(rows), 9):
+        part = spark.createDataFrame(rows[a : a + 9], "id long, text string")
+        before = {n: {r.p: r.run for r in index.run(n).collect()} for _, n in index.runs}
+        marked |= {(r.id, r.pos + j) for r in index.add(part).collect() for j in range(r.n)}
+        assert all({r.p: r.run for r in index.run(n).collect()} == before[n] for _, n in index.runs if n in before)  # immutable
+        for _, n in index.runs:
+            for r in index.run(n).collect():
+                x = substring_dedup.unplanes(r.run, 8)
+                assert (x[1:] > x[:-1]).all()
+    assert len(index.runs) < 5 and max(level for level, _ in index.runs) >= 2
+    texts = {i: brute.WORD.findall(t or "") for i, t in rows}
+    held = sum(len(substring_dedup.unplanes(r.run, 8)) for _, n in index.runs for r in index.run(n).collect())
+    seen, want = {}, set()
+    for i in sorted(texts):
+        for p in range(len(texts[i]) - 12):
+            if seen.setdefault(tuple(texts[i][p : p + 13]), i) < i:
+                want.add((i, p))
+    index.compact()
+    assert marked == want and held >= len(seen)
+    index.drop()
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring_dedup.substring_dedup(nothing(spark)).count() == 0
 
@@ -327,15 +359,35 @@ def test_line_dedup(spark):
 # -- 9 graph search ------------------------------------------------------------------------------------------------------
 
 
+def neighbours(v, i, k):
+    s = v @ v[i]
+    return [j for j in np.lexsort((np.arange(len(v)), -s)) if j != i][:k], s
+
+
 def test_graph_recall_and_pruning():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(1500, 24)).astype(np.float32)
+    x = rng.normal(size=(1500, 24))
     g = graph_search.Graph(x, degree=24, beam=48)
-    q = np.concatenate([x[:50], np.zeros((50, 1), np.float32)], 1)
-    hit, _ = g.search(q, 80)
+    hit = g.search(x[:50].astype(np.float32), 80)
     exact = np.argsort(-(x[:50] @ x.T), 1)[:, :10]
     assert np.mean([len(set(h[:80]) & set(e)) / 10 for h, e in zip(hit, exact, strict=True)]) > 0.9
-    assert (g.edges[:, 0] >= 0).all() and g.edges.shape[1] == 24
+    assert (g.edges[:, 0] >= 0).all() and g.edges.shape[1] == 25 and len(np.unique(g.edges)) == 1501  # -1, and an edge to each node
+
+
+@pytest.mark.parametrize("spread", ["equal", "normal", "lognormal"])
+def test_recall_of_the_query(spark, spread):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(8400, 64))
+    if spread != "normal":
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+    if spread == "lognormal":
+        v *= np.exp(rng.normal(size=(len(v), 1)))
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in graph_search.nearest(df, df.where("vec_id % 20 = 0")).collect():  # eight shards, the parameters of op9
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(got) == 420
+    assert np.mean([len(got[i] & set(neighbours(v, i, 20)[0])) / 20 for i in got]) >= 0.93
 
 
 def test_nearest(spark):
@@ -343,22 +395,24 @@ def test_nearest(spark):
     v = rng.normal(size=(700, 8)).astype(np.float32)
     v[100:160] = v[100]
     rows = [(i, [float(y) for y in x]) for i, x in enumerate(v)]
-    rows += [(900, None), (901, [0.0] * 8), (902, [float("nan")] * 8), (903, [None] * 8), (904, [1.0]), (None, [1.0] * 8), rows[3]]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", F.lit(1))
-    got = {}
-    for r in graph_search.nearest(df, df.where("vec_id % 20 = 0"), k=5, shard=150).collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    full, hits = v.astype(np.float64), 0
-    assert sorted(got) == list(range(0, 700, 20))
-    for i, found in got.items():
-        found.sort()
-        s = full @ full[i]
-        order = [j for j in np.lexsort((np.arange(700), -s)) if j != i][:5]
-        hits += len({x[1] for x in found} & set(order))
-        assert [x[0] for x in found] == [1, 2, 3, 4, 5] and all(abs(x[2] - s[x[1]]) < 1e-9 for x in found)
-    assert hits / (5 * len(got)) > 0.95
-    tied = full @ full[120]
-    assert [x[1] for x in got[120]] == [j for j in np.lexsort((np.arange(700), -tied)) if j != 120][:5]  # 60 equal vectors: the least ids
+    rows += [(900, None), (901, [0.0] * 8), (902, [float("nan")] * 8), (903, [None] * 8), (920, [1.0]), (941, [2.0]), (None, [1.0] * 8), (960, []), rows[3], rows[20]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1)).withColumn("score", F.lit(1))
+    for shards, few in ((1, 1024), (5, 50)):
+        graph_search.FEW, kept = few, graph_search.FEW
+        got = {}
+        for r in graph_search.nearest(df, df.where("vec_id % 20 = 0"), k=5, shards=shards).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        graph_search.FEW = kept
+        full, hits = v.astype(np.float64), 0
+        assert got.pop(920) == [(1, 941, 2.0)]  # vectors of one component are searched by themselves
+        assert sorted(got) == list(range(0, 700, 20))
+        for i, found in got.items():
+            found.sort()
+            order, s = neighbours(full, i, 5)
+            hits += len({x[1] for x in found} & set(order))
+            assert [x[0] for x in found] == [1, 2, 3, 4, 5] and all(abs(x[2] - s[x[1]]) < 1e-9 for x in found)
+        assert hits / (5 * len(got)) > 0.95
+        assert [x[1] for x in got[120]] == neighbours(full, 120, 5)[0]  # 60 equal vectors: the least ids
     assert graph_search.nearest(df.limit(0), df.limit(0)).count() == 0
     few = df.where("vec_id < 3")
     assert graph_search.nearest(few, few, k=5).count() == 6
