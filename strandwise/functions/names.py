@@ -18,10 +18,12 @@ def undotted(value: Column) -> Column:
     return F.when(value != MISSING, value)
 
 
-def clean_part(value: Column) -> Column:
-    """A part of a unique id: trimmed, without a leading dot and comma; only dots or blank is empty."""
-    v = F.regexp_replace(F.trim(F.coalesce(value, F.lit(MISSING))), r"^\.?,?", "")
-    return F.when(v.rlike(r"^\.*$") | v.rlike(r"^\s*$"), F.lit("")).otherwise(v)
+def said(value: Column) -> Column:
+    """What a column adds to a unique id: nothing if it is null or has dots and blanks only, and no root sign in front of a path."""
+    text = F.trim(F.coalesce(value, F.lit("")))
+    for sign in (".", ","):
+        text = F.when(text.startswith(sign), F.substring(text, 2, 1 << 30)).otherwise(text)
+    return F.when(F.trim(F.translate(text, MISSING, "")) == "", F.lit("")).otherwise(text)
 
 
 def uid(mtype: Column, type_: Column, seqid: Column, ptype: Column, parent_ids: Column, id_: Column, ctype: Column, mode: Column) -> Column:
@@ -29,7 +31,7 @@ def uid(mtype: Column, type_: Column, seqid: Column, ptype: Column, parent_ids:
     m = F.lower(F.trim(mtype))
     prefix = F.when(m == "aggregate", "agg").when(m == "feature", "feat").otherwise("")
     own = F.when(~F.lower(F.trim(type_)).isin("global", "sequence"), id_)
-    joined = F.concat_ws("-", prefix, *(clean_part(c) for c in (type_, seqid, ptype, parent_ids, own, ctype, mode)))
+    joined = F.concat_ws("-", prefix, *(said(c) for c in (type_, seqid, ptype, parent_ids, own, ctype, mode)))
     return F.regexp_replace(F.regexp_replace(joined, "-+", "-"), "^-|-$", "")
 
 
@@ -69,8 +71,22 @@ def clean_prefix(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, "^.*/", ""), r"(\.(fastq|fq|bam|cram|sam|gz|bz2))+$", "")
 
 
+# What an address begins with.
+URL = "^(https?|ftp|s3|gs|az)://"
+
+
 def is_url(path: Column) -> Column:
-    return path.rlike("^(https?|ftp|s3|gs|az)://")
+    return path.rlike(URL)
+
+
+def absolute(path: Column, base: str) -> Column:
+    """A path from the folder base; addresses and paths from the root stay."""
+    return F.when(is_url(path) | path.startswith("/") | path.rlike("^[a-z0-9]+:/"), path).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), path))
+
+
+def run_uid(path: Column, paired: Column) -> Column:
+    """The uid of a run: of two mates what their names share, else the file's name without endings."""
+    return F.when(paired, file_id(path)).otherwise(clean_prefix(path))
 
 
 def is_fastq(path: Column) -> Column:

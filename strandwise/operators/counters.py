@@ -1,7 +1,7 @@
 """Counters of bases and pairings, kept long: one row a key and genome base.
 
 A long counter has `ref` (0 to 4), observed, qualified, and for each read base b reads_b (qualified reads after the edit
-threshold), sites_b (sites with any) and raw_b. All are sums, so counters merge by summing, partially before a shuffle.
+threshold) and sites_b (sites with any). All are sums, so counters merge by summing, partially before a shuffle.
 wide() turns them into the columns of a report.
 """
 
@@ -38,14 +38,12 @@ def summed(rows: DataFrame, *keys: str) -> DataFrame:
 
 def wide(rows: DataFrame, *keys: str) -> DataFrame:
     """One row a key: obs_X, qual_X (X also N), site_XY and read_XY. A key has at most five rows, one a genome base."""
-    got = rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col("ref").cast("int"), F.struct(*SUMS)))).alias("_by"))
-    got = got.select(*keys, *(F.col("_by")[i].alias(f"_by{i}") for i in range(len(BASES) + 1)))
-    pick = lambda c, i: F.coalesce(F.col(f"_by{i}.{c}"), F.lit(0).cast("bigint"))
+    pick = lambda c, i: F.sum(F.when(F.col("ref") == i, F.col(c)).otherwise(0)).cast("bigint")
     cols = [pick("observed", i).alias(f"obs_{b}") for i, b in enumerate([*BASES, "N"])]
     cols += [pick("qualified", i).alias(f"qual_{b}") for i, b in enumerate([*BASES, "N"])]
     cols += [pick(f"sites_{p[1]}", BASES.index(p[0])).alias(f"site_{p}") for p in PAIRINGS]
     cols += [pick(f"reads_{p[1]}", BASES.index(p[0])).alias(f"read_{p}") for p in PAIRINGS]
-    return got.select(*keys, *cols)
+    return rows.groupBy(*keys).agg(*cols)
 
 
 def zeros(rows: DataFrame) -> DataFrame:

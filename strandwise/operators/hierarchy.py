@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_LEVEL = 5
-
-
 def features(parts: DataFrame) -> DataFrame:
     """One row a feature and parent: extent, summed length of parts, first place in the file."""
     return parts.groupBy("seqid", "feature_id", "parent_id").agg(
@@ -21,19 +18,38 @@ def features(parts: DataFrame) -> DataFrame:
     )
 
 
-def paths(parts: DataFrame, max_level: int = MAX_LEVEL) -> DataFrame:
+def paths(parts: DataFrame, keep=None) -> DataFrame:
     """features with level (from 1), path (ids of the ancestors, root first), root_id, root_type, iso_id (the level-2 one, or null).
 
-    A chain of look-ups, one a level, on a table of ids; a parent that is not there makes a feature a root. Deeper levels than
-    max_level do not count.
+    Chains of any depth: known stretches are joined end to end on a table of ids, so each step doubles them, and a small job
+    after two steps tells whether any are open. A parent that is not there makes a feature a root; a feature that is its own
+    ancestor raises. keep(table, name), such as plans.store.kept, stores the links, and the stretches of a forest deeper than four levels.
     """
+    known = parts.select("seqid", "feature_id").distinct()
+    up = known.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f"))
+    link = parts.select("seqid", "feature_id", "parent_id").distinct()
+    link = link.join(up, (link["seqid"] == up["_s"]) & (link["parent_id"] == up["_f"]), "left")
+    if keep:
+        link = keep(link, "links")
+    # own: the feature and parent of a row; path: the ancestors known so far; top: the next one, null if there is none
+    state = link.select("seqid", "feature_id", F.col("parent_id").alias("own"), F.array().cast("array<string>").alias("path"), F.col("_f").alias("top"))
+    while True:
+        for _ in range(2):
+            on = state.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f"), F.col("path").alias("_p"), F.col("top").alias("_t"))
+            state = state.join(on, (state["seqid"] == on["_s"]) & (state["top"] == on["_f"]), "left")
+            longer = F.when(F.col("_f").isNull(), F.col("path")).otherwise(F.concat("_p", F.array("_f"), "path"))
+            state = state.select("seqid", "feature_id", "own", longer.alias("path"), F.col("_t").alias("top"))
+        left = state.where("top is not null").select(F.array_contains("path", F.col("feature_id")).alias("round")).groupBy().agg(F.count(F.lit(1)).alias("n"), F.max("round").alias("round")).first()
+        if left["round"]:
+            raise ValueError("a feature is its own ancestor")
+        if not left["n"]:
+            break
+        if keep:
+            state = keep(state, "stretches")
     f = features(parts)
-    link = parts.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f"), F.col("parent_id").alias("_up")).distinct()
-    out = f.withColumn("path", F.array().cast("array<string>")).withColumn("_top", F.col("parent_id"))
-    for _ in range(max_level - 1):
-        out = out.join(link, (out["seqid"] == link["_s"]) & (out["_top"] == link["_f"]), "left")
-        out = out.withColumn("path", F.when(F.col("_f").isNotNull(), F.concat(F.array("_f"), F.col("path"))).otherwise(F.col("path"))).withColumn("_top", F.col("_up")).drop("_s", "_f", "_up")
-    out = out.drop("_top").withColumn("level", (F.size("path") + 1).cast("int"))
+    state = state.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f"), F.col("own").alias("_o"), "path").distinct()
+    out = f.join(state, (f["seqid"] == state["_s"]) & (f["feature_id"] == state["_f"]) & f["parent_id"].eqNullSafe(state["_o"])).drop("_s", "_f", "_o")
+    out = out.withColumn("level", (F.size("path") + 1).cast("int"))
     out = out.withColumn("root_id", F.coalesce(F.get("path", F.lit(0)), F.col("feature_id")))
     out = out.withColumn("iso_id", F.when(F.col("level") == 2, F.col("feature_id")).otherwise(F.get("path", F.lit(1))))
     root = parts.groupBy(F.col("seqid").alias("_s"), F.col("feature_id").alias("_r")).agg(F.min_by("type", "file_order").alias("root_type"), F.min_by("strand", "file_order").alias("root_strand"))
@@ -59,15 +75,13 @@ def longest_isoforms(tree: DataFrame) -> DataFrame:
 
     Isoforms with CDS come before those with exons only, then the longest, then the first in the file.
     """
-    child = tree.where((F.col("level") == 3) & F.col("type").isin("CDS", "exon"))
-    size = lambda t: F.coalesce(F.sum(F.when(F.col("type") == t, F.col("length"))), F.lit(0))
-    each = child.groupBy("seqid", "root_id", "iso_id").agg(size("CDS").alias("cds"), size("exon").alias("exon"))
-    order = tree.where("level = 2").select("seqid", F.col("feature_id").alias("iso_id"), "root_id", F.col("file_order").alias("iso_order"))
-    each = each.join(order, ["seqid", "root_id", "iso_id"]).where("cds > 0 or exon > 0")
+    size = lambda t: F.coalesce(F.sum(F.when((F.col("level") == 3) & (F.col("type") == t), F.col("length"))), F.lit(0)).cast("bigint")
+    each = tree.where("level in (2, 3)").groupBy("seqid", "root_id", "iso_id").agg(size("CDS").alias("cds"), size("exon").alias("exon"), F.min(F.when(F.col("level") == 2, F.col("file_order"))).alias("place"))
     kind = F.when(F.col("cds") > 0, "CDS").otherwise("exon")
     length = F.when(F.col("cds") > 0, F.col("cds")).otherwise(F.col("exon"))
-    w = W.partitionBy("seqid", "root_id").orderBy(kind.asc(), length.desc(), "iso_order")
-    return each.select("seqid", "root_id", "iso_id", kind.alias("kind"), length.cast("bigint").alias("length"), F.row_number().over(w).alias("_n")).where("_n = 1").drop("_n")
+    first = F.min(F.struct(kind.alias("kind"), (-length).alias("less"), "place", "iso_id")).alias("first")
+    best = each.where("cds > 0 or exon > 0").groupBy("seqid", "root_id").agg(first)
+    return best.select("seqid", "root_id", "first.iso_id", "first.kind", (-F.col("first.less")).alias("length"))
 
 
 def chimaera_parts(tree: DataFrame, parts: DataFrame) -> DataFrame:

@@ -71,6 +71,30 @@ def principal_components(rows: DataFrame, uid: str = "uid", most: int = 10, show
     return spark.createDataFrame(coords, "sample string, component int, value double"), spark.createDataFrame(parts, "component int, explained double, cumulative double")
 
 
+def batch_components(rows: DataFrame, uid: str = "uid") -> DataFrame:
+    """Samples on the first three components with their group and sample, to see whether batches part them: grp, sample, rep, component, value.
+
+    Empty with fewer than three samples or two biomarkers.
+    """
+    schema = "grp string, sample string, rep string, component int, value double"
+    few = rows.agg(F.countDistinct(_sample()).alias("s"), F.countDistinct(uid).alias("u")).first()
+    if few["s"] < 3 or few["u"] < 2:
+        return rows.sparkSession.createDataFrame([], schema)
+    coords, _ = principal_components(rows, uid, most=3, shown=3)
+    part = F.split("sample", "::")
+    return coords.select(part[0].alias("grp"), part[1].alias("sample"), part[2].alias("rep"), "component", "value")
+
+
+def sample_clusters(rows: DataFrame, uid: str = "uid") -> DataFrame:
+    """Merges of samples by Ward clustering on their first components: first, second, height."""
+    coords, _ = principal_components(rows, uid)
+    points: dict[str, dict[int, float]] = {}
+    for r in coords.collect():  # at most MAX_SAMPLES samples of five numbers
+        points.setdefault(r["sample"], {})[r["component"]] = r["value"]
+    merges = ward_order({s: np.array([v[c] for c in sorted(v)]) for s, v in points.items()}) if len(points) > 1 else []
+    return rows.sparkSession.createDataFrame(merges, "first string, second string, height double")
+
+
 def selected(rows: DataFrame, tests: DataFrame | None, uid: str = "uid", filters: tuple[str, ...] = ("primary",), max_uids: int = MAX_UIDS, raw: bool = True) -> DataFrame:
     """Biomarkers for learning, by tiers: adjusted p below 0.05 in the filters' order, then (raw) plain p, then, with fewer than ten, variance."""
     tiers = []
@@ -104,11 +128,11 @@ def _labelled(table: DataFrame):
     return table.withColumn("label", (F.array_position(F.array(*map(F.lit, names)), F.col("label_name")) - 1).cast("double")), len(names)
 
 
-def importance(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 100, depth: int = 10, max_uids: int = MAX_UIDS) -> DataFrame:
+def importance(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 100, depth: int = 10, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",)) -> DataFrame:
     """Random forest importance of the chosen biomarkers; empty with under 4 samples, 2 biomarkers or 2 groups."""
     from pyspark.ml.classification import RandomForestClassifier
 
-    uids = [r[0] for r in selected(rows, tests, uid, max_uids=max_uids).collect()]
+    uids = [r[0] for r in selected(rows, tests, uid, filters, max_uids).collect()]
     empty = rows.sparkSession.createDataFrame([], f"{uid} string, importance double")
     if len(uids) < 2:
         return empty
@@ -143,13 +167,13 @@ def folds(labels: list[float], k: int, seed: int = SEED) -> list[int]:
     return out
 
 
-def cross_validated(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 50, depth: int = 10, rounds: int = 50, max_uids: int = MAX_UIDS) -> DataFrame:
+def cross_validated(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 50, depth: int = 10, rounds: int = 50, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",)) -> DataFrame:
     """Accuracy (mean, deviation) of a random forest, of boosted trees (two groups) and of a linear discriminant over folds."""
     from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 
     spark = rows.sparkSession
     schema = "model string, folds int, accuracy double, std double"
-    uids = [r[0] for r in selected(rows, tests, uid, max_uids=max_uids, raw=False).collect()]
+    uids = [r[0] for r in selected(rows, tests, uid, filters, max_uids, raw=False).collect()]
     if len(uids) < 2:
         return spark.createDataFrame([], schema)
     table, classes = _labelled(_table(rows, uids, uid))

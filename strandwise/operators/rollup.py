@@ -121,35 +121,41 @@ def chimaera_rows(sites: DataFrame, tree: DataFrame, parts: DataFrame, by: list[
     return _report(_group_rows(long, groups, "chimaera", by, total=True), by, report_all)
 
 
-def level_rows(long: DataFrame, groups: DataFrame, mode: str, by: list[str], report_all: bool = False) -> DataFrame:
-    """Rows of sequences and of the genome, by child type and by parent and child type.
+def tagged(modes: dict[str, tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
+    """Long counters and groups of several modes as one table each, with a column mode."""
+    group = ["seqid", "group_id", "ctype", "ptype", "start0", "end0"]
+    long = [x.withColumn("mode", F.lit(m)) for m, (x, _) in modes.items()]
+    groups = [g.select(*group, F.lit(m).alias("mode")) for m, (_, g) in modes.items()]
+    return reduce(DataFrame.unionByName, long), reduce(DataFrame.unionByName, groups)
+
+
+def level_rows(long: DataFrame, groups: DataFrame, by: list[str], report_all: bool = False) -> DataFrame:
+    """Rows of sequences and of the genome, by child type and by parent and child type, of all modes at once (see tagged()).
 
     Counters are aggregated at the finest grain once and the four levels are grouping sets of that. Extents, of all
     groups for isoform modes and of counted ones for unions, go by child type alone, as the total_sites of both kinds of row.
     """
-    fine = long.join(groups.select("seqid", "group_id", "ctype", "ptype"), ["seqid", "group_id", "ctype"])
+    fine = long.join(groups.select("mode", "seqid", "group_id", "ctype", "ptype"), ["mode", "seqid", "group_id", "ctype"])
     sums = [F.sum(c).cast("bigint").alias(c) for c in counters.SUMS]
-    fine = fine.groupBy(*by, "seqid", "ptype", "ctype", "ref").agg(*sums)
-    names_ = [*by, "seqid", "ptype", "ctype", "ref"]
-    fixed = [F.col(c) for c in (*by, "ctype", "ref")]
+    fine = fine.groupBy(*by, "mode", "seqid", "ptype", "ctype", "ref").agg(*sums)
+    names_ = [*by, "mode", "seqid", "ptype", "ctype", "ref"]
+    fixed = [F.col(c) for c in (*by, "mode", "ctype", "ref")]
     sets = [[*fixed, F.col("seqid")], [*fixed, F.col("seqid"), F.col("ptype")], fixed, [*fixed, F.col("ptype")]]
     rolled = fine.groupingSets(sets, *names_).agg(F.grouping("seqid").alias("_gs"), F.grouping("ptype").alias("_gp"), *sums)
-    wide = counters.wide(rolled, *by, "seqid", "ptype", "ctype", "_gs", "_gp").drop("_gs", "_gp")
-    if mode == "chimaera":
-        seen = long.select(*by, "seqid", "group_id", "ctype").distinct().join(groups, ["seqid", "group_id", "ctype"])
-        keys = by
-    else:
-        seen, keys = groups, []
-    per = seen.groupBy(*keys, "seqid", "ctype").agg(F.min("start0").alias("lo"), F.max("end0").alias("hi"))
-    every = per.groupBy(*keys, "ctype").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).withColumn("seqid", F.lit(None).cast("string"))
-    extent = per.unionByName(every).withColumnsRenamed({c: f"_x_{c}" for c in [*keys, "seqid", "ctype"]})
-    on = [wide["seqid"].eqNullSafe(extent["_x_seqid"]), wide["ctype"] == extent["_x_ctype"], *(wide[c] == extent[f"_x_{c}"] for c in keys)]
-    rows = wide.join(extent, reduce(lambda a, b: a & b, on))
+    wide = counters.wide(rolled, *by, "mode", "seqid", "ptype", "ctype", "_gs", "_gp").drop("_gs", "_gp")
+    seen = long.where("mode = 'chimaera'").select(*by, "mode", "seqid", "group_id", "ctype").distinct().join(groups, ["mode", "seqid", "group_id", "ctype"])
+    rows = wide
+    for name, table, keys in (("all", groups.where("mode <> 'chimaera'"), ["mode"]), ("seen", seen, [*by, "mode"])):
+        per = table.groupBy(*keys, "seqid", "ctype").agg(F.min("start0").alias("lo"), F.max("end0").alias("hi"))
+        every = per.groupBy(*keys, "ctype").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).withColumn("seqid", F.lit(None).cast("string"))
+        extent = per.unionByName(every).select(*(F.col(c).alias(f"_x_{c}") for c in [*keys, "seqid", "ctype"]), (F.col("hi") - F.col("lo")).alias(f"_{name}"))
+        on = [rows["seqid"].eqNullSafe(extent["_x_seqid"]), rows["ctype"] == extent["_x_ctype"], *(rows[c] == extent[f"_x_{c}"] for c in keys)]
+        rows = rows.join(extent, reduce(lambda a, b: a & b, on), "left").drop(*(c for c in extent.columns if c.startswith("_x_")))
     data = [c for c in wide.columns if c.startswith(("obs_", "qual_", "site_", "read_"))]
     rows = rows.select(
-        *by, "seqid", _n(".").alias("parent_ids"), names.aggregate_id(F.col("seqid"), F.col("ptype"), F.col("ctype"), F.lit(mode)).alias("id"), _n("aggregate").alias("mtype"), "ptype",
-        F.when(F.col("seqid").isNull(), "global").otherwise("sequence").alias("type"), "ctype", _n(mode).alias("mode"),
-        F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("end"), F.lit(None).cast("int").alias("strand"), (F.col("hi") - F.col("lo")).cast("bigint").alias("total_sites"), *data,
+        *by, "seqid", _n(".").alias("parent_ids"), names.aggregate_id(F.col("seqid"), F.col("ptype"), F.col("ctype"), F.col("mode")).alias("id"), _n("aggregate").alias("mtype"), "ptype",
+        F.when(F.col("seqid").isNull(), "global").otherwise("sequence").alias("type"), "ctype", "mode",
+        F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("end"), F.lit(None).cast("int").alias("strand"), F.coalesce("_all", "_seen").cast("bigint").alias("total_sites"), *data,
     )
     return _report(rows, by, report_all)
 
@@ -175,13 +181,15 @@ def all_sites_rows(sites: DataFrame, seqids: DataFrame, by: list[str], cov: int
 def report(sites: DataFrame, parts: DataFrame, by: list[str], cov: int = 1, edit: int = 1, report_all: bool = False, runs: DataFrame | None = None, keep=None) -> tuple[DataFrame, DataFrame]:
     """All feature rows and all aggregate rows of a set of samples. keep(table, name), such as plans.store.kept, stores what is used several times."""
     keep = keep or (lambda df, name: df)
-    tree = keep(hierarchy.paths(parts), "tree")
+    tree = keep(hierarchy.paths(parts, keep), "tree")
     counts = keep(part_counts(sites, parts, by, cov, edit), "counts")
     out = [mode_rows(counts, tree, "feature", by, report_all), all_sites_rows(sites, parts, by, cov, edit, report_all)]
+    modes = {}
     for mode in ("longest_isoform", "all_isoforms", "chimaera"):
         long, groups = chimaera_counts(sites, tree, parts, by, cov, edit) if mode == "chimaera" else mode_counts(counts, tree, mode, by)
-        long, groups = keep(long, mode), keep(groups, mode)
-        out += [_report(_group_rows(long, groups, mode, by, total=mode == "chimaera"), by, report_all), level_rows(long, groups, mode, by, report_all)]
+        modes[mode] = keep(long, mode), keep(groups, mode)
+        out.append(_report(_group_rows(*modes[mode], mode, by, total=mode == "chimaera"), by, report_all))
+    out.append(level_rows(*tagged(modes), by, report_all))
     return feature_rows(counts, tree, parts, by, report_all, runs), reduce(DataFrame.unionByName, out)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,38 @@ def filtered(long: DataFrame, section: list[str], uid: str, least: float = 1e-10
     return long.join(keep, [*section, uid], "left_semi")
 
 
+def chosen(rows: DataFrame, column: str, wanted: list[str] | None) -> DataFrame:
+    """rows whose column is one of wanted (None: all). Names that are not there are warned of; if none is, that is an error."""
+    if not wanted:
+        return rows
+    some = rows.where(F.col(column).isin(*wanted))
+    there = {r[0] for r in some.select(column).distinct().collect()}  # at most the names wanted
+    missing = [w for w in wanted if w not in there]
+    if len(missing) == len(wanted):
+        raise ValueError(f"no {column} is one of {missing}")
+    if missing:
+        warnings.warn(f"{column}: not found: {', '.join(missing)}", stacklevel=2)
+    return some
+
+
+def labels(rows: DataFrame, section: str = "section") -> DataFrame:
+    """rows (section, uid, seqid, ptype, ctype, mode; null: missing) with a label and a priority for a heat map's axis.
+
+    The label is the child type (or all_sites, or the uid). Where a section has several sequences, parent types or modes, the
+    sequence and the parent type go in front and the mode, but for all_sites, behind. Sites of all come first, then rows without a
+    parent type.
+    """
+    many = rows.groupBy(section).agg(*((F.countDistinct(c) > 1).alias(f"_{c}") for c in ("seqid", "ptype", "mode")))
+    t = rows.join(many, section)
+    whole = F.coalesce(F.col("mode") == "all_sites", F.lit(False))
+    affixes = F.col("_seqid") | F.col("_ptype") | F.col("_mode")
+    core = F.when(whole, "all_sites").otherwise(F.coalesce("ctype", "uid"))
+    front = [F.when(F.col("_seqid"), F.col("seqid")), F.when(F.col("_seqid") | F.col("_ptype"), F.col("ptype"))]
+    label = F.when(affixes, F.concat_ws("_", *front, core, F.when(~whole, F.col("mode")))).otherwise(core)
+    priority = F.when(~affixes, 0).when(whole, 0).when(F.col("ptype").isNull(), 1).otherwise(2)
+    return t.withColumn("label", label).withColumn("priority", priority).drop("_seqid", "_ptype", "_mode")
+
+
 def second_pass(long: DataFrame, ranking: DataFrame, uid: str = "uid", alpha: float = 0.05) -> DataFrame:
     """Values of the biomarkers that are significant anywhere."""
     return long.join(ranking.where(F.col("padj") < alpha).select(uid).distinct(), uid, "left_semi")

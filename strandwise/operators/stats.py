@@ -175,14 +175,33 @@ def fold_changes(p: DataFrame, by: list[str]) -> DataFrame:
     return p.select(*by, "grp1", "grp2", (F.col("mean1") - F.col("mean2")).alias("diff"), log2_ratio(F.col("mean1"), F.col("mean2")).alias("log2fc"))
 
 
-def benjamini_hochberg(rows: DataFrame, by: list[str], p: str = "pval", tie: list[str] | None = None) -> DataFrame:
-    """rows with padj: p times count over rank, least from the largest p down, at most 1; null p stays out."""
-    w = W.partitionBy(*by)
-    ok = F.col(p).isNotNull()
-    out = rows.withColumn("_m", F.count(p).over(w)).withColumn("_r", F.when(ok, F.row_number().over(w.orderBy(F.col(p).asc_nulls_last(), *(tie or [])))))
-    out = out.withColumn("_q", F.col(p) * F.col("_m") / F.col("_r"))
-    down = w.orderBy(F.col(p).desc_nulls_last(), F.col("_r").desc()).rowsBetween(W.unboundedPreceding, 0)
-    return out.withColumn("padj", F.when(ok, F.least(F.lit(1.0), F.min("_q").over(down)))).drop("_m", "_r", "_q")
+def _steps(p: Column) -> Column:
+    """p's step on a scale of some thousand, which rises with p."""
+    return F.when(p >= 0.001, F.floor(p * 1000)).when(p > 0, -F.floor(-10 * F.log10(p))).otherwise(-10_000).cast("int")
+
+
+def benjamini_hochberg(rows: DataFrame, by: list[str], p: str = "pval") -> DataFrame:
+    """rows with padj: p times count over rank, least from the largest p down, at most 1; null p stays out.
+
+    Equal p have equal padj, so ranks are counted on distinct p. A family is dealt out by steps of p: rows of a step are counted
+    together, and only the steps, some thousand a family, meet in one task.
+    """
+    key = [F.col(c).alias(f"_{c}") for c in by]
+    own = [f"_{c}" for c in by]
+    d = rows.where(F.col(p).isNotNull()).groupBy(*key, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_step", _steps(F.col("_p")))
+    step, family = W.partitionBy(*own, "_step"), W.partitionBy(*own)
+    s = d.groupBy(*own, "_step").agg(F.sum("_n").alias("_k"))
+    s = s.withColumn("_m", F.sum("_k").over(family)).withColumn("_before", F.sum("_k").over(family.orderBy("_step")) - F.col("_k")).drop("_k")
+    q = F.col("_p") * F.col("_m") / (F.col("_before") + F.sum("_n").over(step.orderBy("_p")))
+    d = d.join(s, [*own, "_step"]).withColumn("_q", q)
+    d = d.withColumn("_low", F.min("_q").over(step.orderBy(F.col("_p").desc())))
+    least = d.groupBy(*own, "_step").agg(F.min("_q").alias("_least"))
+    least = least.withColumn("_later", F.min("_least").over(family.orderBy(F.col("_step").desc()).rowsBetween(W.unboundedPreceding, -1))).drop("_least")
+    d = d.join(least, [*own, "_step"]).select(*own, "_p", F.least(F.lit(1.0), "_low", "_later").alias("padj"))
+    on = F.col(p) == F.col("_p")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return rows.drop("padj").join(d, on, "left").drop("_p", *own)
 
 
 #: The pairwise test that goes with each choice, and the global one.
@@ -215,7 +234,7 @@ def global_tests(rows: DataFrame, by: list[str], family: list[str], choice: str
     else:
         primary = tests.where(F.col("test") == CHOICES[choice][0])
     tests = tests.unionByName(primary.withColumn("test", F.lit("primary")))
-    return benjamini_hochberg(tests, [*family, "test"], tie=[c for c in by if c not in family])
+    return benjamini_hochberg(tests, [*family, "test"])
 
 
 def pairwise_tests(rows: DataFrame, by: list[str], family: list[str], choice: str = "nonparametric") -> DataFrame:
@@ -232,7 +251,7 @@ def pairwise_tests(rows: DataFrame, by: list[str], family: list[str], choice: st
     else:
         primary = tests.where(F.col("test") == CHOICES[choice][1])
     tests = tests.unionByName(primary.withColumn("test", F.lit("primary")))
-    return benjamini_hochberg(tests, [*family, "grp1", "grp2", "test"], tie=[c for c in by if c not in family])
+    return benjamini_hochberg(tests, [*family, "grp1", "grp2", "test"])
 
 
 # -- rankings ------------------------------------------------------------------------------------------------------------
@@ -265,6 +284,24 @@ def unique_and_common(tests: DataFrame, by: list[str], comparison: str, alpha: f
     return s.withColumn("kind", F.when(n == 1, "unique").otherwise("common"))
 
 
+def common_pairs(tests: DataFrame, by: list[str], comparison: str, alpha: float = ALPHA) -> DataFrame:
+    """Significant biomarkers that a comparison shares with each other one: by, comparison, other."""
+    s = tests.where(F.col("padj") < alpha).select(*by, comparison).distinct()
+    return s.join(s.withColumnRenamed(comparison, "other"), by).where(F.col(comparison) != F.col("other"))
+
+
+def ranking(tests: DataFrame, section: list[str], test: str = "kruskal", tie: tuple[str, ...] = ("uid",)) -> DataFrame:
+    """A test's biomarkers with an adjusted p, the least first, with their rank in the section."""
+    rows = tests.where((F.col("test") == test) & F.col("padj").isNotNull())
+    return rows.withColumn("rank", F.row_number().over(W.partitionBy(*section).orderBy("padj", *tie)))
+
+
+def variance_ranking(rows: DataFrame, section: list[str], uid: str) -> DataFrame:
+    """All biomarkers with a variance, the largest first; at most the biomarkers of a section, a number each, in one task."""
+    v = variances(rows, [*section, uid]).where("variance is not null")
+    return v.withColumn("rank", F.row_number().over(W.partitionBy(*section).orderBy(F.col("variance").desc(), uid)))
+
+
 def pearson(x: str, y: str) -> Column:
     """Pearson's r, null where either side does not vary."""
     r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

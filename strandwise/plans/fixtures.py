@@ -54,6 +54,24 @@ select x.i as sample_idx, case x.i % 3 when 0 then 'ctrl' when 1 then 'low' else
 from (values (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11)) as x(i)
 """
 
+#: Chains of seven features, one under the other, and a place for each.
+DEEP = """
+select cast(p_partkey + 1 as bigint) as n from part
+"""
+
+#: A sheet of runs with all kinds of faults.
+SHEET = """
+select cast(s_suppkey as bigint) as n,
+  case when s_suppkey % 11 = 0 then null else concat('grp', cast(s_suppkey % 3 as varchar(4))) end as "group",
+  case s_suppkey % 7 when 0 then null when 1 then concat('data/run', cast(s_suppkey as varchar(10)), '.bam') when 2 then concat('https://x.org/run', cast(s_suppkey as varchar(10)), '_R1.fastq.gz')
+    when 3 then '/data/notes.txt' else concat('/data/run', cast(s_suppkey as varchar(10)), '_R1.fq.gz') end as input_1,
+  case when s_suppkey % 5 < 2 then concat('/data/run', cast(s_suppkey as varchar(10)), '_R2.fq.gz') when s_suppkey % 23 = 0 then '/data/x.txt' end as input_2,
+  case when s_suppkey % 13 = 0 then ' ' else 'ISR' end as strandedness,
+  case s_suppkey % 4 when 0 then 'short_paired' when 1 then 'Short_Single' when 2 then 'ont' else case when s_suppkey % 3 = 0 then 'odd' end end as read_type,
+  case when s_suppkey % 2 = 0 then concat('s', cast(s_suppkey % 9 as varchar(4))) end as sample, case when s_suppkey % 6 < 4 then 'rep2' end as replicate
+from supplier
+"""
+
 #: A table of adjusted p-values of several tests and sections, for rankings.
 TESTS = """
 select concat('sec', cast(l_linenumber % 4 as varchar(4))) as section, concat('u', cast(l_partkey as varchar(10))) as uid,
@@ -83,6 +101,20 @@ def samples(spark: SparkSession) -> DataFrame:
     return spark.sql(SAMPLES)
 
 
+def deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of chains of seven features."""
+    tables(spark, sf_dir, "part")
+    root = "(n - (n - 1) % 7)"
+    return spark.sql(f"""select concat('chr', cast({root} % 3 + 1 as varchar(4))) as seqid, concat('d', cast(n as varchar(10))) as feature_id,
+      case when n % 7 <> 1 then concat('d', cast(n - 1 as varchar(10))) end as parent_id, concat('k', cast((n - 1) % 7 + 1 as varchar(4))) as type,
+      cast(n * 10 as int) as start0, cast(n * 10 + 7 as int) as end0, 1 as strand, n as file_order from ({DEEP})""")
+
+
+def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables(spark, sf_dir, "supplier")
+    return spark.sql(SHEET.replace('"group"', "`group`"))
+
+
 def tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables(spark, sf_dir, "lineitem")
     return spark.sql(TESTS)

@@ -187,6 +187,9 @@ ORACLES: dict[str, str] = {
       l as (select k.*, p.feature_id as p1, q.feature_id as p2 from k left join k p on p.feature_id = k.parent_id and p.seqid = k.seqid left join k q on q.feature_id = p.parent_id and q.seqid = k.seqid)
       select type, cast(1 + case when p1 is null then 0 when p2 is null then 1 else 2 end as int) as level, count(*) as n, cast(sum(end0 - start0) as bigint) as length from l group by 1, 2""",
     "feature_hierarchy_paths": _ctes("features", "tree") + "select seqid, feature_id, cast(lev as int) as level, path as parent_ids, root_id, root_type, iso_id from tree",
+    "feature_hierarchy_deep": f"""with d as (select cast(n as bigint) as n, cast(n - (n - 1) % 7 as bigint) as r, cast((n - 1) % 7 as int) as k from ({fixtures.DEEP}))
+      select 'chr' || (r % 3 + 1) as seqid, 'd' || n as feature_id, k + 1 as level, case when k = 0 then '.' else '.,' || array_to_string(list_transform(range(r, n), lambda x: 'd' || x), ',') end as parent_ids,
+        'd' || r as root_id, 'k1' as root_type, case when k > 0 then 'd' || (r + 1) end as iso_id from d""",
     "feature_ancestors": _ctes("features", "tree") + "select t.seqid, t.feature_id, a.feature_id as ancestor_id, cast(a.lev as int) as ancestor_level from tree t join tree a on a.seqid = t.seqid and t.lev > a.lev and list_contains(string_split(t.path, ','), a.feature_id)",
     "longest_isoform_choice": _ctes("features", "tree", "longest") + "select * from longest",
     "chimaera_intervals": _ctes("features", "tree", "chim") + "select seqid, feature_id, type, start0, end0, root_strand as strand from chim",
@@ -239,6 +242,31 @@ ORACLES: dict[str, str] = {
     "significant_any": _ctes("tests") + "select section, uid, cast(sum(case when padj < 0.05 then 1 else 0 end) as bigint) as n_significant_tests, min(padj) as min_padj from fx_tests group by all having min(padj) < 0.05",
     "global_ranking": _ctes("tests") + ", c as (select uid, count(distinct section) as t, count(distinct case when padj < 0.05 then section end) as s from fx_tests group by uid) select section, x.uid, comparison, padj, t as n_sections_total, s as n_sections_significant from fx_tests x join c on c.uid = x.uid where test = 'primary'",
     "sig_unique_common": _ctes("tests") + ", s as (select distinct section, uid, comparison from fx_tests where padj < 0.05) select section, uid, comparison, case when count(*) over (partition by section, uid) = 1 then 'unique' else 'common' end as kind from s",
+    "gff3_scan": _ctes("features") + "select seqid, feature_id, parent_id, type, cast(start0 as int) as start0, cast(end0 as int) as end0, cast(strand as int) as strand from fx_features",
+    "matrix_round_trip": LONG + ", k as (select distinct seqid, id, type from long where metric = 'espf' and pairing = 'AG' and value <> 0) select k.seqid, k.id, k.type, s.grp, s.sample, s.rep, round(l.value, 9) + 0.0 as value from k cross join fx_samples s left join (select * from long where metric = 'espf' and pairing = 'AG') l on l.seqid = k.seqid and l.id = k.id and l.type = k.type and l.sample_idx = s.sample_idx",
+    "sheet_check": f"""with s as ({fixtures.SHEET}), c as (select "group" as grp, case when input_1 like 'data/%' then '/work/' || input_1 else input_1 end as input_1, input_2, nullif(trim(strandedness), '') as strand, lower(read_type) as read_type, sample, replicate from s),
+      t as (select *, case when regexp_matches(input_1, '[.](fastq|fq)([.]gz)?$') then 'fastq' when input_1 like '%.bam' then 'alignment' end as kind, coalesce(read_type = 'short_paired' and input_2 is not null, false) as paired from c),
+      u as (select *, case when paired then regexp_replace(regexp_replace(regexp_replace(input_1, '^.*/', ''), '[.][^.]*$', ''), '_[^_]*$', '') else regexp_replace(regexp_replace(input_1, '^.*/', ''), '([.](fastq|fq|bam|gz))+$', '') end as uid from t)
+      select grp, input_1, read_type, paired, uid, coalesce(sample, uid) as sample, coalesce(replicate, 'rep1') as replicate,
+        case when grp is null then 'group is missing' when input_1 is null then 'input_1 is missing' when kind is null then 'input_1 is neither reads nor an alignment'
+          when kind = 'alignment' and input_2 is not null then 'an alignment has no input_2' when strand is null then 'strandedness is missing' when read_type is null then 'read_type is missing'
+          when read_type = 'odd' then 'read_type is unknown' when input_2 like '%.txt' then 'input_2 holds no reads' when read_type = 'short_paired' and kind = 'fastq' and input_2 is null then 'short_paired needs input_2'
+          when sample is null and replicate is not null then 'a replicate needs a sample' end as problem from u""",
+    "channel_joins": """with n as (select s_suppkey as n, 'r' || s_suppkey as uid from supplier)
+      select uid, uid || '.bam' as path, case when n % 4 = 0 then 'U' else 'ISR' end as strandedness from n where n % 6 = 0 union all select uid, uid || '.own.bam', null from n where n % 5 = 0""",
+    "hyper_editing_merge": """with n as (select 'r' || (o_orderkey % 40) as uid, o_orderkey as read, o_orderkey % 40 as k from orders),
+      m as (select uid, read, false as again from n where k % 2 = 0 and read % 3 = 0), h as (select uid, read, true as again from n where k % 5 < 3 and read % 3 = 1),
+      a as (select * from m where uid in (select uid from h) union all select * from h where uid in (select uid from m))
+      select uid, again, count(*) as reads, cast(sum(read) as bigint) as sum from a group by all""",
+    "value_selectors": _ctes("features") + "select seqid, type, count(*) as n from fx_features where type in ('gene', 'mRNA', 'exon') group by all",
+    "heatmap_labels": _ctes("features") + """, r as (select case when level = 2 then 'one' else 'many' end as section, feature_id as uid, case when level = 3 then seqid else 'c' end as seqid, case when level = 3 and file_order % 3 > 0 then type end as ptype,
+        case when file_order % 2 = 0 then type end as ctype, case when level = 3 and file_order % 5 = 0 then 'all_sites' else 'chimaera' end as mode from fx_features where level >= 2),
+      b as (select *, case when mode = 'all_sites' then mode else coalesce(ctype, uid) end as core from r)
+      select section, uid, case when section = 'one' then core else concat_ws('_', seqid, ptype, core, case when mode <> 'all_sites' then mode end) end as label,
+        cast(case when section = 'one' or mode = 'all_sites' then 0 when ptype is null then 1 else 2 end as int) as priority from b""",
+    "sig_common_pairs": _ctes("tests") + ", s as (select distinct section, uid, comparison from fx_tests where padj < 0.05) select a.section, a.uid, a.comparison, b.comparison as other from s a join s b on a.section = b.section and a.uid = b.uid and a.comparison <> b.comparison",
+    "test_ranking": _ctes("tests") + "select section, uid, comparison, padj, cast(row_number() over (partition by section order by padj, uid, comparison) as int) as rank from fx_tests where test = 'anova' and padj is not null",
+    "edit_type_join": LONG + ", m as (select pairing, id from mx where metric = 'espr' and num > 0 and den >= 1), a as (select * from m where id like '%t%' and pairing < 'CT'), f as (select * from m where id not like '%t%' and pairing > 'AC') select pairing, count(*) as n from (select * from a union all select * from f) where pairing in (select pairing from a) and pairing in (select pairing from f) group by pairing",
     "sig_levels": _ctes("tests") + "select section, uid, test, comparison, case when padj < 0.05 then 2 when padj < 0.1 then 1 else 0 end as level, round(-log10(greatest(padj, 1e-300)), 6) + 0.0 as score from fx_tests",
     "replicate_pearson": VALUES + " select a.section, a.grp, a.sample, a.rep as rep1, b.rep as rep2, count(*) as n, round(case when var_pop(a.value) > 1e-18 and var_pop(b.value) > 1e-18 then corr(a.value, b.value) end, 6) as pearson_r from vals a join vals b on a.section = b.section and a.uid = b.uid and a.grp = b.grp and a.sample = b.sample and a.rep < b.rep where a.value is not null and b.value is not null group by all having count(*) >= 3",
     "sample_correlation": VALUES + ", l as (select section, uid, grp || '::' || sample || '::' || rep as s, coalesce(value, 0) as v from vals where (section, uid) in (select section, uid from vals group by all having count(value) > 0)) select a.section, a.s as sample1, b.s as sample2, round(case when var_pop(a.v) > 1e-18 and var_pop(b.v) > 1e-18 then corr(a.v, b.v) end, 6) as r from l a join l b on a.section = b.section and a.uid = b.uid and a.s < b.s group by all",
@@ -248,6 +276,11 @@ ORACLES: dict[str, str] = {
       select section, uid1, uid2, n, round(r, 6) as r from c where n >= 6 and r is not null""",
 }
 
+ORACLES["report_round_trip"] = ORACLES["feature_counts"]
+for _name, _q in (("reditools2_scan", "30.5"), ("reditools3_scan", "30.5"), ("jacusa2_scan", "null")):
+    _score = "1.5" if _q == "null" else "0.0"
+    ORACLES[_name] = _ctes("sites") + f"select seqid || '_' || sample_idx as seqid, pos, strand, ref, {'fa + fc + fg + ft' if _q == 'null' else 'coverage'} as coverage, fa, fc, fg, ft, cast({_q} as double) as mean_q, cast({_score} as double) as score from fx_sites"
+
 #: Every level, pairing and metric in place of the roots and transcripts of one matrix; the statistics on it are the same.
 VALS = VALUES[len(LONG) :]
 ALL_VALS = """, vals as (select k.pairing || '_' || k.metric || '_' || f.type as section, f.feature_id as uid, s.grp, s.sample, s.rep, l.value from fx_features f cross join fx_samples s

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import bases, names, pvalues
-from ..operators import counters, hierarchy, interval_join, matrix, multivariate, rollup, sections, stats
+from ..operators import channels, counters, hierarchy, interval_join, matrix, multivariate, rollup, sections, stats
+from ..sources import gff3, sinks, site_tables, tables
 from . import fixtures
-from .store import kept
+from .store import kept, path_for
 
 COV, EDIT = 10, 2
 BY = ["sample_idx"]
@@ -24,7 +25,7 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 def tree(spark, d) -> DataFrame:
     """Stored, as every roll-up joins it several times."""
-    return kept(hierarchy.paths(fixtures.features(spark, d).drop("level")), "tree")
+    return kept(hierarchy.paths(fixtures.features(spark, d).drop("level"), kept), "tree")
 
 
 def counts(spark, d) -> DataFrame:
@@ -95,12 +96,18 @@ def feature_hierarchy_paths(spark, d):
     return t.select("seqid", "feature_id", "level", hierarchy.parent_path().alias("parent_ids"), "root_id", "root_type", "iso_id")
 
 
+def feature_hierarchy_deep(spark, d):
+    """Chains of seven features: no depth is left out."""
+    t = hierarchy.paths(fixtures.deep(spark, d), kept)
+    return t.select("seqid", "feature_id", "level", hierarchy.parent_path().alias("parent_ids"), "root_id", "root_type", "iso_id")
+
+
 def feature_ancestors(spark, d):
     return hierarchy.ancestors(tree(spark, d)).select("seqid", "feature_id", "ancestor_id", "ancestor_level")
 
 
 def longest_isoform_choice(spark, d):
-    return hierarchy.longest_isoforms(tree(spark, d))
+    return hierarchy.longest_isoforms(hierarchy.paths(fixtures.features(spark, d).drop("level"), kept))
 
 
 def chimaera_intervals(spark, d):
@@ -108,12 +115,112 @@ def chimaera_intervals(spark, d):
     return hierarchy.chimaera_parts(hierarchy.paths(p), p).select("seqid", "feature_id", "type", "start0", "end0", F.col("strand").cast("int").alias("strand"))
 
 
+# -- files: written from the fixture views, and read again --------------------------------------------------------------------
+
+
+def _lines(df: DataFrame, name: str, head: str | None = None) -> str:
+    """A folder of text files of one string column, each file with the header line."""
+    path = path_for(df.sparkSession, name)
+    if head is None or head.startswith("#"):
+        (df if head is None else df.union(df.sparkSession.createDataFrame([(head,)], "value string"))).write.text(path)
+    else:
+        df.toDF(head).write.option("sep", "\x01").option("header", True).option("quote", "").csv(path)
+    return path
+
+
+def _site_lines(spark, d, strands: dict[int, str], bed: bool = False):
+    s = fixtures.sites(spark, d)
+    strand = F.element_at(F.create_map(*(F.lit(x) for kv in strands.items() for x in kv)), F.col("strand").cast("int"))
+    base = F.element_at(F.array(*map(F.lit, "ACGTN")), F.col("ref") + 1)
+    list_ = F.concat_ws("," if bed else ", ", *(F.col(f).cast("string") for f in bases.FREQS))
+    name = F.concat_ws("_", "seqid", F.col("sample_idx").cast("string"))  # a run is told by its sequence's name
+    if bed:
+        return s.select(F.concat_ws("\t", name, "pos", F.col("pos") + 1, F.lit("variant"), F.lit("1.5"), strand, list_, F.lit("*"), F.lit("*"), base))
+    blank = [F.lit("-")] * 7
+    return s.select(F.concat_ws("\t", name, F.col("pos") + 1, base, strand, "coverage", F.lit("30.5"), F.concat(F.lit("["), list_, F.lit("]")), *blank))
+
+
+def _site_scan(format: str) -> Query:
+    strands = {"reditools2": {1: "2", -1: "1", 0: "0"}, "reditools3": {1: "+", -1: "-", 0: "*"}, "jacusa2": {1: "+", -1: "-", 0: "."}}[format]
+    head = "\t".join({"reditools2": site_tables.REDITOOLS2, "reditools3": site_tables.REDITOOLS3, "jacusa2": site_tables.JACUSA2}[format])
+
+    def query(spark, d):
+        path = _lines(_site_lines(spark, d, strands, format == "jacusa2"), format, head)
+        r = site_tables.read_sites(spark, path, format)
+        return r.select("seqid", "pos", F.col("strand").cast("int").alias("strand"), F.col("ref").cast("int").alias("ref"), F.col("coverage").cast("bigint").alias("coverage"), *(F.col(f).cast("bigint").alias(f) for f in bases.FREQS), "mean_q", "score")
+
+    return query
+
+
+def gff3_scan(spark, d):
+    f = fixtures.features(spark, d)
+    strand = F.when(F.col("strand") > 0, "+").when(F.col("strand") < 0, "-").otherwise(".")
+    given = F.concat_ws(";", F.concat(F.lit("ID="), "feature_id"), F.concat(F.lit("Parent="), "parent_id"))
+    path = _lines(f.select(F.concat_ws("\t", "seqid", F.lit("x"), "type", F.col("start0") + 1, "end0", F.lit("."), strand, F.lit("."), given)), "gff3")
+    return gff3.cached_by_sequence(gff3.read_gff3(spark, path), path_for(spark, "gff3-cache")).drop("file_order")
+
+
+def report_round_trip(spark, d):
+    """feature_counts by way of the report file."""
+    rows = rollup.feature_rows(counts(spark, d), tree(spark, d), fixtures.features(spark, d), BY)
+    path = path_for(spark, "report")
+    sinks.write_report(rows.withColumn("id", F.concat_ws("@", "id", F.col("sample_idx").cast("string"))).drop("sample_idx"), path)
+    r = tables.read_report(spark, path)
+    part = F.split("id", "@")
+    r = r.withColumn("sample_idx", part[1].cast("int")).withColumn("id", part[0])
+    return vectors(r).select("sample_idx", "seqid", "parent_ids", "id", "type", "start", "end", "strand", "total_sites", *counters.VECTORS)
+
+
+def matrix_round_trip(spark, d):
+    """matrix_wide_ag by way of the matrix file, long again."""
+    m = long_matrix(spark, d, decimals=None).where("metric = 'espf' and pairing = 'AG'")
+    m = matrix.kept(m, matrix.prevalent(m, fixtures.samples(spark), KEY), KEY)
+    path = path_for(spark, "matrix")
+    sinks.write_matrix(m, COLUMNS, path, KEY)
+    long, _ = tables.read_matrix(spark, f"{path}/metric=espf/pairing=AG")
+    return rounded(long.select("seqid", "id", "type", "grp", "sample", "rep", "value"), "value", digits=9)
+
+
+def sheet_check(spark, d):
+    t = tables.checked_sheet(fixtures.sheet(spark, d).drop("n"), base="/work")
+    return t.select(F.col("group").alias("grp"), "input_1", "read_type", "paired", "uid", "sample", "replicate", "problem")
+
+
+def channel_joins(spark, d):
+    """Runs of the sheet with an alignment, with the library type found for them, and the other alignments."""
+    n = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").alias("n"), F.concat(F.lit("r"), F.col("s_suppkey").cast("string")).alias("uid"))
+    runs = channels.with_sheet(n.where("n % 2 = 0").select("uid", F.concat("uid", F.lit(".bam")).alias("path")), n.where("n % 3 = 0").select("uid", F.lit("ISR").alias("strandedness")))
+    runs = channels.with_library(runs, n.where("n % 4 = 0").select("uid", F.lit("U").alias("library")))
+    return channels.mixed(runs, n.where("n % 5 = 0").select("uid", F.concat("uid", F.lit(".own.bam")).alias("path"))).select("uid", "path", "strandedness")
+
+
+def hyper_editing_merge(spark, d):
+    n = spark.read.parquet(f"{d}/orders.parquet").select(F.concat(F.lit("r"), (F.col("o_orderkey") % 40).cast("string")).alias("uid"), F.col("o_orderkey").alias("read"), (F.col("o_orderkey") % 40).alias("k"))
+    both = channels.with_hyper_edited(n.where("k % 2 = 0 and read % 3 = 0").drop("k"), n.where("k % 5 < 3 and read % 3 = 1").drop("k"))
+    return both.groupBy("uid", "again").agg(F.count(F.lit(1)).alias("reads"), F.sum("read").cast("bigint").alias("sum"))
+
+
+def value_selectors(spark, d):
+    f = sections.chosen(fixtures.features(spark, d), "type", ["gene", "mRNA", "exon"])
+    return f.groupBy("seqid", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def heatmap_labels(spark, d):
+    r = fixtures.features(spark, d).where("level >= 2")
+    null = F.lit(None).cast("string")
+    r = r.select(
+        F.when(F.col("level") == 2, "one").otherwise("many").alias("section"), F.col("feature_id").alias("uid"), F.when(F.col("level") == 3, F.col("seqid")).otherwise("c").alias("seqid"),
+        F.when((F.col("level") == 3) & (F.col("file_order") % 3 > 0), F.col("type")).alias("ptype"), F.when(F.col("file_order") % 2 == 0, F.col("type")).otherwise(null).alias("ctype"),
+        F.when(F.col("level") == 2, "chimaera").when(F.col("file_order") % 5 == 0, "all_sites").otherwise("chimaera").alias("mode"),
+    )
+    return sections.labels(r).select("section", "uid", "label", "priority")
+
+
 REPORT = ["sample_idx", "seqid", "parent_ids", "id", "ptype", "type", "ctype", "mode", "start", "end", "strand", "total_sites", *counters.VECTORS]
 
 
 def chimaera_counts(spark, d):
-    p = fixtures.features(spark, d).drop("level")
-    return vectors(rollup.chimaera_rows(fixtures.sites(spark, d), hierarchy.paths(p), p, BY, COV, EDIT)).select(*REPORT)
+    return vectors(rollup.chimaera_rows(fixtures.sites(spark, d), tree(spark, d), fixtures.features(spark, d).drop("level"), BY, COV, EDIT)).select(*REPORT)
 
 
 def _mode(mode: str) -> Query:
@@ -125,12 +232,9 @@ def _mode(mode: str) -> Query:
 
 def _levels(spark, d) -> DataFrame:
     c, t, p = counts(spark, d), tree(spark, d), fixtures.features(spark, d).drop("level")
-    out = None
-    for mode in ("all_isoforms", "longest_isoform", "chimaera"):
-        long, groups = rollup.chimaera_counts(fixtures.sites(spark, d), t, p, BY, COV, EDIT) if mode == "chimaera" else rollup.mode_counts(c, t, mode, BY)
-        r = rollup.level_rows(kept(long, mode), kept(groups, mode), mode, BY)
-        out = r if out is None else out.unionByName(r)
-    return out
+    modes = {m: rollup.mode_counts(c, t, m, BY) for m in ("all_isoforms", "longest_isoform")} | {"chimaera": rollup.chimaera_counts(fixtures.sites(spark, d), t, p, BY, COV, EDIT)}
+    long, groups = rollup.tagged(modes)
+    return rollup.level_rows(kept(long, "long"), kept(groups, "groups"), BY)
 
 
 LEVEL = ["sample_idx", "seqid", "id", "ptype", "ctype", "mode", "total_sites", *counters.VECTORS]
@@ -356,7 +460,7 @@ def assumption_tests(spark, d, v=values):
 
 
 def bh_fdr(spark, d):
-    return rounded(stats.benjamini_hochberg(fixtures.tests(spark, d), ["section", "test"], tie=["uid", "comparison"]).select("section", "uid", "test", "comparison", "pval", F.col("padj")), "padj", digits=9)
+    return rounded(stats.benjamini_hochberg(fixtures.tests(spark, d), ["section", "test"]).select("section", "uid", "test", "comparison", "pval", F.col("padj")), "padj", digits=9)
 
 
 def significant_any(spark, d):
@@ -371,6 +475,21 @@ def sig_unique_common(spark, d):
     return stats.unique_and_common(fixtures.tests(spark, d), ["section", "uid"], "comparison")
 
 
+def sig_common_pairs(spark, d):
+    return stats.common_pairs(fixtures.tests(spark, d), ["section", "uid"], "comparison")
+
+
+def test_ranking(spark, d):
+    return stats.ranking(fixtures.tests(spark, d), ["section"], "anova", ("uid", "comparison")).select("section", "uid", "comparison", "padj", "rank")
+
+
+def edit_type_join(spark, d):
+    """Long matrix rows of features and of aggregates, of the edit types that both have."""
+    m = long_matrix(spark, d, decimals=None).where("metric = 'espr' and num > 0").select("pairing", "id", "sample_idx")
+    a, f = m.where("id like '%t%' and pairing < 'CT'"), m.where("id not like '%t%' and pairing > 'AC'")
+    return channels.by_edit_type(a, f).groupBy("pairing").agg(F.count(F.lit(1)).alias("n"))
+
+
 def sig_levels(spark, d):
     t = fixtures.tests(spark, d)
     return rounded(t.select("section", "uid", "test", "comparison", stats.significance_level(F.col("padj")).alias("level"), bases.score10(F.col("padj")).alias("score")), "score")
@@ -416,13 +535,15 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         site_scan_normalised, site_qualified_long, site_all_sites_by_seq_genome, quick_ag_ct_by_seq, feature_counts, feature_counts_report_all, feature_counts_binned,
-        feature_counts_binned_all, feature_counts_plain, feature_type_pushdown, feature_hierarchy_paths, feature_ancestors, longest_isoform_choice, chimaera_intervals, chimaera_counts, rollup_sequence, rollup_genome,
+        feature_counts_binned_all, feature_counts_plain, feature_type_pushdown, feature_hierarchy_paths, feature_hierarchy_deep, feature_ancestors, longest_isoform_choice, chimaera_intervals, chimaera_counts, rollup_sequence, rollup_genome,
         aggregate_ids, matrix_legacy_index, matrix_wide_ag, uid_build, safe_names, sample_column_parse, sample_duplicates, file_uid, atog_transform, qc_missing, qc_describe, group_statistics,
         bmk_mean_by_group, variance_filter_topk, coefficient_variation, kruskal_h, anova_f, bartlett_stat, student_t, welch_t, mannwhitney_u, effect_size_log2fc, group_pairs,
         pvalues_kruskal, pvalues_global, pvalues_pairwise, tests_auto, assumption_tests, bh_fdr, significant_any, global_ranking, sig_unique_common, sig_levels, replicate_pearson,
         sample_correlation, bmk_correlation_top50, section_membership, pca_variance, rf_importance, cv_accuracy,
+        gff3_scan, report_round_trip, matrix_round_trip, sheet_check, channel_joins, hyper_editing_merge, value_selectors, heatmap_labels, sig_common_pairs, test_ranking, edit_type_join,
     )
 } | {
+    "reditools2_scan": _site_scan("reditools2"), "reditools3_scan": _site_scan("reditools3"), "jacusa2_scan": _site_scan("jacusa2"),
     "rollup_feature_mode": _mode("feature"), "rollup_all_isoforms": _mode("all_isoforms"), "rollup_longest_isoform": _mode("longest_isoform"),
     "matrix_espf": _metric("espf"), "matrix_espr": _metric("espr"),
     "matrix_espf_cells": _cells("espf"), "matrix_espr_cells": _cells("espr"), "prevalence_any": _prevalence(None, None), "prevalence_samples_pct": _prevalence(50, None),

@@ -1,20 +1,23 @@
-"""Small shared intermediate tables as Parquet, so that a plan that uses one several times neither grows nor repeats work."""
+"""Shared intermediate tables as Parquet, so that a plan that uses one several times neither grows nor repeats work."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir (our own only where that is unset) and read again."""
-    context = df.sparkSession.sparkContext
+def path_for(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir, which driver and executors share. A machine's own folder would lose rows, so there is no other."""
+    context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="strandwise-")
-        context.setCheckpointDir(base)
-    path = f"{base.rstrip('/')}/strandwise/{name}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base.rstrip('/')}/strandwise/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again."""
+    path = path_for(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _attribute(name: str):
@@ -30,6 +31,13 @@ def read_gff3(spark: SparkSession, path, types: list[str] | None = None) -> Data
     return rows.select("seqid", "feature_id", "parent_id", "type", "start0", "end0", strand.alias("strand"), "file_order")
 
 
+def cached_by_sequence(parts: DataFrame, path: str) -> DataFrame:
+    """parts written once as Parquet, a folder a sequence, and read again: a filter on seqid then reads that sequence's files only."""
+    parts.repartition("seqid").write.partitionBy("seqid").parquet(path)
+    schema = T.StructType([f for f in parts.schema if f.name != "seqid"] + [parts.schema["seqid"]])
+    return parts.sparkSession.read.schema(schema).parquet(path).select(*parts.columns)
+
+
 def sequence_ids(spark: SparkSession, path) -> DataFrame:
     """The sequences that an annotation names: a scan of lines that are no comments."""
     lines = spark.read.text(path).where(~F.col("value").startswith("#"))

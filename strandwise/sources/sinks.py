@@ -47,7 +47,8 @@ def write_matrix(long: DataFrame, columns: list[str], path: str, key: list[str]
     key = key or matrix.KEY
     out = matrix.wide(long, [*key, "metric", "pairing"], columns)
     out = out.select(*(names.dotted(F.col(e)).alias(m) for m, e in zip(META, ENGINE, strict=True) if e in key), "metric", "pairing", *(F.col(f"`{c}`") for c in columns))
-    out = out.sortWithinPartitions("metric", "pairing", F.col("SeqID") == names.MISSING, "SeqID", "ParentIDs", "Mode")
+    order = [c for c in ("SeqID", "ParentIDs", "Mode") if c in out.columns]
+    out = out.sortWithinPartitions("metric", "pairing", F.col("SeqID") == names.MISSING, *order)
     out.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", "NA").partitionBy("metric", "pairing").csv(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,36 +48,62 @@ def read_matrix(spark: SparkSession, path, sep: str = "\t") -> tuple[DataFrame,
 
 
 SHEET = ["group", "input_1", "input_2", "strandedness", "read_type", "sample", "replicate"]
+# The kinds of reads.
+READ_TYPES = ("short_paired", "short_single", "pacbio", "ont")
 
 
-def read_sample_sheet(spark: SparkSession, path) -> DataFrame:
-    """A sample sheet with a problem column (null: none): group and input_1 are needed; sample and replicate get defaults."""
-    raw = spark.read.csv(path, header=True)
+def read_sample_sheet(spark: SparkSession, path, **how) -> DataFrame:
+    return checked_sheet(spark.read.csv(path, header=True), **how)
+
+
+def checked_sheet(raw: DataFrame, strandedness: str | None = None, read_type: str | None = None, base: str | None = None) -> DataFrame:
+    """A sample sheet with a problem column (null: none), input_type, is_url, paired and uid.
+
+    group and input_1 are needed, and strandedness and read_type unless given for all. Two files are a pair only for
+    short_paired; other read types do without the second. sample is the uid where neither it nor replicate is there; a
+    replicate without a sample is a problem. base makes paths absolute.
+    """
     for c in SHEET:
         if c not in raw.columns:
             raw = raw.withColumn(c, F.lit(None).cast("string"))
     t = raw.select(*(F.when(F.trim(c) != "", F.trim(c)).alias(c) for c in SHEET))
+    if base:
+        t = t.withColumns({c: names.absolute(F.col(c), base) for c in ("input_1", "input_2")})
+    if strandedness:
+        t = t.withColumn("strandedness", F.coalesce("strandedness", F.lit(strandedness)))
+    t = t.withColumn("read_type", F.lit(read_type) if read_type else F.lower("read_type"))
     t = t.withColumn("input_type", F.when(names.is_fastq(F.col("input_1")), "fastq").when(F.col("input_1").rlike(r"(?i)\.(bam|cram|sam)$"), "alignment"))
+    pairs = F.col("read_type") == "short_paired"
     problem = (
         F.when(F.col("group").isNull(), "group is missing").when(F.col("input_1").isNull(), "input_1 is missing")
         .when(F.col("input_type").isNull(), "input_1 is neither reads nor an alignment")
-        .when(F.col("input_2").isNotNull() & ~names.is_fastq(F.col("input_2")), "input_2 holds no reads")
         .when((F.col("input_type") == "alignment") & F.col("input_2").isNotNull(), "an alignment has no input_2")
+        .when(F.col("strandedness").isNull(), "strandedness is missing").when(F.col("read_type").isNull(), "read_type is missing")
+        .when(~F.col("read_type").isin(*READ_TYPES), "read_type is unknown")
+        .when(F.col("input_2").isNotNull() & ~names.is_fastq(F.col("input_2")), "input_2 holds no reads")
+        .when(pairs & (F.col("input_type") == "fastq") & F.col("input_2").isNull(), "short_paired needs input_2")
+        .when(F.col("sample").isNull() & F.col("replicate").isNotNull(), "a replicate needs a sample")
     )
-    t = t.withColumn("problem", problem).withColumn("sample", F.coalesce("sample", names.clean_prefix(F.col("input_1")))).withColumn("replicate", F.coalesce("replicate", F.lit("rep1")))
-    return t.withColumn("is_url", names.is_url(F.col("input_1"))).withColumn("uid", F.concat_ws("_", "group", "sample", "replicate"))
+    t = t.withColumn("problem", problem).withColumn("paired", F.coalesce(pairs & F.col("input_2").isNotNull(), F.lit(False)))
+    t = t.withColumn("is_url", names.is_url(F.col("input_1"))).withColumn("uid", names.run_uid(F.col("input_1"), F.col("paired")))
+    return t.withColumn("sample", F.coalesce("sample", "uid")).withColumn("replicate", F.coalesce("replicate", F.lit("rep1")))
 
 
 def fastq_a_to_g(spark: SparkSession, path) -> DataFrame:
-    """Four-line records of a FASTQ file: name, sequence with A as G, plus, quality."""
-    records = spark.read.option("lineSep", "\n").text(path).withColumn("n", F.monotonically_increasing_id())
-    from pyspark.sql import Window as W
-
-    records = records.withColumn("_file", F.input_file_name())
-    at = F.row_number().over(W.partitionBy("_file").orderBy("n")) - 1  # a text file without an index is read in its order
-    records = records.withColumn("record", F.floor(at / 4)).withColumn("line", at % 4)
-    lines = records.groupBy("_file", "record").pivot("line", [0, 1, 2, 3]).agg(F.first("value"))
-    return lines.select("_file", "record", F.col("0").alias("name"), a_to_g(F.col("1")).alias("sequence"), F.col("2").alias("plus"), F.col("3").alias("quality"))
+    """Four-line records of FASTQ files: name, sequence with A as G, plus, quality.
+
+    A line's place in its file is the number of lines in the file's earlier pieces, summed over a row a piece, and its place in its
+    own piece; so a file is cut at will and no task holds all of it.
+    """
+    own = F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("piece"), F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text(path).select("value", own.alias("at")).select("value", "at.*")
+    pieces = lines.groupBy("file", "piece").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("lines"))
+    before = F.sum("lines").over(W.partitionBy("file").orderBy("piece")) - F.col("lines")  # a row a piece
+    pieces = pieces.select("file", "piece", "least", before.alias("before"))
+    place = F.col("before") + F.col("n") - F.col("least")
+    lines = lines.join(pieces, ["file", "piece"]).select("file", "value", F.floor(place / 4).alias("record"), (place % 4).alias("line"))
+    rows = lines.groupBy("file", "record").pivot("line", [0, 1, 2, 3]).agg(F.first("value"))
+    return rows.select(F.col("file").alias("_file"), "record", F.col("0").alias("name"), a_to_g(F.col("1")).alias("sequence"), F.col("2").alias("plus"), F.col("3").alias("quality"))
 
 
 def fasta_a_to_g(spark: SparkSession, path) -> DataFrame:

@@ -27,11 +27,12 @@ def wide(spark, rows, cov, edit):
 
 
 def test_thresholds(spark):
-    r = wide(spark, [("c", 0, 1, 0, 10, 10, 0, 0, 0), ("c", 1, 1, 1, 12, 0, 9, 0, 3), ("c", 2, 1, 3, 2, 0, 0, 0, 2)], 5, 5)
-    assert (r.obs_A, r.obs_C, r.obs_G, r.obs_T) == (1, 1, 0, 1)
-    assert (r.qual_A, r.qual_C, r.qual_T) == (1, 1, 0)
-    assert (r.site_AA, r.site_CC, r.site_CT, r.site_TT) == (1, 1, 0, 0)
-    assert (r.read_AA, r.read_CC, r.read_CT, r.read_TT) == (10, 9, 0, 0)
+    # of four sites one is not covered enough, and of the rare reads those of G at 7 stay under the edit threshold
+    r = wide(spark, [("k", 3, -1, 2, 40, 7, 1, 32, 0), ("k", 7, -1, 1, 21, 0, 17, 2, 2), ("k", 8, -1, 1, 8, 0, 8, 0, 0), ("k", 9, -1, 0, 33, 30, 0, 3, 0)], 20, 3)
+    assert (r.obs_A, r.obs_C, r.obs_G, r.obs_T, r.obs_N) == (1, 2, 1, 0, 0)
+    assert (r.qual_A, r.qual_C, r.qual_G) == (1, 1, 1)
+    assert (r.site_GA, r.site_GC, r.site_GG, r.site_CG, r.site_CT, r.site_CC, r.site_AG) == (1, 0, 1, 0, 0, 1, 1)
+    assert (r.read_GA, r.read_GC, r.read_GG, r.read_CC, r.read_AA, r.read_AG) == (7, 0, 32, 17, 30, 3)
 
 
 def test_threshold_spares_the_genome_base(spark):
@@ -67,6 +68,14 @@ def test_hierarchy_and_longest(spark):
     assert [(r.root_id, r.iso_id, r.kind, r.length) for r in best] == [("g1", "t2", "CDS", 5)]  # CDS first, though its exons are shorter
 
 
+def test_any_depth_and_no_rounds(spark):
+    chain = [("c", f"f{i}", f"f{i - 1}" if i > 1 else None, "x", i, i + 1, 1) for i in range(1, 24)]
+    t = {r.feature_id: r for r in hierarchy.paths(parts(spark, chain), kept).collect()}
+    assert all(t[f"f{i}"].level == i and t[f"f{i}"].root_id == "f1" and list(t[f"f{i}"].path) == [f"f{j}" for j in range(1, i)] for i in range(1, 24))
+    with pytest.raises(ValueError, match="own ancestor"):
+        hierarchy.paths(parts(spark, [("c", "a", "b", "x", 0, 1, 1), ("c", "b", "a", "x", 0, 1, 1)]))
+
+
 def test_longest_tie_goes_to_the_first(spark):
     p = parts(spark, [("c", "g", None, "gene", 0, 9, 1), ("c", "b", "g", "mRNA", 0, 9, 1), ("c", "a", "g", "mRNA", 0, 9, 1), ("c", "x", "b", "exon", 0, 5, 1), ("c", "y", "a", "exon", 4, 9, 1)])
     assert hierarchy.longest_isoforms(hierarchy.paths(p)).first().iso_id == "b"
@@ -214,13 +223,26 @@ def test_report_round_trip(spark, tmp_path):
 
 def test_sample_sheet_and_sequences(spark, tmp_path):
     f = tmp_path / "s.csv"
-    f.write_text("group,input_1,input_2,strandedness,read_type\na,/x/r_1.fastq.gz,,ISR,short\n,/x/q.bam,,,\nb,/x/q.bam,/x/r.fastq,,\n")
-    got = [r.problem for r in tables.read_sample_sheet(spark, str(f)).orderBy(F.col("group").asc_nulls_last()).collect()]
-    assert got == [None, "an alignment has no input_2", "group is missing"]
+    f.write_text("group,input_1,input_2,strandedness,read_type\na,/x/r_1.fastq.gz,/x/r_2.fastq.gz,ISR,Short_Paired\n,/x/q.bam,,,\nb,/x/q.bam,/x/r.fastq,,\nc,y.fq,,ISR,short_paired\nd,/x/y.fq,,,ont\ne,/x/y.fq,,ISR,\n")
+    sheet = lambda **how: [r.problem for r in tables.read_sample_sheet(spark, str(f), **how).orderBy(F.col("group").asc_nulls_last()).collect()]
+    assert sheet() == [None, "an alignment has no input_2", "short_paired needs input_2", "strandedness is missing", "read_type is missing", "group is missing"]
+    assert sheet(strandedness="ISF", read_type="ont") == [None, "an alignment has no input_2", None, None, None, "group is missing"]
+    first, *_, third = tables.read_sample_sheet(spark, str(f), base="/b").where("group in ('a', 'c')").orderBy("group").collect()
+    assert (first.uid, first.paired, first["sample"], first.replicate) == ("r", True, "r", "rep1") and third.input_1 == "/b/y.fq"
     q = tmp_path / "q.fastq"
     q.write_text("@A1\nAaCG\n+\nAAAA\n@A2\nTT\n+\nII\n")
     got = tables.fastq_a_to_g(spark, str(q)).orderBy("record").collect()
     assert [(r["name"], r["sequence"], r["quality"]) for r in got] == [("@A1", "GgCG", "AAAA"), ("@A2", "TT", "II")]
+    many = [(f"@r{i}", "ACGT" * (i % 5 + 1), "I" * (i % 5 + 1) * 4) for i in range(400)]
+    q.write_text("".join(f"{n}\n{s}\n+\n{x}\n" for n, s, x in many))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")  # the file is cut within records
+    got = tables.fastq_a_to_g(spark, str(q)).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted((r["name"], r["sequence"], r["quality"]) for r in got) == sorted((n, s.replace("A", "G"), x) for n, s, x in many)
+    fa = tmp_path / "g.fa"
+    fa.write_text(">chrA\nACGTa\n")
+    assert [r.value for r in tables.fasta_a_to_g(spark, str(fa)).collect()] == [">chrA", "GCGTg"]
 
 
 def test_stream_counts_equal_batch(spark, tmp_path):
