@@ -41,13 +41,18 @@ def may_have(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
+def which(bits: np.ndarray, col: pa.Array) -> np.ndarray:
+    """Which integers of a column may be in the set; null is not."""
+    ok = col.is_valid().to_numpy(zero_copy_only=False)
+    return ok & may_have(bits, col.fill_null(0).to_numpy(zero_copy_only=False))
+
+
 def among(df: DataFrame, column: str, bits: np.ndarray) -> Column:
     """Whether a row's integer may be in the set; null is not."""
     cast = df.sparkSession.sparkContext.broadcast(bits)
 
     @F.arrow_udf("boolean")
     def test(col: pa.Array) -> pa.Array:
-        ok = col.is_valid().to_numpy(zero_copy_only=False)
-        return pa.array(ok & may_have(cast.value, col.fill_null(0).to_numpy(zero_copy_only=False)))
+        return pa.array(which(cast.value, col))
 
     return test(F.col(column).cast("long"))

@@ -16,7 +16,7 @@ SALTS = 64
 #: Rows of a key and a few numbers for one file, about.
 FILE_ROWS = 20_000
 #: Bytes of an Arrow batch.
-BATCH = 8 << 20
+BATCH = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
-from ._bloom import among, bitmap
+from ._bloom import among, bitmap, which
 from ._runtime import join_small, modest, release, remove, stored
 from .components import components, merged
 
@@ -493,18 +493,23 @@ def deduplicated(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     twice = found.where(stays).groupBy(*key).count().where("count > 1").select(*(F.col(c).alias("_sw_" + c) for c in key))
     twice = stored(twice, "repeated-rows")
 
+    bits = bitmap(gone.union(twice), "_sw_id")
+    cast = docs.sparkSession.sparkContext.broadcast(bits)
+
     @F.arrow_udf("struct<n: long, a: long, b: long>")
-    def of(col: pa.Array) -> pa.Array:
-        out = [(len(s), *sums(s)) for w in _text.slices(col, table=_text.LOWER) for _, s in element_sets(w, words)]
-        c = np.array(out, np.uint64).reshape(-1, 3).view(np.int64)
-        return pa.StructArray.from_arrays([pa.array(c[:, i]) for i in range(3)], ["n", "a", "b"])
+    def of(own: pa.Array, col: pa.Array) -> pa.Array:  # null: not in the set; one Python step for both, a worker a task
+        maybe = which(cast.value, own)
+        out = [(len(s), *sums(s)) for w in _text.slices(col.filter(pa.array(maybe)), table=_text.LOWER) for _, s in element_sets(w, words)]
+        c = np.zeros((len(col), 3), np.int64)
+        c[maybe] = np.array(out, np.uint64).reshape(-1, 3).view(np.int64)
+        return pa.StructArray.from_arrays([pa.array(c[:, i]) for i in range(3)], ["n", "a", "b"], mask=pa.array(~maybe))
 
     # columns of docs may have any names: they travel in one struct
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_sw_row"))
     own = F.col("_sw_row")[doc_id].cast("long")
-    maybe = among(rows.withColumn("_sw_own", own), "_sw_own", bitmap(gone.union(twice), "_sw_id"))
     rows = rows.withColumn("_sw_own", own)
-    some = rows.where(maybe).withColumn("_sw_k", of(F.col("_sw_row")[text]))
+    maybe = among(rows, "_sw_own", bits)
+    some = rows.withColumn("_sw_k", of.asNondeterministic()("_sw_own", F.col("_sw_row")[text])).where("_sw_k is not null")
     same = (F.col("_sw_own") == F.col("_sw_id")) & (F.col("_sw_k.n") == F.col("_sw_n")) & (F.col("_sw_k.a") == F.col("_sw_a")) & (F.col("_sw_k.b") == F.col("_sw_b"))
     rest = some.join(gone, same, "left_anti")
     if twice.limit(1).count():

@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text
-from ._bloom import among, bitmap
+from ._bloom import among, bitmap, which
 from ._runtime import modest, release, remove_path, shared_dir, stored
 
 WORDS, GRAM, BATCHES = 13, 6, 4
 #: Windows of one row at most, and bytes of text for a bucket, about: it is sorted in one task's memory.
-RUN, BUCKET = 120, 32 << 20
+RUN, BUCKET = 120, 8 << 20
 #: Bits of a window's own hash.
 KEY = np.uint64((1 << 40) - 1)
 
@@ -294,17 +294,21 @@ def substring_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
             cols.append(pa.array([g[2].decode() for g in got], pa.string()))
         return pa.StructArray.from_arrays(cols, names_)
 
-    @F.arrow_udf(kind)
-    def whole(col: pa.Array) -> pa.Array:
-        return result(col, None)
+    bits = bitmap(marks, "id")
+    cast = spark.sparkContext.broadcast(bits)
+
+    def whole(batches):  # one Python step for the test and the result: a worker a task
+        for b in batches:
+            b = b.filter(pa.array(~which(cast.value, b.column(0))))
+            yield pa.RecordBatch.from_arrays([b.column(0), result(b.column(1), None)], ["id", "r"])
+        release()
 
     @F.arrow_udf(kind)
     def cut(col: pa.Array, given: pa.Array) -> pa.Array:
         return result(col, given)
 
-    maybe = among(rows, "id", bitmap(marks, "id"))
     of = marks.groupBy(F.col("id").alias("_sw_id")).agg(F.collect_list(F.struct("pos", "n", "key")).alias("marks"))
-    tested = rows.where(maybe)
+    tested = rows.where(among(rows, "id", bits))
     marked = tested.join(of, tested["id"] == of["_sw_id"], "left").select("id", cut("text", "marks").alias("r"))
-    same = rows.where(~maybe).select("id", whole("text").alias("r"))  # most texts need no shuffle
+    same = rows.mapInArrow(whole, f"id long, r {kind}")  # most texts need no shuffle
     return same.union(marked).select("id", "r.*")
