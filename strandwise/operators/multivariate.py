@@ -43,9 +43,8 @@ def _sample():
 def gram(rows: DataFrame, uid: str = "uid") -> DataFrame:
     """Inner products of samples over biomarkers, nulls as 0, each biomarker standardised (population deviation; without one, 0)."""
     live = rows.groupBy(uid).agg(F.count("value").alias("_n"), F.avg(F.coalesce("value", F.lit(0.0))).alias("_m"), F.stddev_pop(F.coalesce("value", F.lit(0.0))).alias("_s")).where("_n > 0")
-    z = rows.join(live, uid).select(uid, _sample().alias("s"), F.when(F.col("_s") > 0, (F.coalesce("value", F.lit(0.0)) - F.col("_m")) / F.col("_s")).otherwise(0.0).alias("z"))
-    a, b = z.select(uid, F.col("s").alias("s1"), F.col("z").alias("x")), z.select(uid, F.col("s").alias("s2"), F.col("z").alias("y"))
-    return a.join(b, uid).groupBy("s1", "s2").agg(F.sum(F.col("x") * F.col("y")).alias("g"))
+    z = rows.join(live, uid).select(uid, _sample().alias("s"), F.when(F.col("_s") > 0, (F.coalesce("value", F.lit(0.0)) - F.col("_m")) / F.col("_s")).otherwise(0.0).alias("v"))
+    return stats.sample_products(z, [], uid).select("s1", "s2", F.col("xy").alias("g"))
 
 
 def principal_components(rows: DataFrame, uid: str = "uid", most: int = 10, shown: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -57,8 +56,8 @@ def principal_components(rows: DataFrame, uid: str = "uid", most: int = 10, show
     k = min(most, len(names))
     at = {n: i for i, n in enumerate(names)}
     g = np.zeros((len(names), len(names)))
-    for r in gram(rows, uid).toLocalIterator():
-        g[at[r["s1"]], at[r["s2"]]] = r["g"]
+    for r in gram(rows, uid).collect():  # at most MAX_SAMPLES squared numbers
+        g[at[r["s1"]], at[r["s2"]]] = g[at[r["s2"]], at[r["s1"]]] = r["g"]
     if len(names) < 2:
         return spark.createDataFrame([], "sample string, component int, value double"), spark.createDataFrame([], "component int, explained double, cumulative double")
     value, vector = np.linalg.eigh(g)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -67,10 +69,10 @@ def variable(rows: DataFrame, by: list[str], least: float = 1e-10) -> DataFrame:
 
 
 def top_variance(rows: DataFrame, section: list[str], uid: str, k: int) -> DataFrame:
-    """The k most variable biomarkers of a section, ties by name."""
+    """The k most variable biomarkers of a section, ties (to twelve places, as sums have no fixed order) by name."""
     v = variable(rows, [*section, uid], -1.0)
     order = W.partitionBy(*section) if section else W.partitionBy(F.lit(0))
-    return v.withColumn("rank", F.row_number().over(order.orderBy(F.col("variance").desc(), uid))).where(F.col("rank") <= k)
+    return v.withColumn("rank", F.row_number().over(order.orderBy(F.round("variance", 12).desc(), uid))).where(F.col("rank") <= k)
 
 
 def coefficient_of_variation(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -299,7 +301,7 @@ def ranking(tests: DataFrame, section: list[str], test: str = "kruskal", tie: tu
 def variance_ranking(rows: DataFrame, section: list[str], uid: str) -> DataFrame:
     """All biomarkers with a variance, the largest first; at most the biomarkers of a section, a number each, in one task."""
     v = variances(rows, [*section, uid]).where("variance is not null")
-    return v.withColumn("rank", F.row_number().over(W.partitionBy(*section).orderBy(F.col("variance").desc(), uid)))
+    return v.withColumn("rank", F.row_number().over(W.partitionBy(*section).orderBy(F.round("variance", 12).desc(), uid)))
 
 
 def pearson(x: str, y: str) -> Column:
@@ -324,12 +326,57 @@ def replicate_pearson(rows: DataFrame, section: list[str], uid: str) -> DataFram
     return out.withColumn("pval", F.when(F.abs(r) >= 1, F.lit(0.0)).otherwise(pvalues.t_p(t, df)))
 
 
+def sample_products(rows: DataFrame, section: list[str], uid: str, value: str = "v", sample: str = "s") -> DataFrame:
+    """(section, s1, s2, n, x, y, xx, yy, xy): sums over biomarkers of each two samples' values and products, s1 <= s2.
+
+    A biomarker is one row with its samples' values. A task adds up whole matrices of products, a section after another, so what is
+    shuffled is a number of samples squared for each task and section, not for each biomarker. A biomarker without a row of a
+    sample counts for the other samples only.
+    """
+    vectors = rows.groupBy(*section, uid).agg(F.sort_array(F.collect_list(F.struct(F.col(sample).alias("s"), F.col(value).cast("double").alias("v")))).alias("_x"))
+    vectors = vectors.select(*section, F.col("_x.s").alias("s"), F.col("_x.v").alias("v")).sortWithinPartitions(*section, "s")
+    width = len(section)
+
+    def sums(batches):
+        key, held = None, []
+
+        def done():
+            x = np.array(held)
+            a = x.T @ x
+            i, j = np.triu_indices(x.shape[1])
+            total, square = x.sum(0), np.diag(a)
+            names = key[-1]
+            cols = [pa.array([k] * len(i), pa.string()) for k in key[:-1]]
+            cols += [pa.array([names[q] for q in o], pa.string()) for o in (i, j)]
+            cols += [pa.array(np.full(len(i), float(len(x)))), *(pa.array(c) for c in (total[i], total[j], square[i], square[j], a[i, j]))]
+            return pa.RecordBatch.from_arrays(cols, [*section, *PRODUCTS])
+
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                now = (*row[:width], tuple(row[width]))
+                if now != key or len(held) >= 4096:
+                    if held:
+                        yield done()
+                    key, held = now, []
+                held.append(row[width + 1])
+        if held:
+            yield done()
+
+    kinds = ", ".join([*(f"{c} string" for c in section), "s1 string, s2 string", *(f"{c} double" for c in PRODUCTS[2:])])
+    return vectors.mapInArrow(sums, kinds).groupBy(*section, "s1", "s2").agg(*(F.sum(c).alias(c) for c in PRODUCTS[2:]))
+
+
+PRODUCTS = ["s1", "s2", "n", "x", "y", "xx", "yy", "xy"]
+
+
 def sample_correlation(rows: DataFrame, section: list[str], uid: str) -> DataFrame:
-    """Pearson's r of each two samples, nulls as 0, over biomarkers with any value."""
+    """Pearson's r of each two samples, nulls as 0, over biomarkers with any value; null where a sample does not vary."""
     live = rows.groupBy(*section, uid).agg(F.count("value").alias("_n")).where("_n > 0").select(*section, uid)
     v = rows.join(live, [*section, uid], "left_semi").select(*section, uid, F.concat_ws("::", "grp", "sample", "rep").alias("s"), F.coalesce("value", F.lit(0.0)).alias("v"))
-    a, b = v.select(*section, uid, F.col("s").alias("sample1"), F.col("v").alias("x")), v.select(*section, uid, F.col("s").alias("sample2"), F.col("v").alias("y"))
-    return a.join(b, [*section, uid]).where("sample1 < sample2").groupBy(*section, "sample1", "sample2").agg(pearson("x", "y").alias("r"))
+    p = sample_products(v, section, uid).where("s1 < s2")
+    vx, vy = (F.col(c * 2) / F.col("n") - (F.col(c) / F.col("n")) * (F.col(c) / F.col("n")) for c in "xy")
+    r = (F.col("xy") / F.col("n") - F.col("x") / F.col("n") * (F.col("y") / F.col("n"))) / F.sqrt(vx * vy)
+    return p.select(*section, F.col("s1").alias("sample1"), F.col("s2").alias("sample2"), F.when((vx > 1e-15) & (vy > 1e-15), r).alias("r"))
 
 
 def biomarker_correlation(rows: DataFrame, section: list[str], uid: str, k: int = 50) -> DataFrame:

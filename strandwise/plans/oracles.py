@@ -129,10 +129,6 @@ LONG = WIDE + f", mx as ({EACH}), long as (select *, case when den >= 1 then cas
 LEGACY_NAMES = [p for _, _, p in PAIRS]
 
 
-def _metric(metric: str) -> str:
-    return LONG + f" select sample_idx, seqid, id, pairing, num, cast(den as bigint) as den, cast(num as double) / den as value from mx where metric = '{metric}' and den >= 2 and num > 0"
-
-
 def _cells(metric: str) -> str:
     """All samples of each row with an edited cell."""
     return LONG + f""", k as (select distinct seqid, id, type, pairing from long where metric = '{metric}' and value <> 0)
@@ -150,8 +146,8 @@ def _prevalence(samples: float | None, group: float | None) -> str:
 
 COLUMNS = [(i, f"{('ctrl', 'low', 'high')[i % 3]}::s{i % 2 + 1}::rep{1 if i < 6 else 2}::espf") for i in range(12)]
 
-VALUES = LONG + """, vals as (select f.type as section, f.feature_id as uid, s.grp, s.sample, s.rep, l.value from fx_features f cross join fx_samples s
-  left join long l on l.id = f.feature_id and l.sample_idx = s.sample_idx and l.pairing = 'AG' and l.metric = 'espr' where f.level <= 2)"""
+VALUES = LONG + """, vals as (select k.pairing || '_' || k.metric || '_' || f.type as section, f.feature_id as uid, s.grp, s.sample, s.rep, l.value from fx_features f cross join fx_samples s
+  cross join (select distinct pairing, metric from mx) k left join long l on l.id = f.feature_id and l.sample_idx = s.sample_idx and l.pairing = k.pairing and l.metric = k.metric)"""
 VARIED = VALUES + """, varied as (select v.* from vals v join (select section, uid from vals group by all having var_samp(value) > 1e-10) k on k.section = v.section and k.uid = v.uid where value is not null),
 mom as (select section, uid, grp, count(*) as n, avg(value) as mean, var_samp(value) as var from varied group by all),
 two as (select a.section, a.uid, a.grp as grp1, b.grp as grp2, a.n as n1, b.n as n2, a.mean as mean1, b.mean as mean2, a.var as var1, b.var as var2 from mom a join mom b on a.section = b.section and a.uid = b.uid and a.grp < b.grp)"""
@@ -160,6 +156,10 @@ kg as (select section, uid, grp, sum(r) as rs, count(*) as n, sum(t * t - 1) as
 ks as (select section, uid, sum(rs * rs / n) as q, cast(sum(n) as double) as n, cast(sum(tie) as double) as tie, count(*) as groups from kg group by all),
 kh as (select section, uid, case when groups >= 2 and 1 - tie / (n * n * n - n) > 0 then (12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - tie / (n * n * n - n)) end as h, cast(groups - 1 as int) as df from ks)"""
 
+#: Two-sided p of Student's t in closed form, for up to six degrees of freedom (two groups of four).
+T_P = """case df when 1 then 1 - 2 * th / pi() when 2 then 1 - sin(th) when 3 then 1 - 2 / pi() * (th + sin(th) * cos(th)) when 4 then 1 - sin(th) * (1 + cos(th) ** 2 / 2)
+  when 5 then 1 - 2 / pi() * (th + sin(th) * (cos(th) + 2.0 / 3 * cos(th) ** 3)) when 6 then 1 - sin(th) * (1 + cos(th) ** 2 / 2 + 3.0 / 8 * cos(th) ** 4) end"""
+
 UID_PART = "case when regexp_matches(regexp_replace(trim({0}), '^\\.?,?', ''), '^\\.*$') then '' else regexp_replace(trim({0}), '^\\.?,?', '') end"
 
 
@@ -180,9 +180,7 @@ ORACLES: dict[str, str] = {
     "quick_ag_ct_by_seq": _ctes("sites") + "select sample_idx, seqid, cast(sum(case when ref = 0 then fg else 0 end) as bigint) as a_to_g, cast(sum(case when ref = 1 then ft else 0 end) as bigint) as c_to_t from fx_sites group by all",
     "feature_counts": _ctes(*FC) + f"select sample_idx, t.seqid, t.path as parent_ids, t.feature_id as id, t.type, cast(start0 + 1 as bigint) as start, cast(end0 as bigint) as \"end\", t.strand, cast(end0 - start0 as bigint) as total_sites, {VECTORS} from fc join tree t on t.seqid = fc.seqid and t.feature_id = fc.feature_id where {QUALIFIED} > 0",
     "feature_counts_report_all": _ctes(*FC, "samples") + f"select s.sample_idx, t.seqid, t.feature_id as id, cast(end0 - start0 as bigint) as total_sites, {_vectors(True)} from tree t cross join fx_samples s left join fc on t.seqid = fc.seqid and t.feature_id = fc.feature_id and fc.sample_idx = s.sample_idx",
-    "feature_counts_binned": _ctes("sites", "features", "g", "hits") + "select sample_idx, h.seqid, h.feature_id, count(*) as sites, cast(sum(coverage) as bigint) as coverage from hits h join fx_features f on f.seqid = h.seqid and f.feature_id = h.feature_id and f.level = 1 group by all",
-    "feature_counts_binned_all": _ctes("sites", "features", "g", "hits") + "select sample_idx, seqid, feature_id, count(*) as sites, cast(sum(coverage) as bigint) as coverage from hits group by all",
-    "feature_counts_plain": _ctes("sites", "features", "g", "hits") + "select h.seqid, h.feature_id, count(*) as sites, cast(sum(coverage) as bigint) as coverage from hits h join fx_features f on f.seqid = h.seqid and f.feature_id = h.feature_id and f.level = 1 where sample_idx = 0 group by all",
+    "feature_counts_binned": _ctes("sites", "features", "g", "hits") + "select sample_idx, seqid, feature_id, count(*) as sites, cast(sum(coverage) as bigint) as coverage from hits group by all",
     "feature_type_pushdown": _ctes("features") + """, k as (select * from fx_features where type in ('gene', 'mRNA', 'CDS')),
       l as (select k.*, p.feature_id as p1, q.feature_id as p2 from k left join k p on p.feature_id = k.parent_id and p.seqid = k.seqid left join k q on q.feature_id = p.parent_id and q.seqid = k.seqid)
       select type, cast(1 + case when p1 is null then 0 when p2 is null then 1 else 2 end as int) as level, count(*) as n, cast(sum(end0 - start0) as bigint) as length from l group by 1, 2""",
@@ -200,10 +198,8 @@ ORACLES: dict[str, str] = {
     "rollup_sequence": _levels(False),
     "rollup_genome": _levels(True),
     "aggregate_ids": _ctes("features", "tree") + "select distinct seqid, root_type as ptype, type as ctype, m.mode, 'sequence_' || seqid || '_' || root_type || '_' || type || '_' || m.mode as sequence_id, 'global_' || type || '_' || m.mode as global_id, 'sequence' as type from tree cross join (values ('all_isoforms'), ('longest_isoform'), ('chimaera')) as m(mode) where lev >= 3",
-    "matrix_espf": _metric("espf"),
-    "matrix_espr": _metric("espr"),
-    "matrix_espf_cells": _cells("espf"),
-    "matrix_espr_cells": _cells("espr"),
+    "matrix_espf": _cells("espf"),
+    "matrix_espr": _cells("espr"),
     "matrix_legacy_index": WIDE + " " + " union all ".join(f"select '{p}' as pairing, cast(sum(read_{LEGACY_NAMES[n]}) as bigint) as num, cast(sum(read_{p[0]}A + read_{p[0]}C + read_{p[0]}G + read_{p[0]}T) as bigint) as den from w" for n, (_, _, p) in enumerate(EDITS)),
     "matrix_wide_ag": LONG + " select seqid, id, type, " + ", ".join(f"max(case when sample_idx = {i} then value end) as \"{c}\"" for i, c in COLUMNS) + " from long where metric = 'espf' and pairing = 'AG' group by seqid, id, type having sum(case when value <> 0 then 1 else 0 end) > 0",
     "prevalence_any": _prevalence(None, None),
@@ -219,7 +215,7 @@ ORACLES: dict[str, str] = {
     "qc_describe": VALUES + " select section, grp, sample, rep, count(value) as count, round(avg(value), 6) as mean, round(stddev_samp(value), 6) as std, round(min(value), 6) as min, round(quantile_cont(value, 0.25), 6) as q25, round(quantile_cont(value, 0.5), 6) as q50, round(quantile_cont(value, 0.75), 6) as q75, round(max(value), 6) as max from vals where value is not null group by all",
     "group_statistics": VALUES + " select section, grp, count(value) as n, round(avg(value), 6) as mean, round(quantile_cont(value, 0.5), 6) as median, round(coalesce(stddev_samp(value), 0), 6) as std, round(min(value), 6) as min, round(max(value), 6) as max, round(quantile_cont(value, 0.25), 6) as q25, round(quantile_cont(value, 0.75), 6) as q75 from vals where value is not null group by all",
     "bmk_mean_by_group": VALUES + " select section, uid, grp, round(avg(value), 6) as mean, count(value) as n from vals group by all",
-    "variance_filter_topk": VALUES + " select section, uid, round(v, 9) as variance from (select section, uid, v, row_number() over (partition by section order by v desc, uid) as n from (select section, uid, var_samp(value) as v from vals group by all) where v is not null) where n <= 50 and v > 1e-10",
+    "variance_filter_topk": VALUES + " select section, uid, round(v, 9) as variance from (select section, uid, v, row_number() over (partition by section order by round(v, 12) desc, uid) as n from (select section, uid, var_samp(value) as v from vals group by all) where v is not null) where n <= 50 and v > 1e-10",
     "coefficient_variation": VALUES + " select section, uid, round(case when avg(value) <> 0 then stddev_samp(value) / avg(value) end, 6) as cv from vals group by all",
     "kruskal_h": RANKED + " select section, uid, round(h, 6) as h, df from kh",
     "anova_f": VARIED + """, s as (select section, uid, count(*) as k, cast(sum(n) as double) as n, sum(n * mean) as t, sum(n * mean * mean) as b, sum((n - 1) * var) as w from mom where n >= 2 group by all)
@@ -237,6 +233,13 @@ ORACLES: dict[str, str] = {
     "effect_size_log2fc": VARIED + " select section, uid, grp1, grp2, round(mean1 - mean2, 6) as diff, round(case when mean1 > 0 and mean2 > 0 then log2(mean1 / mean2) end, 6) as log2fc from two",
     "group_pairs": VALUES + ", m as (select section, uid, grp, count(*) as n from vals where value is not null group by all) select a.section, a.grp as grp1, b.grp as grp2, count(*) as uids, cast(sum(a.n + b.n) as bigint) as values from m a join m b on a.section = b.section and a.uid = b.uid and a.grp < b.grp group by all",
     "pvalues_kruskal": RANKED + " select section, uid, round(exp(-h / 2), 6) as pval from kh where df = 2 and h is not null",
+    "pvalues_anova": VARIED + f""", s as (select section, uid, count(*) as k, cast(sum(n) as double) as n, sum(n * mean) as t, sum(n * mean * mean) as b, sum((n - 1) * var) as w from mom where n >= 2 group by all),
+      f as (select section, uid, k - 1 as d1, n - k as df, case when k >= 2 and w > 1e-12 then greatest(0, ((b - t * t / n) / (k - 1)) / (w / (n - k))) end as f from s)
+      select section, uid, round(case when d1 = 2 then pow(1 + 2 * f / df, -df / 2) when d1 = 1 then {T_P} end, 6) + 0.0 as pval from (select *, atan(sqrt(f / df)) as th from f)""",
+    "pvalues_student": VARIED + f""", s as (select *, n1 + n2 - 2 as df, ((n1 - 1) * var1 + (n2 - 1) * var2) / (n1 + n2 - 2) as p from two),
+      t as (select *, case when n1 >= 2 and n2 >= 2 and p > 1e-12 then atan(abs((mean1 - mean2) / sqrt(p * (1.0 / n1 + 1.0 / n2))) / sqrt(df)) end as th from s)
+      select section, uid, grp1, grp2, round({T_P}, 6) + 0.0 as pval from t""",
+    "section_membership": _ctes(*FC) + f", r as (select distinct t.seqid, t.path, t.feature_id, t.type, t.root_id from fc join tree t on t.seqid = fc.seqid and t.feature_id = fc.feature_id where {QUALIFIED} > 0) select section, count(*) as rows from (select 'tree_' || root_id as section from r union all select 'roots_' || type from r where path = '.') group by section",
     "bh_fdr": _ctes("tests") + """, r as (select *, row_number() over (partition by section, test order by pval, uid, comparison) as k, count(*) over (partition by section, test) as m from fx_tests)
       select section, uid, test, comparison, pval, round(least(1.0, min(pval * m / k) over (partition by section, test order by k desc rows between unbounded preceding and current row)), 9) as padj from r""",
     "significant_any": _ctes("tests") + "select section, uid, cast(sum(case when padj < 0.05 then 1 else 0 end) as bigint) as n_significant_tests, min(padj) as min_padj from fx_tests group by all having min(padj) < 0.05",
@@ -270,7 +273,7 @@ ORACLES: dict[str, str] = {
     "sig_levels": _ctes("tests") + "select section, uid, test, comparison, case when padj < 0.05 then 2 when padj < 0.1 then 1 else 0 end as level, round(-log10(greatest(padj, 1e-300)), 6) + 0.0 as score from fx_tests",
     "replicate_pearson": VALUES + " select a.section, a.grp, a.sample, a.rep as rep1, b.rep as rep2, count(*) as n, round(case when var_pop(a.value) > 1e-18 and var_pop(b.value) > 1e-18 then corr(a.value, b.value) end, 6) as pearson_r from vals a join vals b on a.section = b.section and a.uid = b.uid and a.grp = b.grp and a.sample = b.sample and a.rep < b.rep where a.value is not null and b.value is not null group by all having count(*) >= 3",
     "sample_correlation": VALUES + ", l as (select section, uid, grp || '::' || sample || '::' || rep as s, coalesce(value, 0) as v from vals where (section, uid) in (select section, uid from vals group by all having count(value) > 0)) select a.section, a.s as sample1, b.s as sample2, round(case when var_pop(a.v) > 1e-18 and var_pop(b.v) > 1e-18 then corr(a.v, b.v) end, 6) as r from l a join l b on a.section = b.section and a.uid = b.uid and a.s < b.s group by all",
-    "bmk_correlation_top50": VALUES + """, k as (select section, uid from (select section, uid, row_number() over (partition by section order by var_samp(value) desc, uid) as n from vals group by section, uid having var_samp(value) is not null) where n <= 50),
+    "bmk_correlation_top50": VALUES + """, k as (select section, uid from (select section, uid, row_number() over (partition by section order by round(var_samp(value), 12) desc, uid) as n from vals group by section, uid having var_samp(value) is not null) where n <= 50),
       v as (select vals.* from vals join k on k.section = vals.section and k.uid = vals.uid where value is not null),
       c as (select a.section, a.uid as uid1, b.uid as uid2, count(*) as n, case when var_pop(a.value) > 1e-18 and var_pop(b.value) > 1e-18 then corr(a.value, b.value) end as r from v a join v b on a.section = b.section and a.grp = b.grp and a.sample = b.sample and a.rep = b.rep and a.uid < b.uid group by all)
       select section, uid1, uid2, n, round(r, 6) as r from c where n >= 6 and r is not null""",
@@ -280,9 +283,3 @@ ORACLES["report_round_trip"] = ORACLES["feature_counts"]
 for _name, _q in (("reditools2_scan", "30.5"), ("reditools3_scan", "30.5"), ("jacusa2_scan", "null")):
     _score = "1.5" if _q == "null" else "0.0"
     ORACLES[_name] = _ctes("sites") + f"select seqid || '_' || sample_idx as seqid, pos, strand, ref, {'fa + fc + fg + ft' if _q == 'null' else 'coverage'} as coverage, fa, fc, fg, ft, cast({_q} as double) as mean_q, cast({_score} as double) as score from fx_sites"
-
-#: Every level, pairing and metric in place of the roots and transcripts of one matrix; the statistics on it are the same.
-VALS = VALUES[len(LONG) :]
-ALL_VALS = """, vals as (select k.pairing || '_' || k.metric || '_' || f.type as section, f.feature_id as uid, s.grp, s.sample, s.rep, l.value from fx_features f cross join fx_samples s
-  cross join (select distinct pairing, metric from mx) k left join long l on l.id = f.feature_id and l.sample_idx = s.sample_idx and l.pairing = k.pairing and l.metric = k.metric)"""
-ORACLES |= {f"{n}_all": q.replace(VALS, ALL_VALS) for n, q in ORACLES.items() if VALS in q}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,19 +68,7 @@ def feature_counts_report_all(spark, d):
 
 
 def feature_counts_binned(spark, d):
-    s, p = fixtures.sites(spark, d), fixtures.features(spark, d)
-    hits = interval_join.sites_in_parts(s, p.where("level = 1"), ["feature_id"])
-    return hits.groupBy("sample_idx", "seqid", "feature_id").agg(F.count(F.lit(1)).alias("sites"), F.sum("coverage").cast("bigint").alias("coverage"))
-
-
-def feature_counts_plain(spark, d):
-    s, p = fixtures.sites(spark, d), fixtures.features(spark, d)
-    hits = interval_join.sites_in_parts_plain(s.where("sample_idx = 0"), p.where("level = 1"), ["feature_id"])
-    return hits.groupBy("seqid", "feature_id").agg(F.count(F.lit(1)).alias("sites"), F.sum("coverage").cast("bigint").alias("coverage"))
-
-
-def feature_counts_binned_all(spark, d):
-    """Sites and coverage of every feature of every level, in every sample; feature_counts_binned has the roots only."""
+    """Sites and coverage of every feature of every level, in every sample."""
     hits = interval_join.sites_in_parts(fixtures.sites(spark, d), fixtures.features(spark, d), ["feature_id"])
     return hits.groupBy("sample_idx", "seqid", "feature_id").agg(F.count(F.lit(1)).alias("sites"), F.sum("coverage").cast("bigint").alias("coverage"))
 
@@ -268,14 +255,6 @@ def long_matrix(spark, d, **how) -> DataFrame:
     return matrix.ratios(rows, SAMPLE, KEY, **how)
 
 
-def _metric(metric: str) -> Query:
-    def query(spark, d):
-        m = long_matrix(spark, d, min_cov=2, decimals=None).where(F.col("metric") == metric)
-        return m.select("sample_idx", "seqid", "id", "pairing", "num", "den", "value").where("value is not null and num > 0")
-
-    return query
-
-
 def _cells(metric: str) -> Query:
     """Every cell of the matrix rows that stay: 0 is covered and not edited, null not observed (null counts: no row of the sample)."""
 
@@ -359,22 +338,13 @@ B = [*SEC, UID]
 
 
 def values(spark, d) -> DataFrame:
-    """espr of AG at levels 1 and 2 as section, uid, grp, sample, rep, value; a row for each sample, null where it has none."""
-    s = fixtures.samples(spark)
-    f = fixtures.features(spark, d).where("level <= 2").select(F.col("type").alias("section"), F.col("feature_id").alias("uid"))
-    m = long_matrix(spark, d, decimals=None, pairings=("AG",)).where("metric = 'espr'").select(F.col("id").alias("uid"), "sample_idx", "value")
-    grid = f.crossJoin(F.broadcast(s))  # a dozen samples by construction
-    return kept(grid.join(m, ["uid", "sample_idx"], "left").select("section", "uid", "grp", "sample", "rep", "value"), "values")
-
-
-def all_values(spark, d) -> DataFrame:
-    """As values(), of every level, pairing and metric: a section is one type of one matrix, as AG_espr_exon."""
+    """Every level, pairing and metric as section, uid, grp, sample, rep, value; a row for each sample, null where it has none. A section is one type of one matrix, as AG_espr_exon."""
     s = fixtures.samples(spark)
     f = fixtures.features(spark, d).select("type", F.col("feature_id").alias("uid"))
     pairs = spark.createDataFrame([(p, m) for p in bases.EDITS for m in ("espf", "espr")], "pairing string, metric string")
     m = long_matrix(spark, d, decimals=None).select(F.col("id").alias("uid"), "sample_idx", "pairing", "metric", "value")
     grid = f.crossJoin(F.broadcast(pairs)).crossJoin(F.broadcast(s))  # 24 matrices of a dozen samples by construction
-    return kept(grid.join(m, ["uid", "sample_idx", "pairing", "metric"], "left").select(F.concat_ws("_", "pairing", "metric", "type").alias("section"), "uid", "grp", "sample", "rep", "value"), "all-values")
+    return kept(grid.join(m, ["uid", "sample_idx", "pairing", "metric"], "left").select(F.concat_ws("_", "pairing", "metric", "type").alias("section"), "uid", "grp", "sample", "rep", "value"), "values")
 
 
 def qc_missing(spark, d, v=values):
@@ -443,6 +413,16 @@ def pvalues_kruskal(spark, d, v=values):
     return rounded(k.select("section", "uid", pvalues.chi2_p("h", F.col("df").cast("double")).alias("pval")), "pval")
 
 
+def pvalues_anova(spark, d, v=values):
+    a = stats.anova(varied(spark, d, v), B)
+    return rounded(a.select("section", "uid", pvalues.f_p("f", F.col("df1").cast("double"), F.col("df2").cast("double")).alias("pval")), "pval")
+
+
+def pvalues_student(spark, d, v=values):
+    s = stats.student(stats.pairs(varied(spark, d, v), B), B)
+    return rounded(s.select("section", "uid", "grp1", "grp2", pvalues.t_p("t", "df").alias("pval")), "pval")
+
+
 def pvalues_global(spark, d, v=values):
     return stats.global_tests(varied(spark, d, v), B, SEC)
 
@@ -452,7 +432,7 @@ def pvalues_pairwise(spark, d, v=values):
 
 
 def tests_auto(spark, d, v=values):
-    return stats.global_tests(varied(spark, d, v), B, SEC, "auto").where("test = 'primary'")
+    return stats.global_tests(varied(spark, d, v), B, SEC, "auto")
 
 
 def assumption_tests(spark, d, v=values):
@@ -512,7 +492,7 @@ def section_membership(spark, d):
     return sections.memberships(r, ["id"]).groupBy("section").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def pca_variance(spark, d, v=all_values):
+def pca_variance(spark, d, v=values):
     return multivariate.by_section(v(spark, d), lambda rows, _: multivariate.principal_components(rows)[1])
 
 
@@ -521,12 +501,12 @@ def primary(rows: DataFrame) -> DataFrame:
     return kept(stats.global_tests(kept(sections.filtered(rows, SEC, UID), "varied"), B, SEC).where("test = 'primary'"), "primary")
 
 
-def rf_importance(spark, d, v=all_values):
+def rf_importance(spark, d, v=values):
     rows = v(spark, d)
     return multivariate.by_section(rows, multivariate.importance, primary(rows))
 
 
-def cv_accuracy(spark, d, v=all_values):
+def cv_accuracy(spark, d, v=values):
     rows = v(spark, d)
     return multivariate.by_section(rows, multivariate.cross_validated, primary(rows))
 
@@ -535,24 +515,16 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         site_scan_normalised, site_qualified_long, site_all_sites_by_seq_genome, quick_ag_ct_by_seq, feature_counts, feature_counts_report_all, feature_counts_binned,
-        feature_counts_binned_all, feature_counts_plain, feature_type_pushdown, feature_hierarchy_paths, feature_hierarchy_deep, feature_ancestors, longest_isoform_choice, chimaera_intervals, chimaera_counts, rollup_sequence, rollup_genome,
+        feature_type_pushdown, feature_hierarchy_paths, feature_hierarchy_deep, feature_ancestors, longest_isoform_choice, chimaera_intervals, chimaera_counts, rollup_sequence, rollup_genome,
         aggregate_ids, matrix_legacy_index, matrix_wide_ag, uid_build, safe_names, sample_column_parse, sample_duplicates, file_uid, atog_transform, qc_missing, qc_describe, group_statistics,
         bmk_mean_by_group, variance_filter_topk, coefficient_variation, kruskal_h, anova_f, bartlett_stat, student_t, welch_t, mannwhitney_u, effect_size_log2fc, group_pairs,
-        pvalues_kruskal, pvalues_global, pvalues_pairwise, tests_auto, assumption_tests, bh_fdr, significant_any, global_ranking, sig_unique_common, sig_levels, replicate_pearson,
+        pvalues_kruskal, pvalues_anova, pvalues_student, pvalues_global, pvalues_pairwise, tests_auto, assumption_tests, bh_fdr, significant_any, global_ranking, sig_unique_common, sig_levels, replicate_pearson,
         sample_correlation, bmk_correlation_top50, section_membership, pca_variance, rf_importance, cv_accuracy,
         gff3_scan, report_round_trip, matrix_round_trip, sheet_check, channel_joins, hyper_editing_merge, value_selectors, heatmap_labels, sig_common_pairs, test_ranking, edit_type_join,
     )
 } | {
     "reditools2_scan": _site_scan("reditools2"), "reditools3_scan": _site_scan("reditools3"), "jacusa2_scan": _site_scan("jacusa2"),
     "rollup_feature_mode": _mode("feature"), "rollup_all_isoforms": _mode("all_isoforms"), "rollup_longest_isoform": _mode("longest_isoform"),
-    "matrix_espf": _metric("espf"), "matrix_espr": _metric("espr"),
-    "matrix_espf_cells": _cells("espf"), "matrix_espr_cells": _cells("espr"), "prevalence_any": _prevalence(None, None), "prevalence_samples_pct": _prevalence(50, None),
+    "matrix_espf": _cells("espf"), "matrix_espr": _cells("espr"), "prevalence_any": _prevalence(None, None), "prevalence_samples_pct": _prevalence(50, None),
     "prevalence_group_pct": _prevalence(90, 75),
 }
-
-#: Queries on values(); each has one more, named with _all, on all_values().
-ON_VALUES = (
-    qc_missing, qc_describe, group_statistics, bmk_mean_by_group, variance_filter_topk, coefficient_variation, kruskal_h, anova_f, bartlett_stat, student_t, welch_t, mannwhitney_u,
-    effect_size_log2fc, group_pairs, pvalues_kruskal, pvalues_global, pvalues_pairwise, tests_auto, assumption_tests, replicate_pearson, sample_correlation, bmk_correlation_top50,
-)
-QUERIES |= {f"{f.__name__}_all": partial(f, v=all_values) for f in ON_VALUES}
