@@ -43,7 +43,7 @@ def prevalent(long: DataFrame, samples: DataFrame, key: list[str], min_samples_p
         return per.select(*keys).distinct()
     sizes = samples.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
     total = samples.agg(F.count(F.lit(1)).alias("_all"))
-    per = per.join(F.broadcast(sizes), group).crossJoin(F.broadcast(total))
+    per = per.join(sizes, group).crossJoin(F.broadcast(total))  # total is one row
     keep = F.lit(False)
     if min_samples_pct is not None:
         keep = keep | (F.sum("_n") / F.max("_all") >= min_samples_pct / 100)
@@ -67,8 +67,10 @@ def sample_column(group: str = "grp", sample: str = "sample", rep: str = "rep",
 
 
 def wide(long: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """One row a key and one column a sample, null where it has no value. Keys are unique a sample: a group-by is an outer merge."""
-    return long.withColumn("_col", sample_column()).groupBy(*key).pivot("_col", columns).agg(F.first("value"))
+    """One row a key and one column a sample, null where it has no value: a group-by is an outer merge. A key that comes twice in a sample raises."""
+    one = long.groupBy(*key, sample_column().alias("_col")).agg(F.count(F.lit(1)).alias("_n"), F.first("value").alias("_v"))
+    twice = F.raise_error(F.concat(F.lit("a key comes twice in "), F.col("_col"))).cast("double")
+    return one.withColumn("_v", F.when(F.col("_n") > 1, twice).otherwise(F.col("_v"))).groupBy(*key).pivot("_col", columns).agg(F.first("_v"))
 
 
 def deduplicated_samples(samples: DataFrame, order: str) -> DataFrame:

@@ -43,7 +43,7 @@ def feature_rows(counts: DataFrame, tree: DataFrame, parts: DataFrame, by: list[
     """One row a feature; with report_all also those without counts (for each row of runs, if given)."""
     wide = counters.wide(counts, *by, "seqid", "feature_id")
     if report_all:
-        base = tree.crossJoin(F.broadcast(runs.select(*by).distinct())) if by and runs is not None else tree
+        base = tree.crossJoin(runs.select(*by).distinct()) if by and runs is not None else tree
         rows = counters.zeros(base.join(wide, [*by, "seqid", "feature_id"], "left"))
     else:
         rows = tree.join(wide, ["seqid", "feature_id"])

@@ -35,6 +35,12 @@ def missing(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(n.cast("bigint").alias("missing"), F.count(F.lit(1)).alias("total"), F.round(100 * n / F.count(F.lit(1)), 2).alias("missing_pct"))
 
 
+def most_missing(rows: DataFrame, section: list[str], uid: str, k: int = 20) -> DataFrame:
+    """The k biomarkers of a section with the most missing values, ties by name."""
+    n = missing(rows, [*section, uid]).where("missing > 0")
+    return n.withColumn("rank", F.row_number().over(W.partitionBy(*section).orderBy(F.col("missing").desc(), uid))).where(F.col("rank") <= k)
+
+
 def _quantiles(at: dict[str, float]) -> list[Column]:
     return [F.percentile("value", F.lit(q)).alias(name) for name, q in at.items()]
 
@@ -382,7 +388,7 @@ def sample_correlation(rows: DataFrame, section: list[str], uid: str) -> DataFra
 def biomarker_correlation(rows: DataFrame, section: list[str], uid: str, k: int = 50) -> DataFrame:
     """Pearson's r of each two of a section's k most variable biomarkers, over samples with both values."""
     top = top_variance(rows, section, uid, k).select(*section, uid)
-    v = valued(rows).join(F.broadcast(top), [*section, uid]).select(*section, uid, "grp", "sample", "rep", "value")  # at most k rows a section
+    v = valued(rows).join(top, [*section, uid]).select(*section, uid, "grp", "sample", "rep", "value")
     key = [*section, "grp", "sample", "rep"]
     a = v.select(*key, F.col(uid).alias("uid1"), F.col("value").alias("x"))
     b = v.select(*key, F.col(uid).alias("uid2"), F.col("value").alias("y"))
