@@ -19,6 +19,10 @@ FILE_ROWS = 20_000
 BATCH = 4 << 20
 
 
+#: Tables of this session that are there still.
+_paths: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which driver and executors share. A folder of one machine's own would lose rows, so there is no other."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -47,6 +51,7 @@ def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     if rows is not None and rows // FILE_ROWS + 1 < int(spark.conf.get("spark.sql.shuffle.partitions")):
         df = df.coalesce(rows // FILE_ROWS + 1)
     path = f"{shared_dir(spark)}/strandwise/{name}-{uuid.uuid4().hex}"
+    _paths.add(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._sw_path = path
@@ -55,9 +60,16 @@ def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
 
 def remove(df: DataFrame) -> None:
     """Delete the files of a table made by stored(), once nothing reads it any more."""
+    _paths.discard(df._sw_path)
     remove_path(df.sparkSession, df._sw_path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete all tables of stored() that are left: to be called when no result of an operator is read any more."""
+    while _paths:
+        remove_path(spark, _paths.pop())
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
