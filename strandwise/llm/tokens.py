@@ -3,7 +3,7 @@
 whole_tokens() proves with the library which vocabulary strings encode alone as exactly one token. A text is cut before each
 space that stands between two characters that are no white space: the pattern of pre-tokens never crosses such a place, so
 each part ("chunk") encodes by itself. A chunk that is a whole token counts 1 at once; of others the pre-tokens that are
-whole tokens count 1 and only the rest is merged. Results of chunks are kept in a memory of at most MEMO entries. Texts with
+whole tokens count 1 and only the rest is merged. Results of chunks are kept in a memory of at most 2 * MEMO entries. Texts with
 other white space around a space, or with an added token's string, go to the library whole, so its defaults hold.
 
 Null texts are empty and have 0 tokens. Rows are never dropped; repeated rows get equal results; a null id is returned as
@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,7 +96,25 @@ class Coder:
         return text.isascii() or not _WIDE.search(text)
 
 
-class Counts(dict):
+class Memory(dict):
+    """Results of chunks in two generations of at most MEMO: what is asked for again stays, the rest goes."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def __missing__(self, key: str):
+        found = self.old.get(key)
+        if found is None:
+            found = self.made(key)
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class Counts(Memory):
     """Number of tokens of a chunk that follows a space (the key is without it)."""
 
     def __init__(self, coder: Coder, whole: frozenset[str]):
@@ -108,11 +126,8 @@ class Counts(dict):
             return 1
         return sum(1 if p in self.whole else len(self.coder.merged(p)) for p in self.coder.pieces.findall(chunk))
 
-    def __missing__(self, key: str) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        n = self[key] = self.of(" " + key)
-        return n
+    def made(self, key: str) -> int:
+        return self.of(" " + key)
 
     def count(self, text: str) -> int:
         if not text:
@@ -123,26 +138,27 @@ class Counts(dict):
         return (self.of(first) if first else 0) + sum(map(self.__getitem__, rest))
 
 
-class Ids(dict):
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Ids(Memory):
     """Ids of a chunk that follows a space, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, coder: Coder):
         super().__init__()
         self.coder = coder
 
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
-        b = self[key] = np.array(self.coder.chunk(" " + key), "<u4").tobytes()
-        return b
+    def made(self, key: str) -> bytes:
+        return packed(self.coder.chunk(" " + key))
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.coder.plain(text):
-            return np.array(self.coder.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return packed(self.coder.library.encode(text, add_special_tokens=False).ids)
         first, *rest = text.split(" ")
-        head = np.array(self.coder.chunk(first), "<u4").tobytes() if first else b""
+        head = packed(self.coder.chunk(first)) if first else b""
         return head + b"".join(map(self.__getitem__, rest))
 
 
