@@ -21,31 +21,33 @@ def features(parts: DataFrame) -> DataFrame:
 def paths(parts: DataFrame, keep=None) -> DataFrame:
     """features with level (from 1), path (ids of the ancestors, root first), root_id, root_type, iso_id (the level-2 one, or null).
 
-    Chains of any depth: known stretches are joined end to end on a table of ids, so each step doubles them, and a small job
-    after two steps tells whether any are open. A parent that is not there makes a feature a root; a feature that is its own
-    ancestor raises. keep(table, name), such as plans.store.kept, stores the links, and the stretches of a forest deeper than four levels.
+    Chains of any depth: three look-ups in a table of ids cover four levels, and while a small job finds chains that go on, known
+    stretches are joined end to end, so each further step doubles them. A parent that is not there makes a feature a root; a
+    feature that is its own ancestor raises. keep(table, name), such as plans.store.kept, stores the ids and the stretches.
     """
-    known = parts.select("seqid", "feature_id").distinct()
-    up = known.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f"))
+    up = parts.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f")).distinct()
     link = parts.select("seqid", "feature_id", "parent_id").distinct()
-    link = link.join(up, (link["seqid"] == up["_s"]) & (link["parent_id"] == up["_f"]), "left")
-    if keep:
-        link = keep(link, "links")
-    # own: the feature and parent of a row; path: the ancestors known so far; top: the next one, null if there is none
-    state = link.select("seqid", "feature_id", F.col("parent_id").alias("own"), F.array().cast("array<string>").alias("path"), F.col("_f").alias("top"))
+    # own: the parent of a row; top: the next ancestor that is not in the path yet, null if there is none
+    link = link.join(up, (link["seqid"] == up["_s"]) & (link["parent_id"] == up["_f"]), "left").select("seqid", "feature_id", F.col("parent_id").alias("own"), F.col("_f").alias("top"))
+    link = keep(link, "links") if keep else link
+    state = link.withColumn("path", F.array().cast("array<string>"))
+
+    def longer(state: DataFrame, by: DataFrame) -> DataFrame:
+        on = by.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f"), F.col("path").alias("_p"), F.col("top").alias("_t"))
+        out = state.join(on, (state["seqid"] == on["_s"]) & (state["top"] == on["_f"]), "left")
+        return out.select("seqid", "feature_id", "own", F.when(F.col("_f").isNull(), F.col("path")).otherwise(F.concat("_p", F.array("_f"), "path")).alias("path"), F.col("_t").alias("top"))
+
+    single = state
+    for _ in range(3):
+        state = longer(state, single)
     while True:
-        for _ in range(2):
-            on = state.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f"), F.col("path").alias("_p"), F.col("top").alias("_t"))
-            state = state.join(on, (state["seqid"] == on["_s"]) & (state["top"] == on["_f"]), "left")
-            longer = F.when(F.col("_f").isNull(), F.col("path")).otherwise(F.concat("_p", F.array("_f"), "path"))
-            state = state.select("seqid", "feature_id", "own", longer.alias("path"), F.col("_t").alias("top"))
-        left = state.where("top is not null").select(F.array_contains("path", F.col("feature_id")).alias("round")).groupBy().agg(F.count(F.lit(1)).alias("n"), F.max("round").alias("round")).first()
+        left = state.where("top is not null").agg(F.count(F.lit(1)).alias("n"), F.max(F.array_contains("path", F.col("feature_id"))).alias("round")).first()
         if left["round"]:
             raise ValueError("a feature is its own ancestor")
         if not left["n"]:
             break
-        if keep:
-            state = keep(state, "stretches")
+        state = keep(state, "stretches") if keep else state
+        state = longer(state, state)
     f = features(parts)
     state = state.select(F.col("seqid").alias("_s"), F.col("feature_id").alias("_f"), F.col("own").alias("_o"), "path").distinct()
     out = f.join(state, (f["seqid"] == state["_s"]) & (f["feature_id"] == state["_f"]) & f["parent_id"].eqNullSafe(state["_o"])).drop("_s", "_f", "_o")
