@@ -81,6 +81,7 @@ def pieces(docs: DataFrame, *, text: str, doc_id: str, path: str | None, capacit
                     crc.append(zlib.crc32(ids[4 * x : 4 * y]))
                     total.append(n)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), *(pa.array(c, pa.int64()) for c in (start, length, crc, total))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        tokens.ids(path).forget()
         release()
 
     kind = dict(docs.dtypes)[doc_id]
