@@ -25,7 +25,7 @@ from ._runtime import modest
 #: The pattern of pre-tokens of byte-level BPE files with use_regex (a fixed value of the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NAME = "byte_bpe_50k.json"
-MEMO = 100_000
+MEMO = 80_000
 _SPACES = "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 _WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
