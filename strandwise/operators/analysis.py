@@ -28,7 +28,7 @@ def analysed(rows: DataFrame, enabled: list[str] | None = None, choice: str = "n
     section, uid, by, sample = ["section"], "uid", ["section", "uid"], ["section", "grp", "sample", "rep"]
     out: dict[str, DataFrame] = {}
     if on & {"filter1", "filter2"}:
-        rows = sections.filtered(rows, section, uid, 1e-10 if "filter1" in on else -1.0, MOST if "filter2" in on else 1 << 62)
+        rows = sections.filtered(rows, section, uid, 1e-10 if "filter1" in on else -1.0, MOST if "filter2" in on else None)
     rows = keep(rows, "analysed")
     out["data"] = rows
     tests = None

@@ -79,3 +79,9 @@ def test_selection_reads_the_tests(spark):
     got = [r.uid for r in multivariate.selected(rows, tests, filters=("primary", "anova"), max_uids=len(best)).collect()]
     assert set(got) == best and 2 <= len(best) < 14
     assert {r.uid for r in multivariate.selected(rows, tests.where(F.lit(False))).collect()} == {f"u{i}" for i in range(14)}  # nothing significant: by variance
+
+
+def test_varying_biomarkers_are_not_capped(spark):
+    rows = spark.range(20_100).select(F.lit("x").alias("section"), (F.col("id") / 2).cast("int").cast("string").alias("uid"), F.lit("g").alias("grp"), F.lit("s").alias("sample"), (F.col("id") % 2).cast("string").alias("rep"), F.col("id").cast("double").alias("value"))
+    assert sections.filtered(rows, ["section"], "uid").count() == 20_100
+    assert sections.filtered(rows, ["section"], "uid", most=10_000).count() == 20_000  # a step that is asked for
