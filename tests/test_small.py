@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from strandwise.functions import names
+from strandwise.functions import names, pvalues
 from strandwise.operators import interval_join, matrix, multivariate, stats
 from strandwise.plans import store
 from strandwise.sources import gff3, sinks, site_tables, tables
@@ -103,3 +103,11 @@ def test_empty_parts_hold_no_site(spark):
     s = spark.createDataFrame([("c", 5, 1)], "seqid string, pos int, strand int")
     p = spark.createDataFrame([("c", "z", 5, 5, 1), ("c", "y", 5, 6, 0)], "seqid string, feature_id string, start0 int, end0 int, strand int")
     assert [r.feature_id for r in interval_join.sites_in_parts(s, p, ["feature_id"]).collect()] == ["y"]
+
+
+def test_statistics_a_little_below_zero_have_p_of_one(spark):
+    assert pvalues.f_sf(-1e-16, 2, 9) == pvalues.chi2_sf(-1e-16, 2) == 1.0
+    assert pvalues.f_sf(0.0, 2, 9) == pvalues.chi2_sf(0.0, 2) == 1.0
+    df = spark.createDataFrame([(-1e-16,), (float("nan"),), (None,)], "f double")
+    p = pvalues.f_p("f", F.lit(2.0), F.lit(9.0))
+    assert [r.p for r in df.select(p.alias("p")).collect()] == [1.0, None, None]
