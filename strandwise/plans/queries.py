@@ -352,7 +352,9 @@ def qc_missing(spark, d, v=values):
 
 
 def qc_describe(spark, d, v=values):
-    return rounded(stats.describe(v(spark, d), ["section", "grp", "sample", "rep"]), "mean", "std", "min", "q25", "q50", "q75", "max")
+    """A mean that is a tie at the sixth place must not fall by the order of its sum, so thirteen places are rounded first."""
+    s = rounded(stats.describe(v(spark, d), ["section", "grp", "sample", "rep"]), "mean", digits=13)
+    return rounded(s, "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def group_statistics(spark, d, v=values):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import names, pvalues
 from strandwise.operators import interval_join, matrix, multivariate, stats
-from strandwise.plans import store
+from strandwise.plans import queries, store
 from strandwise.sources import gff3, sinks, site_tables, tables
 
 
@@ -111,3 +111,9 @@ def test_statistics_a_little_below_zero_have_p_of_one(spark):
     df = spark.createDataFrame([(-1e-16,), (float("nan"),), (None,)], "f double")
     p = pvalues.f_p("f", F.lit(2.0), F.lit(9.0))
     assert [r.p for r in df.select(p.alias("p")).collect()] == [1.0, None, None]
+
+
+def test_mean_at_a_tie_does_not_fall_by_the_order_of_its_sum(spark):
+    rows = spark.createDataFrame([("x", "g", str(i), "r", v) for i, v in enumerate((0.20781249999999998, 0.2078125, 0.2078124999))], "section string, grp string, sample string, rep string, value double")
+    got = queries.qc_describe(spark, "", lambda *_: rows)
+    assert [r["mean"] for r in got.orderBy("sample").collect()] == [0.207813, 0.207813, 0.207812]
