@@ -13,8 +13,8 @@ class, and classes are the nodes of all that follows.
    elements with a list of two or more leaves. Lists are ordered by length: the T - 1 longest lists of a class may be
    skipped in looking for candidates, so a list is read by those for which it is among the shorter ones, apart for each pair
    of neighbouring length bands (linked sets differ in size by `percent` at most). A list's least class is its leader.
-3. Those that share a leader meet in chunks of about CHUNK, the leader in each. DivideSkip searches a chunk's lists: a heap
-   merges a query's short lists, its long ones are probed by binary search, and who reaches T common elements is tested for a
+3. Those that share a leader meet in chunks of about CHUNK, the leader in each. DivideSkip searches a chunk's lists: a query's
+   short lists are merged, its long ones are probed by binary search, and who reaches T common elements is tested for a
    link. Pairs that are connected already need no comparison, so a large group of near copies costs about its size.
 4. Chunks of one leader never met each other: whoever is not connected with the leader meets the other chunks too, more in
    each round, until it is or has met all. So no link between different components is lost.
@@ -27,7 +27,6 @@ near_duplicates returns columns of its own only; extra columns of docs, whatever
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -297,20 +296,16 @@ class Index:
         where = np.searchsorted(self.tokens, short)
         size = self.at[where + 1] - self.at[where]
         place = np.repeat(self.at[where] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        owners, of = self.owners[place], np.repeat(np.arange(len(where)), size)
-        keep = wanted[owners]
-        owners, of = owners[keep], of[keep]
-        cut = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True]))).tolist() if len(of) else [0]
-        flat = owners.tolist()
-        merged_lists = heapq.merge(*(flat[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)))
+        owners = self.owners[place]
+        owners = np.sort(owners[wanted[owners]], kind="stable")  # a merge: the lists are sorted runs
+        first, times = runs(owners)
         found = []
-        for d, same in groupby(merged_lists):
-            n = sum(1 for _ in same)
-            if n < t - skip:
-                continue
-            other = self.sets[d]
-            place = np.searchsorted(other, long)  # a probe of each long list for d
-            n += int((other[np.minimum(place, len(other) - 1)] == long).sum())
+        enough = times >= t - skip
+        for d, n in zip(owners[first[enough]].tolist(), times[enough].tolist(), strict=True):
+            if len(long):
+                other = self.sets[d]
+                place = np.searchsorted(other, long)  # a probe of each long list for d
+                n += int((other[np.minimum(place, len(other) - 1)] == long).sum())
             if n >= t:
                 found.append((d, n))
         return found
@@ -318,19 +313,8 @@ class Index:
 
 def chunk_links(found: list[np.ndarray], sizes: list[int], percent: int, known: list[int], asks: list[bool]) -> list[tuple[int, int]]:
     """Links (two places) that connect what is linked in a chunk. known: labels of what is connected already; asks: who searches."""
-    root = list(range(len(found)))
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    left, first = len(found), {}
-    for i, x in enumerate(known):
-        if first.setdefault(x, i) != i:
-            root[i] = first[x]
-            left -= 1
+    _, group = np.unique(np.array(known), return_inverse=True)  # who is connected already
+    left = len(set(group.tolist()))
     out = []
     index = Index(found) if left > 1 else None
     size = np.array(sizes)
@@ -339,13 +323,12 @@ def chunk_links(found: list[np.ndarray], sizes: list[int], percent: int, known:
             break
         if not asks[q]:
             continue
-        mine = top(q)
-        wanted = np.array([top(d) != mine for d in range(len(found))]) & (100 * np.minimum(size, sizes[q]) >= percent * np.maximum(size, sizes[q]))
+        wanted = (group != group[q]) & (100 * np.minimum(size, sizes[q]) >= percent * np.maximum(size, sizes[q]))
         if not wanted.any():
             continue
         for d, n in index.search(q, required(sizes[q], percent), wanted):
-            if top(d) != top(q) and 100 * n >= percent * (sizes[q] + sizes[d] - n):
-                root[top(d)] = top(q)
+            if group[d] != group[q] and 100 * n >= percent * (sizes[q] + sizes[d] - n):
+                group[group == group[d]] = group[q]
                 left -= 1
                 out.append((q, d))
     return out

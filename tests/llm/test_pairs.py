@@ -23,3 +23,27 @@ def test_all_links_of_a_group_are_found(spark):
         reps = sorted(set(rep.values()))
         want = {(a, b, len(shingles[a] & shingles[b])) for a in reps for b in reps if a < b and 100 * len(shingles[a] & shingles[b]) >= percent * len(shingles[a] | shingles[b])}
         assert set(map(tuple, links.collect())) == want and (percent == 90 or len(want) > len(reps))
+
+
+def test_short_lists_are_merged_faster_than_by_a_heap():
+    import heapq
+    import time
+
+    import numpy as np
+
+    from strandwise.llm import ngram_join
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.choice(3000, 1500)) for _ in range(200)]
+    index, wanted, t = ngram_join.Index(sets), np.ones(200, bool), 700
+    began = time.process_time()
+    found = [index.search(q, t, wanted) for q in range(10)]
+    took = time.process_time() - began
+    began = time.process_time()
+    for s in sets[:10]:
+        at = np.searchsorted(index.tokens, s)
+        skip = min(t - 1, int(t / (ngram_join.MU * np.log2((index.at[at + 1] - index.at[at]).max()) + 1)))
+        assert sum(1 for _ in heapq.merge(*(index.owners[a:b].tolist() for a, b in sorted(zip(index.at[at].tolist(), index.at[at + 1].tolist(), strict=True), key=lambda x: x[1] - x[0])[: len(at) - skip])))
+    assert took < time.process_time() - began
+    for q, got in enumerate(found):
+        assert sorted(got) == [(d, n) for d, s in enumerate(sets) if (n := len(np.intersect1d(s, sets[q]))) >= t]
