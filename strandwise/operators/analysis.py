@@ -40,7 +40,7 @@ def analysed(rows: DataFrame, enabled: list[str] | None = None, choice: str = "n
         out |= {"group_statistics": stats.group_statistics(rows, ["section", "grp"]), "group_means": stats.group_means(rows, by), "coefficient_of_variation": stats.coefficient_of_variation(rows, by)}
     if "multivariate" in on:
         out["components"] = multivariate.by_section(rows, lambda r, _: multivariate.principal_components(r)[0])
-        out["explained"] = multivariate.by_section(rows, lambda r, _: multivariate.principal_components(r)[1])
+        out["explained"] = multivariate.explained_by_section(rows)
         out["clusters"] = multivariate.by_section(rows, lambda r, _: multivariate.sample_clusters(r))
     if "differential" in on:
         tests = keep(stats.global_tests(rows, by, section, choice), "global-tests")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -40,36 +41,64 @@ def _sample():
     return F.concat_ws("::", "grp", "sample", "rep")
 
 
-def gram(rows: DataFrame, uid: str = "uid") -> DataFrame:
-    """Inner products of samples over biomarkers, nulls as 0, each biomarker standardised (population deviation; without one, 0)."""
-    live = rows.groupBy(uid).agg(F.count("value").alias("_n"), F.avg(F.coalesce("value", F.lit(0.0))).alias("_m"), F.stddev_pop(F.coalesce("value", F.lit(0.0))).alias("_s")).where("_n > 0")
-    z = rows.join(live, uid).select(uid, _sample().alias("s"), F.when(F.col("_s") > 0, (F.coalesce("value", F.lit(0.0)) - F.col("_m")) / F.col("_s")).otherwise(0.0).alias("v"))
-    return stats.sample_products(z, [], uid).select("s1", "s2", F.col("xy").alias("g"))
+def gram(rows: DataFrame, uid: str = "uid", section: tuple[str, ...] = ()) -> DataFrame:
+    """Inner products of a section's samples over biomarkers, nulls as 0, each biomarker standardised (population deviation; without one, 0)."""
+    by = [*section, uid]
+    live = rows.groupBy(*by).agg(F.count("value").alias("_n"), F.avg(F.coalesce("value", F.lit(0.0))).alias("_m"), F.stddev_pop(F.coalesce("value", F.lit(0.0))).alias("_s")).where("_n > 0")
+    z = rows.join(live, by).select(*by, _sample().alias("s"), F.when(F.col("_s") > 0, (F.coalesce("value", F.lit(0.0)) - F.col("_m")) / F.col("_s")).otherwise(0.0).alias("v"))
+    return stats.sample_products(z, [*section], uid).select(*section, "s1", "s2", F.col("xy").alias("g"))
 
 
-def principal_components(rows: DataFrame, uid: str = "uid", most: int = 10, shown: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Coordinates of samples on the first components, and each component's share of variance with its running sum."""
-    spark = rows.sparkSession
-    names = [r[0] for r in rows.select(_sample().alias("s")).distinct().orderBy("s").limit(MAX_SAMPLES + 1).collect()]
-    if len(names) > MAX_SAMPLES:
-        raise ValueError(f"more than {MAX_SAMPLES} samples")
+def _components(names: list[str], products: list[tuple[str, str, float]], most: int, shown: int) -> tuple[list[tuple], list[tuple]]:
+    """(sample, component, value) and (component, explained, cumulative) of samples' inner products."""
+    if len(names) < 2:
+        return [], []
     k = min(most, len(names))
     at = {n: i for i, n in enumerate(names)}
     g = np.zeros((len(names), len(names)))
-    for r in gram(rows, uid).collect():  # at most MAX_SAMPLES squared numbers
-        g[at[r["s1"]], at[r["s2"]]] = g[at[r["s2"]], at[r["s1"]]] = r["g"]
-    if len(names) < 2:
-        return spark.createDataFrame([], "sample string, component int, value double"), spark.createDataFrame([], "component int, explained double, cumulative double")
+    for s1, s2, v in products:
+        g[at[s1], at[s2]] = g[at[s2], at[s1]] = v
     value, vector = np.linalg.eigh(g)
     order = np.argsort(-value)[:k]
     value, vector = np.maximum(value[order], 0), vector[:, order]
     vector = vector * np.sign(vector[np.abs(vector).argmax(0), np.arange(k)])
     share = value / max(1e-300, np.trace(g))
     coords = [(n, j + 1, float(vector[i, j] * np.sqrt(value[j]))) for i, n in enumerate(names) for j in range(min(shown, k))]
-    parts = [(j + 1, float(share[j]), float(share[: j + 1].sum())) for j in range(k)]
+    return coords, [(j + 1, float(share[j]), float(share[: j + 1].sum())) for j in range(k)]
+
+
+def principal_components(rows: DataFrame, uid: str = "uid", most: int = 10, shown: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Coordinates of samples on the first components, and each component's share of variance with its running sum."""
+    spark = rows.sparkSession
+    names = [r[0] for r in rows.select(_sample().alias("s")).distinct().orderBy("s").limit(MAX_SAMPLES + 1).collect()]
+    if len(names) > MAX_SAMPLES:
+        raise ValueError(f"more than {MAX_SAMPLES} samples")
+    products = [tuple(r) for r in gram(rows, uid).collect()] if len(names) > 1 else []  # at most MAX_SAMPLES squared numbers
+    coords, parts = _components(names, products, most, shown)
     return spark.createDataFrame(coords, "sample string, component int, value double"), spark.createDataFrame(parts, "component int, explained double, cumulative double")
 
 
+def explained_by_section(rows: DataFrame, uid: str = "uid", most: int = 10, section: str = "section") -> DataFrame:
+    """Each section's components with their shares of variance: one pass over the rows for all sections, and their matrices of samples in tasks of their own."""
+    sizes = rows.select(section, _sample().alias("s")).distinct().groupBy(section).agg(F.sort_array(F.collect_list("s")).alias("names"))
+    products = gram(rows, uid, (section,)).groupBy(section).agg(F.collect_list(F.struct("s1", "s2", "g")).alias("g"))
+
+    def solve(batches):
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                if len(r["names"]) > MAX_SAMPLES:
+                    raise ValueError(f"more than {MAX_SAMPLES} samples")
+                found = _components(r["names"], [(x["s1"], x["s2"], x["g"]) for x in r["g"] or []], most, 0)[1]
+                out += [(r["section"], *x) for x in found]
+            cols = list(zip(*out, strict=True)) or [(), (), (), ()]
+            types = (pa.string(), pa.int32(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [section, "component", "explained", "cumulative"])
+
+    both = sizes.join(products, section, "left").select(F.col(section).alias("section"), "names", "g")
+    return both.mapInArrow(solve, f"{section} string, component int, explained double, cumulative double")
+
+
 def batch_components(rows: DataFrame, uid: str = "uid") -> DataFrame:
     """Samples on the first three components with their group and sample, to see whether batches part them: grp, sample, rep, component, value.
 

@@ -495,7 +495,7 @@ def section_membership(spark, d):
 
 
 def pca_variance(spark, d, v=values):
-    return multivariate.by_section(v(spark, d), lambda rows, _: multivariate.principal_components(rows)[1])
+    return multivariate.explained_by_section(v(spark, d))
 
 
 def primary(rows: DataFrame) -> DataFrame:

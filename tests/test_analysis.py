@@ -85,3 +85,14 @@ def test_varying_biomarkers_are_not_capped(spark):
     rows = spark.range(20_100).select(F.lit("x").alias("section"), (F.col("id") / 2).cast("int").cast("string").alias("uid"), F.lit("g").alias("grp"), F.lit("s").alias("sample"), (F.col("id") % 2).cast("string").alias("rep"), F.col("id").cast("double").alias("value"))
     assert sections.filtered(rows, ["section"], "uid").count() == 20_100
     assert sections.filtered(rows, ["section"], "uid", most=10_000).count() == 20_000  # a step that is asked for
+
+
+def test_components_of_all_sections_in_one_pass(spark):
+    from strandwise.operators import multivariate
+
+    rows = [(sec, f"u{i}", "g", f"s{j}", "r", None if (i + j) % 5 == 0 else float((i * 7 + j * j * 3) % 11)) for sec, n in (("x", 4), ("y", 3), ("one", 1)) for i in range(9) for j in range(n)]
+    df = spark.createDataFrame([*rows, ("none", "u", "g", "s1", "r", None), ("none", "u", "g", "s2", "r", None)], "section string, uid string, grp string, sample string, rep string, value double")
+    got = {(r.section, r.component): (r.explained, r.cumulative) for r in multivariate.explained_by_section(df).collect()}
+    want = {(s, r.component): (r.explained, r.cumulative) for s in ("x", "y", "one", "none") for r in multivariate.principal_components(df.where(F.col("section") == s))[1].collect()}
+    assert got.keys() == want.keys() == {("x", i) for i in (1, 2, 3, 4)} | {("y", i) for i in (1, 2, 3)} | {("none", 1), ("none", 2)}
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
