@@ -25,8 +25,10 @@ from ._runtime import modest
 #: The pattern of pre-tokens of byte-level BPE files with use_regex (a fixed value of the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NAME = "byte_bpe_50k.json"
-MEMO = 80_000
+MEMO = 200_000
 _SPACES = "\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+#: Letters in every version of Unicode: with a space in front they are one pre-token.
+_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u01ff]+").fullmatch
 _WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
@@ -84,6 +86,10 @@ class Coder:
         one = self.vocab.get(b)
         return [one] if one is not None else self._merge(b)
 
+    def spaced(self, key: str) -> list[int]:
+        """The ids of a space and a chunk."""
+        return self.merged(" " + key) if _WORD(key) else self.chunk(" " + key)
+
     def chunk(self, text: str) -> list[int]:
         return [i for p in self.pieces.findall(text) for i in self.merged(p)]
 
@@ -144,8 +150,11 @@ class Counts(Memory):
         return (self.of(first) if first else 0) + sum(map(self.__getitem__, rest))
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(9)]
+
+
 def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACK[len(ids)](*ids) if len(ids) < 9 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Ids(Memory):
@@ -156,7 +165,7 @@ class Ids(Memory):
         self.coder = coder
 
     def made(self, key: str) -> bytes:
-        return packed(self.coder.chunk(" " + key))
+        return packed(self.coder.spaced(key))
 
     def ids(self, text: str) -> bytes:
         if not text:

@@ -117,3 +117,15 @@ def test_mean_at_a_tie_does_not_fall_by_the_order_of_its_sum(spark):
     rows = spark.createDataFrame([("x", "g", str(i), "r", v) for i, v in enumerate((0.20781249999999998, 0.2078125, 0.2078124999))], "section string, grp string, sample string, rep string, value double")
     got = queries.qc_describe(spark, "", lambda *_: rows)
     assert [r["mean"] for r in got.orderBy("sample").collect()] == [0.207813, 0.207813, 0.207812]
+
+
+def test_plain_words_are_one_pre_token_without_the_pattern():
+    from strandwise.llm import tokens
+
+    c = tokens.Coder(tokens.default_path())
+    words = ["word", "café", "ßx", "Ǿ", "don't", "'s", "1a", "a1", "×", "ª", "x_y", "中", "A" * 300]
+    assert [c.spaced(w) for w in words] == [e.ids for e in c.library.encode_batch([" " + w for w in words], add_special_tokens=False)]
+    assert [tokens.packed(list(range(n))) for n in (0, 8, 9)] == [b"".join(i.to_bytes(4, "little") for i in range(n)) for n in (0, 8, 9)]
+    asked = []
+    c.chunk = asked.append
+    assert [c.spaced(w) for w in words[:4]] and not asked
