@@ -59,7 +59,7 @@ def analysed(rows: DataFrame, enabled: list[str] | None = None, choice: str = "n
         if tests is not None:
             out["kruskal_ranking"] = stats.ranking(tests, section)
     if "classification" in on:
-        out["classification"] = multivariate.by_section(rows, lambda r, t: multivariate.cross_validated(r, t, max_uids=max_uids, filters=filters), tests)
+        out["classification"] = multivariate.cross_validated_by_section(rows, tests, max_uids=max_uids, filters=filters)
     if "stability" in on:
         out["stability"] = stats.replicate_pearson(rows, section, uid)
     if "heatmap" in on:

@@ -7,14 +7,17 @@ Samples are few and biomarkers many, so what reaches the driver is a samples-by-
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from . import stats
+from .trees import boosted, forest, importances, voted
 
 MAX_UIDS, MAX_SAMPLES, SEED = 500, 2000, 42
 #: Sections that run at a time.
@@ -123,65 +126,100 @@ def sample_clusters(rows: DataFrame, uid: str = "uid") -> DataFrame:
     return rows.sparkSession.createDataFrame(merges, "first string, second string, height double")
 
 
+def selected_by_section(rows: DataFrame, tests: DataFrame | None, uid: str = "uid", filters: tuple[str, ...] = ("primary",), max_uids: int = MAX_UIDS, raw: bool = True, section: str = "section") -> DataFrame:
+    """Biomarkers of each section for learning, with their place from 1, by tiers: adjusted p below 0.05 in the filters' order, then (raw) plain p, then, with fewer than ten, variance."""
+    by = [section, uid]
+    found = []
+    for i, f in enumerate(filters if tests is not None else ()):
+        mine = tests.where(F.col("test") == f)
+        found.append(mine.where("padj < 0.05").select(*by, F.lit(i).alias("tier"), F.col("padj").alias("worth")))
+        if raw:
+            found.append(mine.where("pval < 0.05").select(*by, F.lit(100 + i).alias("tier"), F.col("pval").alias("worth")))
+    tiers = reduce(DataFrame.unionByName, found) if found else None
+    if tiers is not None:
+        enough = tiers.groupBy(section).agg(F.countDistinct(uid).alias("_n")).where("_n >= 10").select(section)
+        rows = rows.join(F.broadcast(enough), section, "left_anti")  # a name a section
+    by_variance = stats.variances(rows, by).where("variance is not null").select(*by, F.lit(1000).alias("tier"), (-F.col("variance")).alias("worth"))
+    tiers = by_variance if tiers is None else tiers.unionByName(by_variance)
+    best = tiers.groupBy(*by).agg(F.min(F.struct("tier", "worth")).alias("b"))
+    place = F.row_number().over(W.partitionBy(section).orderBy("b.tier", "b.worth", uid))
+    return best.withColumn("place", place).where(F.col("place") <= max_uids).select(*by, "place")
+
+
 def selected(rows: DataFrame, tests: DataFrame | None, uid: str = "uid", filters: tuple[str, ...] = ("primary",), max_uids: int = MAX_UIDS, raw: bool = True) -> DataFrame:
-    """Biomarkers for learning, by tiers: adjusted p below 0.05 in the filters' order, then (raw) plain p, then, with fewer than ten, variance."""
-    tiers = []
-    if tests is not None:
-        for i, f in enumerate(filters):
-            mine = tests.where(F.col("test") == f)
-            tiers.append(mine.where("padj < 0.05").select(F.col(uid), F.lit(i).alias("tier"), F.col("padj").alias("worth")))
-            if raw:
-                tiers.append(mine.where("pval < 0.05").select(F.col(uid), F.lit(100 + i).alias("tier"), F.col("pval").alias("worth")))
-    by_variance = stats.variances(rows, [uid]).where("variance is not null").select(F.col(uid), F.lit(1000).alias("tier"), (-F.col("variance")).alias("worth"))
-    out = None
-    for t in tiers:
-        out = t if out is None else out.unionByName(t)
-    if out is None or out.select(uid).distinct().limit(10).count() < 10:
-        out = by_variance if out is None else out.unionByName(by_variance)
-    best = out.groupBy(uid).agg(F.min(F.struct("tier", "worth")).alias("b"))
-    return best.orderBy("b.tier", "b.worth", uid).limit(max_uids).select(uid)
-
-
-def _table(rows: DataFrame, uids: list[str], uid: str):
-    """Samples as rows with a vector of the chosen biomarkers (null as 0)."""
-    from pyspark.ml.functions import array_to_vector
-
-    wide = rows.where(F.col(uid).isin(uids)).groupBy(_sample().alias("s"), "grp").agg(F.map_from_entries(F.collect_list(F.struct(uid, F.coalesce("value", F.lit(0.0))))).alias("m"))
-    v = F.transform(F.array(*map(F.lit, uids)), lambda u: F.coalesce(F.element_at("m", u), F.lit(0.0)))
-    return wide.select("s", F.col("grp").alias("label_name"), array_to_vector(v).alias("features"))
-
-
-def _labelled(table: DataFrame):
-    names = [r[0] for r in table.select("label_name").distinct().orderBy("label_name").collect()]
-    return table.withColumn("label", (F.array_position(F.array(*map(F.lit, names)), F.col("label_name")) - 1).cast("double")), len(names)
+    """The same of one section's rows."""
+    one = F.lit("").alias("_section")
+    found = selected_by_section(rows.select("*", one), None if tests is None else tests.select("*", one), uid, filters, max_uids, raw, "_section")
+    return found.orderBy("place").select(uid)
+
+
+def _learned(rows: DataFrame, chosen: DataFrame, learn, schema: str, uid: str, section: str) -> DataFrame:
+    """learn(uids, names, x, y) -> rows of each section: x has a row a sample and a column a chosen biomarker (null as 0), y is the group's number.
+
+    Sections of under 2 biomarkers, 4 samples or 2 groups have no rows. A section is one task's, of at most max_uids times MAX_SAMPLES numbers.
+    """
+    chosen = F.broadcast(chosen)  # at most max_uids a section
+    cells = rows.where("grp is not null").join(chosen, [section, uid]).select(F.col(section).alias("section"), F.col(uid).alias("uid"), "place", _sample().alias("s"), "grp", F.col("value").cast("double").alias("value"))
+    columns = [(section, "string"), *(tuple(c.split()) for c in schema.split(", "))]
+    kinds = pa.schema([(n, {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}[k]) for n, k in columns])
+
+    def one(table: pa.Table) -> pa.Table:
+        c = {n: table.column(n).to_pylist() for n in ("uid", "place", "s", "grp", "value")}
+        uids = dict(sorted(zip(c["place"], c["uid"], strict=True)))
+        names = sorted(set(zip(c["s"], c["grp"], strict=True)))
+        groups = sorted({g for _, g in names})
+        found = []
+        if len(uids) >= 2 and len(names) >= 4 and len(groups) >= 2:
+            if len(names) > MAX_SAMPLES:
+                raise ValueError(f"more than {MAX_SAMPLES} samples")
+            row, column = {n: i for i, n in enumerate(names)}, {p: i for i, p in enumerate(uids)}
+            i = np.array([row[n] for n in zip(c["s"], c["grp"], strict=True)])
+            j = np.array([column[p] for p in c["place"]])
+            if len(set(zip(i.tolist(), j.tolist(), strict=True))) < len(i):
+                raise ValueError("a sample has several values of a biomarker")
+            x = np.zeros((len(names), len(uids)))
+            x[i, j] = np.nan_to_num(np.array(c["value"], float), nan=0.0, posinf=np.inf, neginf=-np.inf)
+            found = learn(list(uids.values()), x, np.array([groups.index(g) for _, g in names]))
+        name = table.column("section")[0].as_py()
+        return pa.Table.from_pylist([dict(zip(kinds.names, (name, *r), strict=True)) for r in found], kinds)
+
+    return cells.groupBy("section").applyInArrow(one, ", ".join(f"{n} {k}" for n, k in columns))
+
+
+def _alone(step, rows: DataFrame, tests: DataFrame | None, **how) -> DataFrame:
+    """A step by sections on the rows of one."""
+    one = F.lit("").alias("_section")
+    return step(rows.select("*", one), None if tests is None else tests.select("*", one), section="_section", **how).drop("_section")
+
+
+def importance_by_section(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 100, depth: int = 10, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",), section: str = "section") -> DataFrame:
+    """Random forest importance of each section's chosen biomarkers; none with under 4 samples, 2 biomarkers or 2 groups. A section's forest grows in one task."""
+
+    def learn(uids, x, y):
+        grown = forest(x, y, y.max() + 1, trees, depth, SEED)
+        return [(u, float(v)) for u, v in zip(uids, importances(grown), strict=True)]
+
+    return _learned(rows, selected_by_section(rows, tests, uid, filters, max_uids, section=section), learn, f"{uid} string, importance double", uid, section)
 
 
 def importance(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 100, depth: int = 10, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",)) -> DataFrame:
-    """Random forest importance of the chosen biomarkers; empty with under 4 samples, 2 biomarkers or 2 groups."""
-    from pyspark.ml.classification import RandomForestClassifier
-
-    uids = [r[0] for r in selected(rows, tests, uid, filters, max_uids).collect()]
-    empty = rows.sparkSession.createDataFrame([], f"{uid} string, importance double")
-    if len(uids) < 2:
-        return empty
-    table, classes = _labelled(_table(rows, uids, uid))
-    table = table.orderBy("s").coalesce(1).cache()
-    if table.count() < 4 or classes < 2:
-        return empty
-    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED).fit(table)
-    table.unpersist()
-    return rows.sparkSession.createDataFrame([(u, float(v)) for u, v in zip(uids, model.featureImportances.toArray(), strict=True)], f"{uid} string, importance double")
+    """The same of one section's rows."""
+    return _alone(importance_by_section, rows, tests, uid=uid, trees=trees, depth=depth, max_uids=max_uids, filters=filters)
 
 
 def _discriminant(x: np.ndarray, y: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Linear discriminant analysis with a pooled covariance (a little ridge), for few samples."""
+    """Linear discriminant analysis with a pooled covariance (a little ridge), for few samples: its inverse by the samples' singular vectors, not as a matrix of biomarkers."""
     classes = np.unique(y)
     means = np.stack([x[y == c].mean(0) for c in classes])
-    centred = x - means[np.searchsorted(classes, y)]
-    cov = centred.T @ centred / max(1, len(x) - len(classes))
-    inverse = np.linalg.pinv(cov + 1e-6 * np.trace(cov) / max(1, len(cov)) * np.eye(len(cov)))
+    centred = (x - means[np.searchsorted(classes, y)]) / np.sqrt(max(1, len(x) - len(classes)))
     prior = np.log([np.mean(y == c) for c in classes])
-    return classes[(q @ inverse @ means.T - 0.5 * np.einsum("ij,jk,ik->i", means, inverse, means) + prior).argmax(1)]
+    ridge = 1e-6 * (centred * centred).sum() / x.shape[1]
+    if ridge == 0:  # nothing varies within a group
+        return classes[np.broadcast_to(prior, (len(q), len(classes))).argmax(1)]
+    _, s, v = np.linalg.svd(centred, full_matrices=False)
+    inside = means @ v.T
+    solved = (means - inside @ v) / ridge + inside / (s * s + ridge) @ v
+    return classes[(q @ solved.T - 0.5 * (means * solved).sum(1) + prior).argmax(1)]
 
 
 def folds(labels: list[float], k: int, seed: int = SEED) -> list[int]:
@@ -195,39 +233,34 @@ def folds(labels: list[float], k: int, seed: int = SEED) -> list[int]:
     return out
 
 
-def cross_validated(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 50, depth: int = 10, rounds: int = 50, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",)) -> DataFrame:
-    """Accuracy (mean, deviation) of a random forest, of boosted trees (two groups) and of a linear discriminant over folds."""
-    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+def cross_validated_by_section(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 50, depth: int = 10, rounds: int = 50, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",), section: str = "section") -> DataFrame:
+    """Accuracy (mean, deviation) in each section of a random forest, of boosted trees (two groups) and of a linear discriminant over folds. A section is one task's."""
 
-    spark = rows.sparkSession
-    schema = "model string, folds int, accuracy double, std double"
-    uids = [r[0] for r in selected(rows, tests, uid, filters, max_uids, raw=False).collect()]
-    if len(uids) < 2:
-        return spark.createDataFrame([], schema)
-    table, classes = _labelled(_table(rows, uids, uid))
-    got = table.orderBy("s").collect()  # samples, at most MAX_SAMPLES
-    labels = [r["label"] for r in got]
-    if len(got) < 4 or classes < 2:
-        return spark.createDataFrame([], schema)
-    least = min(labels.count(c) for c in set(labels))
-    fold = folds(labels, max(2, min(5, least)))
-    data = spark.createDataFrame([(i, f, r["label"], r["features"]) for i, (f, r) in enumerate(zip(fold, got, strict=True))], ["i", "fold", "label", "features"]).coalesce(1).cache()
-    x = np.stack([r["features"].toArray() for r in got])
-    y = np.array(labels)
-    found: dict[str, list[float]] = {}
-    models = {"random_forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED)} | ({"gradient_boosting": GBTClassifier(maxIter=rounds, seed=SEED)} if classes == 2 else {})
-    for f in sorted(set(fold)):
-        train, test = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
-        inside = np.array(fold) != f
-        if len(set(y[inside])) < 2:
-            continue
-        for name, m in models.items():
-            hit = m.fit(train).transform(test).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-            found.setdefault(name, []).append(hit)
-        if len(got) > classes:
-            found.setdefault("linear_discriminant", []).append(float((_discriminant(x[inside], y[inside], x[~inside]) == y[~inside]).mean()))
-    data.unpersist()
-    return spark.createDataFrame([(n, len(v), float(np.mean(v)), float(np.std(v))) for n, v in found.items()], schema)
+    def learn(uids, x, y):
+        classes = int(y.max()) + 1
+        fold = np.array(folds(y.tolist(), max(2, min(5, int(np.bincount(y).min())))))
+        hits: dict[str, list[float]] = {}
+        for f in sorted(set(fold.tolist())):
+            inside = fold != f
+            given, known, asked = x[inside], y[inside], x[~inside]
+            if len(set(known.tolist())) < 2:
+                continue
+            said = {"random_forest": voted(forest(given, known, classes, trees, depth, SEED), asked)}
+            if classes == 2:
+                said["gradient_boosting"] = boosted(given, known, asked, rounds)
+            if len(x) > classes:
+                said["linear_discriminant"] = _discriminant(given, known, asked)
+            for name, s in said.items():
+                hits.setdefault(name, []).append(float((s == y[~inside]).mean()))
+        return [(n, len(v), float(np.mean(v)), float(np.std(v))) for n, v in hits.items()]
+
+    chosen = selected_by_section(rows, tests, uid, filters, max_uids, False, section)
+    return _learned(rows, chosen, learn, "model string, folds int, accuracy double, std double", uid, section)
+
+
+def cross_validated(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 50, depth: int = 10, rounds: int = 50, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",)) -> DataFrame:
+    """The same of one section's rows."""
+    return _alone(cross_validated_by_section, rows, tests, uid=uid, trees=trees, depth=depth, rounds=rounds, max_uids=max_uids, filters=filters)
 
 
 def ward_order(points: dict[str, np.ndarray]) -> list[tuple[str, str, float]]:

@@ -227,10 +227,19 @@ def assumptions(rows: DataFrame, by: list[str]) -> DataFrame:
     return out.select(*by, "normal", "equal", "bartlett", "bartlett_pval", choice.alias("choice"))
 
 
+def _kruskal_test(rows: DataFrame, by: list[str]) -> DataFrame:
+    return kruskal(rows, by).select(*by, F.lit("kruskal").alias("test"), F.col("h").alias("stat"), pvalues.chi2_p("h", F.col("df").cast("double")).alias("pval"))
+
+
+def primary_tests(rows: DataFrame, by: list[str], family: list[str]) -> DataFrame:
+    """The rows of test `primary` of global_tests (rank test), without the work of the other tests."""
+    return benjamini_hochberg(_kruskal_test(rows, by).withColumn("test", F.lit("primary")), [*family, "test"])
+
+
 def global_tests(rows: DataFrame, by: list[str], family: list[str], choice: str = "nonparametric") -> DataFrame:
     """Long rows by, test, stat, pval, padj over all groups; test `primary` repeats the chosen one. family: where padj belongs together."""
     groups = valued(rows).select(*family, "grp").distinct().groupBy(*family).agg(F.count(F.lit(1)).alias("_groups"))
-    k = kruskal(rows, by).select(*by, F.lit("kruskal").alias("test"), F.col("h").alias("stat"), pvalues.chi2_p("h", F.col("df").cast("double")).alias("pval"))
+    k = _kruskal_test(rows, by)
     a = anova(rows, by).select(*by, F.lit("anova").alias("test"), F.col("f").alias("stat"), pvalues.f_p("f", F.col("df1").cast("double"), F.col("df2").cast("double")).alias("pval"))
     w = welch(pairs(rows, by), by).join(groups, family).where("_groups = 2")
     w = w.select(*by, F.lit("welch").alias("test"), F.col("t").alias("stat"), pvalues.t_p("t", "df").alias("pval"))

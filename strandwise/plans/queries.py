@@ -500,7 +500,7 @@ def pca_variance(spark, d, v=values):
 
 def primary(rows: DataFrame) -> DataFrame:
     """Adjusted p-values of rows' biomarkers over all groups, by which learning selects."""
-    return kept(stats.global_tests(kept(sections.filtered(rows, SEC, UID), "varied"), B, SEC).where("test = 'primary'"), "primary")
+    return kept(stats.primary_tests(kept(sections.filtered(rows, SEC, UID), "varied"), B, SEC), "primary")
 
 
 def rf_importance(spark, d, v=values):
@@ -510,7 +510,7 @@ def rf_importance(spark, d, v=values):
 
 def cv_accuracy(spark, d, v=values):
     rows = v(spark, d)
-    return multivariate.by_section(rows, multivariate.cross_validated, primary(rows))
+    return multivariate.cross_validated_by_section(rows, primary(rows))
 
 
 QUERIES: dict[str, Query] = {
