@@ -54,7 +54,7 @@ def analysed(rows: DataFrame, enabled: list[str] | None = None, choice: str = "n
     if "correlation" in on:
         out |= {"sample_correlation": stats.sample_correlation(rows, section, uid), "biomarker_correlation": stats.biomarker_correlation(rows, section, uid)}
     if "ranking" in on:
-        out["importance"] = multivariate.by_section(rows, lambda r, t: multivariate.importance(r, t, max_uids=max_uids, filters=filters), tests)
+        out["importance"] = multivariate.importance_by_section(rows, tests, max_uids=max_uids, filters=filters)
         out["variance_ranking"] = stats.variance_ranking(rows, section, uid)
         if tests is not None:
             out["kruskal_ranking"] = stats.ranking(tests, section)

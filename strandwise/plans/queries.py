@@ -505,7 +505,7 @@ def primary(rows: DataFrame) -> DataFrame:
 
 def rf_importance(spark, d, v=values):
     rows = v(spark, d)
-    return multivariate.by_section(rows, multivariate.importance, primary(rows))
+    return multivariate.importance_by_section(rows, primary(rows))
 
 
 def cv_accuracy(spark, d, v=values):
