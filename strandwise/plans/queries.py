@@ -19,7 +19,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), digits) + 0.0 for c in columns})
+    """Rounded as the SQL rounds: x times ten to the digits to a whole number, halves away from 0. F.round goes by the shortest decimal, where 0.0640625 is a tie; times 10^6 it is below one."""
+    scale = 10.0**digits
+    return df.withColumns({c: F.round(F.col(c) * scale) / scale + 0.0 for c in columns})
 
 
 def tree(spark, d) -> DataFrame:
@@ -339,12 +341,12 @@ B = [*SEC, UID]
 
 def values(spark, d) -> DataFrame:
     """Every level, pairing and metric as section, uid, grp, sample, rep, value; a row for each sample, null where it has none. A section is one type of one matrix, as AG_espr_exon."""
-    s = fixtures.samples(spark)
     f = fixtures.features(spark, d).select("type", F.col("feature_id").alias("uid"))
-    pairs = spark.createDataFrame([(p, m) for p in bases.EDITS for m in ("espf", "espr")], "pairing string, metric string")
-    m = long_matrix(spark, d, decimals=None).select(F.col("id").alias("uid"), "sample_idx", "pairing", "metric", "value")
-    grid = f.crossJoin(F.broadcast(pairs)).crossJoin(F.broadcast(s))  # 24 matrices of a dozen samples by construction
-    return kept(grid.join(m, ["uid", "sample_idx", "pairing", "metric"], "left").select(F.concat_ws("_", "pairing", "metric", "type").alias("section"), "uid", "grp", "sample", "rep", "value"), "values")
+    grid = f.crossJoin(F.broadcast(fixtures.samples(spark)))  # a dozen samples by construction
+    rows = rollup.feature_rows(counts(spark, d), tree(spark, d), fixtures.features(spark, d), BY)
+    rows = rows.select(F.col("id").alias("uid"), *BY, *(c for c in rows.columns if c.startswith(("qual_", "site_", "read_"))))
+    m = matrix.ratios(grid.join(rows, ["uid", *BY], "left"), SAMPLE, ["type", "uid"], decimals=None)  # counters meet samples before a row becomes one for each matrix
+    return kept(m.select(F.concat_ws("_", "pairing", "metric", "type").alias("section"), "uid", "grp", "sample", "rep", "value"), "values")
 
 
 def qc_missing(spark, d, v=values):

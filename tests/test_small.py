@@ -129,3 +129,14 @@ def test_plain_words_are_one_pre_token_without_the_pattern():
     asked = []
     c.chunk = asked.append
     assert [c.spaced(w) for w in words[:4]] and not asked
+
+
+def test_rounding_is_that_of_the_sql(spark):
+    import duckdb
+
+    from strandwise.plans import queries
+
+    ties = [s * (2 * k + 1) / 2e6 for k in range(0, 400_000, 7) for s in (1, -1)] + [0.0640625, 12.7734375, 1e12 / 3, 0.0]
+    got = [r[0] for r in queries.rounded(spark.createDataFrame([(i, x) for i, x in enumerate(ties)], "i long, x double").coalesce(1), "x").orderBy("i").select("x").collect()]
+    want = [r[0] for r in duckdb.sql(f"select round(x, 6) from (select unnest({ties}::double[]) as x)").fetchall()]
+    assert got == want and got[-4] == 0.064062
