@@ -140,3 +140,17 @@ def test_rounding_is_that_of_the_sql(spark):
     got = [r[0] for r in queries.rounded(spark.createDataFrame([(i, x) for i, x in enumerate(ties)], "i long, x double").coalesce(1), "x").orderBy("i").select("x").collect()]
     want = [r[0] for r in duckdb.sql(f"select round(x, 6) from (select unnest({ties}::double[]) as x)").fetchall()]
     assert got == want and got[-4] == 0.064062
+
+
+def test_p_values_at_ties_are_those_of_the_closed_forms():
+    from strandwise.functions import pvalues
+
+    for df in (1, 2, 3, 4, 5, 6):
+        for t in (0.0, 0.3, 1.0, 2.7, 40.0, 5e4, 3e7):
+            want = pvalues._beta(df / 2, 0.5, df / (df + t * t))
+            assert abs(pvalues.t_two_sided(-t, df) - want) <= 1e-9 * want
+            assert abs(pvalues.f_sf(t * t, 1, df) - want) <= 1e-9 * want
+            both = pvalues._beta(df / 2, 1, df / (df + 2 * t))
+            assert abs(pvalues.f_sf(t, 2, df) - both) <= 1e-9 * both
+    assert pvalues.f_sf(3.0, 2, 2) == 0.25 and pvalues.f_sf(3.0, 2, 6) == 0.125  # exactly, as in the SQL
+    assert pvalues.t_two_sided(1.0, 1) == 0.5
