@@ -13,11 +13,12 @@ class, and classes are the nodes of all that follows.
    elements with a list of two or more leaves. Lists are ordered by length: the T - 1 longest lists of a class may be
    skipped in looking for candidates, so a list is read by those for which it is among the shorter ones, apart for each pair
    of neighbouring length bands (linked sets differ in size by `percent` at most). A list's least class is its leader.
-3. Those that share a leader meet in chunks of about CHUNK, the leader in each. DivideSkip searches a chunk's lists: a query's
-   short lists are merged, its long ones are probed by binary search, and who reaches T common elements is tested for a
-   link. Pairs that are connected already need no comparison, so a large group of near copies costs about its size.
+3. Those that share a leader meet in chunks of about CHUNK (fewer of large sets), the leader in each. DivideSkip searches a
+   chunk's lists for a block of queries at a time: a query's short lists are merged, its long ones are probed, and who reaches
+   T common elements is tested for a link. Pairs that are connected already need no comparison.
 4. Chunks of one leader never met each other: whoever is not connected with the leader meets the other chunks too, more in
-   each round, until it is or has met all. So no link between different components is lost.
+   each round, until it is or has met all. So no link between different components is lost. Of a group of near copies that
+   are not linked with each other, all pairs are compared: the products of matrices keep a pair at a fraction of a microsecond.
 5. Components come from the links in Spark.
 
 Elements are 64-bit hashes; equal sets are told by size and two 64-bit sums. Rows are nodes by their set, so different texts
@@ -45,8 +46,8 @@ from .components import components, merged
 WORDS, PERCENT = 5, 80
 #: Hundredths of a set's pairs that are sent beyond those that a link may break.
 EXTRA = 5
-#: Classes that meet in one chunk, about, and how many times more chunks each round of step 4 covers.
-CHUNK, GROWTH = 64, 8
+#: Classes that meet in one chunk, about, and elements of their sets; how many times more chunks each round of step 4 covers.
+CHUNK, ELEMENTS, GROWTH = 512, 1 << 18, 8
 #: DivideSkip's weight of a probe against a merge step.
 MU = 0.0085
 #: Bits of a slot.
@@ -269,68 +270,119 @@ def lists(docs: DataFrame, node: DataFrame, text: str, doc_id: str, k: int, perc
 
 
 class Index:
-    """Inverted lists over the sets of a chunk, and DivideSkip's search in them. Lists of one document hold no link and are left out."""
+    """Inverted lists over the sets of a chunk, and DivideSkip's search in them for a block of queries at a time.
 
-    def __init__(self, found: list[np.ndarray]):
+    A list that is long for its chunk is a row of zeros and ones too (at most 16 bytes an element of the sets): a block of
+    queries is merged with or probes such lists in one product of matrices. Lists of one document hold no link between the sets.
+    """
+
+    def __init__(self, found: list[np.ndarray], least: int = 2):
         self.sets = found
         sizes = [len(s) for s in found]
-        self.begin = np.concatenate(([0], np.cumsum(sizes)))
         values = np.concatenate(found)
         order = np.argsort(values, kind="stable")  # owners ascend within a list
-        self.tokens, first, count = np.unique(values[order], return_index=True, return_counts=True)
-        self.at = np.append(first, len(values))
-        self.owners = np.repeat(np.arange(len(found)), sizes)[order]
-        self.lengths = np.empty(len(values), np.int64)
-        self.lengths[order] = np.repeat(count, count)
+        first, count = runs(values[order])
+        owners = np.repeat(np.arange(len(found)), sizes)[order]
+        use = count >= least
+        self.owners = owners[np.repeat(use, count)]
+        self.tokens, count = values[order][first[use]], count[use]
+        self.at = np.concatenate(([0], np.cumsum(count)))
+        dense = 4 * count >= len(found)
+        self.row = np.where(dense, np.cumsum(dense) - 1, -1)
+        self.bits = np.zeros((int(dense.sum()), len(found)), np.float32)
+        of = np.repeat(self.row, count)
+        self.bits[of[of >= 0], self.owners[of >= 0]] = 1
+
+    def block(self) -> int:
+        """Queries at a time, by the cells that they take."""
+        return int(max(1, min(64, (1 << 21) // (self.bits.shape[0] + len(self.sets)))))
+
+    def _counted(self, q: np.ndarray, at: np.ndarray, queries: int, columns: np.ndarray) -> np.ndarray:
+        """How often each document of columns is in the lists (at) of each query."""
+        row = self.row[at]
+        dense = row >= 0
+        asked = np.zeros((queries, len(self.bits)), np.float32)  # counts to 2^24 are exact
+        asked[q[dense], row[dense]] = 1
+        out = (asked @ self.bits[:, columns]).astype(np.int64) if dense.any() else np.zeros((queries, len(columns)), np.int64)
+        q, at = q[~dense], at[~dense]
+        if len(at):
+            size = self.at[at + 1] - self.at[at]
+            place = np.repeat(self.at[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            merged = np.bincount(np.repeat(q, size) * len(self.sets) + self.owners[place], minlength=queries * len(self.sets))
+            out += merged.reshape(queries, -1)[:, columns]
+        return out
+
+    def search_block(self, asking: list[np.ndarray], need: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, document, intersection) of the wanted documents (a mask, a row a query) with need elements of a query or more."""
+        none = np.zeros(0, np.int64)
+        values = np.concatenate(asking)
+        q = np.repeat(np.arange(len(asking)), [len(s) for s in asking])
+        if not len(self.tokens):
+            return none, none, none
+        at = np.minimum(np.searchsorted(self.tokens, values), len(self.tokens) - 1)
+        hit = self.tokens[at] == values
+        q, at = q[hit], at[hit]
+        enough = (np.bincount(q, minlength=len(asking)) >= need)[q]
+        q, at = q[enough], at[enough]
+        if not len(q):
+            return none, none, none
+        length = self.at[at + 1] - self.at[at]
+        order = np.lexsort((-length, q))
+        q, at, length = q[order], at[order], length[order]
+        first, many = runs(q)
+        longest = np.ones(len(asking))
+        longest[q[first]] = length[first]
+        skip = np.minimum(need - 1, (need / (MU * np.log2(longest) + 1)).astype(np.int64))
+        long = np.arange(len(q)) - np.repeat(first, many) < skip[q]
+        few = self._counted(q[~long], at[~long], len(asking), np.arange(len(self.sets)))  # the short lists are merged
+        maybe = wanted & (few >= (need - skip)[:, None])
+        columns = np.flatnonzero(maybe.any(0))
+        if not len(columns):
+            return none, none, none
+        n = few[:, columns] + self._counted(q[long], at[long], len(asking), columns)  # the long ones are probed
+        i, j = np.nonzero(maybe[:, columns] & (n >= need[:, None]))
+        return i, columns[j], n[i, j]
 
     def search(self, q: int, t: int, wanted: np.ndarray) -> list[tuple[int, int]]:
         """(document, intersection) of all wanted documents (a mask) with t elements of q or more."""
-        lengths = self.lengths[self.begin[q] : self.begin[q + 1]]
-        use = lengths > 1
-        if np.count_nonzero(use) < t:
-            return []
-        mine, lengths = self.sets[q][use], lengths[use]
-        order = np.argsort(lengths, kind="stable")
-        skip = min(t - 1, int(t / (MU * np.log2(lengths.max()) + 1)))
-        short, long = mine[order[: len(order) - skip]], mine[order[len(order) - skip :]]
-        where = np.searchsorted(self.tokens, short)
-        size = self.at[where + 1] - self.at[where]
-        place = np.repeat(self.at[where] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        owners = self.owners[place]
-        owners = np.sort(owners[wanted[owners]], kind="stable")  # a merge: the lists are sorted runs
-        first, times = runs(owners)
-        found = []
-        enough = times >= t - skip
-        for d, n in zip(owners[first[enough]].tolist(), times[enough].tolist(), strict=True):
-            if len(long):
-                other = self.sets[d]
-                place = np.searchsorted(other, long)  # a probe of each long list for d
-                n += int((other[np.minimum(place, len(other) - 1)] == long).sum())
-            if n >= t:
-                found.append((d, n))
-        return found
+        _, d, n = self.search_block([self.sets[q]], np.array([t]), wanted[None])
+        return list(zip(d.tolist(), n.tolist(), strict=True))
 
 
 def chunk_links(found: list[np.ndarray], sizes: list[int], percent: int, known: list[int], asks: list[bool]) -> list[tuple[int, int]]:
-    """Links (two places) that connect what is linked in a chunk. known: labels of what is connected already; asks: who searches."""
+    """Links (two places) that connect what is linked in a chunk. known: labels of what is connected already; asks: who searches.
+
+    Who does not ask lives in the chunk, and guests who ask search among those only: they meet each other where one of them lives.
+    """
     _, group = np.unique(np.array(known), return_inverse=True)  # who is connected already
     left = len(set(group.tolist()))
-    out = []
-    index = Index(found) if left > 1 else None
-    size = np.array(sizes)
-    for q in range(len(found)):
-        if left == 1:
-            break
-        if not asks[q]:
-            continue
-        wanted = (group != group[q]) & (100 * np.minimum(size, sizes[q]) >= percent * np.maximum(size, sizes[q]))
-        if not wanted.any():
+    if left == 1:
+        return []
+    size, asking = np.array(sizes), np.array(asks)
+    home = np.arange(len(found)) if asking.all() else np.flatnonzero(~asking)
+    index = Index([found[d] for d in home], 2 if len(home) == len(found) else 1)
+    searching, step, out = np.flatnonzero(asking), index.block(), []
+    for start in range(0, len(searching), step):
+        q = searching[start : start + step]
+        wanted = (group[q][:, None] != group[home]) & (100 * np.minimum(size[q][:, None], size[home]) >= percent * np.maximum(size[q][:, None], size[home]))
+        live = wanted.any(1)
+        if not live.any():
             continue
-        for d, n in index.search(q, required(sizes[q], percent), wanted):
-            if group[d] != group[q] and 100 * n >= percent * (sizes[q] + sizes[d] - n):
-                group[group == group[d]] = group[q]
+        q = q[live]
+        i, j, n = index.search_block([found[x] for x in q], (percent * size[q] + 99) // 100, wanted[live])
+        i, j = q[i], home[j]
+        link = 100 * n >= percent * (size[i] + size[j] - n)
+        i, j = i[link], j[link]
+        while len(i):
+            a, b = int(i[0]), int(j[0])
+            if group[a] != group[b]:
+                group[group == group[b]] = group[a]
                 left -= 1
-                out.append((q, d))
+                out.append((a, b))
+            apart = group[i] != group[j]
+            i, j = i[apart], j[apart]
+        if left == 1:
+            break
     return out
 
 
@@ -370,18 +422,19 @@ def prefix_lists(found: DataFrame, percent: int) -> DataFrame:
     prefix = F.slice("tokens", 1, (F.size("tokens") - t + 1).cast("int"))
     width = math.log(100 / percent) * 1.01 if percent < 100 else 1.0  # a little more, against rounding
     band = F.floor(F.log("n") / width).cast("int")
-    rows = found.select("a", band.alias("band"), F.explode(prefix).alias("token"))
-    return rows.select("a", "token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
+    rows = found.select("a", "n", band.alias("band"), F.explode(prefix).alias("token"))
+    return rows.select("a", "n", "token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
 
 
 def linked(found: DataFrame, percent: int) -> DataFrame:
     """(id, label) of all classes that are linked with another one: label is the least class reachable."""
     posting = prefix_lists(found, percent)
     leaders = posting.groupBy("token", "band").agg(F.min("a").alias("leader"), F.max("a").alias("last")).where("leader < last").drop("last")
-    pairs = posting.join(leaders, ["token", "band"]).where("a <> leader").select(F.col("a").alias("x"), "leader").distinct()
+    pairs = posting.join(leaders, ["token", "band"]).where("a <> leader").select(F.col("a").alias("x"), "n", "leader").distinct()
     pairs = stored(pairs, "meetings")
     size = pairs.count()
-    hot = pairs.groupBy("leader").count().where(F.col("count") > CHUNK).select("leader", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
+    many = F.count(F.lit(1))
+    hot = pairs.groupBy("leader").agg(F.least(many, F.ceil(F.greatest(many / CHUNK, F.sum("n") / ELEMENTS))).cast("int").alias("chunks")).where("chunks > 1")
     hot = stored(hot, "hot-leaders", size)
     split = join_small(pairs, hot, "leader")
     home = F.when(F.col("chunks").isNull(), 0).otherwise(F.pmod(F.xxhash64("x"), F.col("chunks"))).cast("int")
@@ -454,7 +507,7 @@ def linked_pairs(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     member = full.select("id", "n", "a", "b").join(node, ["n", "a", "b"]).select("id", "rep").distinct()
     found = lists(docs, node, text, doc_id, words, percent)
     named = found.join(node.select(F.col("a").alias("_a"), "rep"), F.col("a") == F.col("_a")).select("rep", "n", "tokens", "a")
-    posting = stored(prefix_lists(found, percent).join(named.select("a", "rep"), "a").select("rep", "token", "band"), "pair-postings")
+    posting = stored(prefix_lists(found, percent).select("a", "token", "band").join(named.select("a", "rep"), "a").select("rep", "token", "band"), "pair-postings")
     p, q = (posting.select("token", "band", F.col("rep").alias(f"rep{i}")) for i in "12")
     pairs = p.join(q, ["token", "band"]).where("rep1 < rep2").select("rep1", "rep2").distinct()
     one, two = (named.select(F.col("rep").alias(f"rep{i}"), F.col("n").alias(f"n{i}"), F.col("tokens").alias(f"s{i}")) for i in "12")

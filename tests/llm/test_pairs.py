@@ -47,3 +47,37 @@ def test_short_lists_are_merged_faster_than_by_a_heap():
     assert took < time.process_time() - began
     for q, got in enumerate(found):
         assert sorted(got) == [(d, n) for d, s in enumerate(sets) if (n := len(np.intersect1d(s, sets[q]))) >= t]
+
+
+def test_near_copies_without_links_meet_faster_than_pair_by_pair():
+    import time
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    base, sets = np.unique(rng.integers(0, 1 << 63, 400, np.uint64)), []
+    for i in range(192):
+        gone = rng.choice(400, 1 if i in (10, 150) else 24, replace=False)
+        sets.append(np.unique(np.concatenate((np.delete(base, gone), rng.integers(0, 1 << 63, len(gone), np.uint64)))))
+    sizes, asks = [len(s) for s in sets], [i < 128 for i in range(192)]
+    began = time.process_time()
+    found = ngram_join.chunk_links(sets, sizes, 90, list(range(192)), asks)
+    took = time.process_time() - began
+    began = time.process_time()
+    want = []
+    for i in range(128):
+        for j in range(128, 192):
+            n = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * n >= 90 * (sizes[i] + sizes[j] - n):
+                want.append((i, j))
+    assert took < (time.process_time() - began) / 4
+    assert (10, 150) in found and set(found) <= set(want)  # guests meet who lives there
+
+    def groups(links):
+        label = list(range(192))
+        for _ in sets:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    assert groups(found) == groups(want)
