@@ -14,10 +14,11 @@ STEPS = ("filter1", "filter2", "qc", "batch", "descriptive", "multivariate", "di
 MOST = 10_000
 
 
-def analysed(rows: DataFrame, enabled: list[str] | None = None, choice: str = "nonparametric", max_uids: int = multivariate.MAX_UIDS, filters: tuple[str, ...] = ("primary", "kruskal", "welch", "anova"), keep=None) -> dict[str, DataFrame]:
+def analysed(rows: DataFrame, enabled: list[str] | None = None, choice: str = "nonparametric", max_uids: int | None = None, filters: tuple[str, ...] = ("primary", "kruskal", "welch", "anova"), keep=None) -> dict[str, DataFrame]:
     """Tables by name of a long table (section, uid, grp, sample, rep, value). enabled: the steps to run (None: all); unknown ones are warned of.
 
-    choice: how the primary test is chosen. filters: tests by which learning selects, in order. keep(table, name), such as
+    choice: how the primary test is chosen. max_uids: the most that learning selects in a section (None: all for importance,
+    MAX_UIDS for classification). filters: tests by which it selects, in order. keep(table, name), such as
     plans.store.kept, stores what several steps read. Sections whose biomarkers all go have no rows in any table.
     """
     unknown = [s for s in enabled or [] if s not in STEPS]
@@ -54,12 +55,12 @@ def analysed(rows: DataFrame, enabled: list[str] | None = None, choice: str = "n
     if "correlation" in on:
         out |= {"sample_correlation": stats.sample_correlation(rows, section, uid), "biomarker_correlation": stats.biomarker_correlation(rows, section, uid)}
     if "ranking" in on:
-        out["importance"] = multivariate.importance_by_section(rows, tests, max_uids=max_uids, filters=filters)
+        out["importance"] = multivariate.importance_by_section(rows, tests, max_uids=max_uids, filters=filters, keep=keep)
         out["variance_ranking"] = stats.variance_ranking(rows, section, uid)
         if tests is not None:
             out["kruskal_ranking"] = stats.ranking(tests, section)
     if "classification" in on:
-        out["classification"] = multivariate.cross_validated_by_section(rows, tests, max_uids=max_uids, filters=filters)
+        out["classification"] = multivariate.cross_validated_by_section(rows, tests, max_uids=multivariate.MAX_UIDS if max_uids is None else max_uids, filters=filters)
     if "stability" in on:
         out["stability"] = stats.replicate_pearson(rows, section, uid)
     if "heatmap" in on:

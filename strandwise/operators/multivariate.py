@@ -1,7 +1,7 @@
 """Multivariate steps: principal components of samples, importance and cross-validated classification.
 
-Samples are few and biomarkers many, so what reaches the driver is a samples-by-samples matrix or a selection of at most
-`max_uids` biomarkers.
+Samples are few and biomarkers many, so what reaches the driver is a samples-by-samples matrix; a section's samples by its
+chosen biomarkers (for importance all that its tiers choose) are one task's.
 """
 
 from __future__ import annotations
@@ -126,8 +126,11 @@ def sample_clusters(rows: DataFrame, uid: str = "uid") -> DataFrame:
     return rows.sparkSession.createDataFrame(merges, "first string, second string, height double")
 
 
-def selected_by_section(rows: DataFrame, tests: DataFrame | None, uid: str = "uid", filters: tuple[str, ...] = ("primary",), max_uids: int = MAX_UIDS, raw: bool = True, section: str = "section") -> DataFrame:
-    """Biomarkers of each section for learning, with their place from 1, by tiers: adjusted p below 0.05 in the filters' order, then (raw) plain p, then, with fewer than ten, variance."""
+def selected_by_section(rows: DataFrame, tests: DataFrame | None, uid: str = "uid", filters: tuple[str, ...] = ("primary",), max_uids: int | None = None, raw: bool = True, section: str = "section") -> DataFrame:
+    """Biomarkers of each section for learning, with their place from 1, by tiers: adjusted p below 0.05 in the filters' order, then (raw) plain p, then, with fewer than ten, variance.
+
+    max_uids: the first so many of a section only; None: all of them.
+    """
     by = [section, uid]
     found = []
     for i, f in enumerate(filters if tests is not None else ()):
@@ -143,10 +146,11 @@ def selected_by_section(rows: DataFrame, tests: DataFrame | None, uid: str = "ui
     tiers = by_variance if tiers is None else tiers.unionByName(by_variance)
     best = tiers.groupBy(*by).agg(F.min(F.struct("tier", "worth")).alias("b"))
     place = F.row_number().over(W.partitionBy(section).orderBy("b.tier", "b.worth", uid))
-    return best.withColumn("place", place).where(F.col("place") <= max_uids).select(*by, "place")
+    best = best.withColumn("place", place).select(*by, "place")
+    return best if max_uids is None else best.where(F.col("place") <= max_uids)
 
 
-def selected(rows: DataFrame, tests: DataFrame | None, uid: str = "uid", filters: tuple[str, ...] = ("primary",), max_uids: int = MAX_UIDS, raw: bool = True) -> DataFrame:
+def selected(rows: DataFrame, tests: DataFrame | None, uid: str = "uid", filters: tuple[str, ...] = ("primary",), max_uids: int | None = None, raw: bool = True) -> DataFrame:
     """The same of one section's rows."""
     one = F.lit("").alias("_section")
     found = selected_by_section(rows.select("*", one), None if tests is None else tests.select("*", one), uid, filters, max_uids, raw, "_section")
@@ -154,34 +158,39 @@ def selected(rows: DataFrame, tests: DataFrame | None, uid: str = "uid", filters
 
 
 def _learned(rows: DataFrame, chosen: DataFrame, learn, schema: str, uid: str, section: str) -> DataFrame:
-    """learn(uids, names, x, y) -> rows of each section: x has a row a sample and a column a chosen biomarker (null as 0), y is the group's number.
+    """learn(uids, x, y) -> rows of each section: x has a row a sample and a column a chosen biomarker (null as 0), y is the group's number.
 
-    Sections of under 2 biomarkers, 4 samples or 2 groups have no rows. A section is one task's, of at most max_uids times MAX_SAMPLES numbers.
+    Sections of under 2 biomarkers, 4 samples or 2 groups have no rows. A section is one task's, of its chosen biomarkers times MAX_SAMPLES numbers at most.
     """
-    chosen = F.broadcast(chosen)  # at most max_uids a section
     cells = rows.where("grp is not null").join(chosen, [section, uid]).select(F.col(section).alias("section"), F.col(uid).alias("uid"), "place", _sample().alias("s"), "grp", F.col("value").cast("double").alias("value"))
     columns = [(section, "string"), *(tuple(c.split()) for c in schema.split(", "))]
     kinds = pa.schema([(n, {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}[k]) for n, k in columns])
 
+    def coded(column: pa.ChunkedArray) -> tuple[list, np.ndarray]:
+        """Distinct values, and the place of each row's among them."""
+        c = column.combine_chunks().dictionary_encode()
+        return c.dictionary.to_pylist(), c.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
     def one(table: pa.Table) -> pa.Table:
-        c = {n: table.column(n).to_pylist() for n in ("uid", "place", "s", "grp", "value")}
-        uids = dict(sorted(zip(c["place"], c["uid"], strict=True)))
-        names = sorted(set(zip(c["s"], c["grp"], strict=True)))
+        (samples, s), (of, g) = coded(table.column("s")), coded(table.column("grp"))
+        _, first, j = np.unique(table.column("place").to_numpy(), return_index=True, return_inverse=True)
+        pairs, i = np.unique(s * len(of) + g, return_inverse=True)
+        names = [(samples[p // len(of)], of[p % len(of)]) for p in pairs.tolist()]
+        order = sorted(range(len(names)), key=names.__getitem__)
         groups = sorted({g for _, g in names})
         found = []
-        if len(uids) >= 2 and len(names) >= 4 and len(groups) >= 2:
+        if len(first) >= 2 and len(names) >= 4 and len(groups) >= 2:
             if len(names) > MAX_SAMPLES:
                 raise ValueError(f"more than {MAX_SAMPLES} samples")
-            row, column = {n: i for i, n in enumerate(names)}, {p: i for i, p in enumerate(uids)}
-            i = np.array([row[n] for n in zip(c["s"], c["grp"], strict=True)])
-            j = np.array([column[p] for p in c["place"]])
-            if len(set(zip(i.tolist(), j.tolist(), strict=True))) < len(i):
+            i = np.argsort(order)[i]
+            if len(np.unique(i * len(first) + j)) < len(i):
                 raise ValueError("a sample has several values of a biomarker")
-            x = np.zeros((len(names), len(uids)))
-            x[i, j] = np.nan_to_num(np.array(c["value"], float), nan=0.0, posinf=np.inf, neginf=-np.inf)
-            found = learn(list(uids.values()), x, np.array([groups.index(g) for _, g in names]))
+            x = np.zeros((len(names), len(first)))
+            x[i, j] = np.nan_to_num(table.column("value").to_numpy(), nan=0.0, posinf=np.inf, neginf=-np.inf)
+            found = learn(table.column("uid").take(pa.array(first)).to_pylist(), x, np.array([groups.index(names[n][1]) for n in order]))
+        found = list(zip(*found, strict=True)) or [()] * (len(kinds) - 1)
         name = table.column("section")[0].as_py()
-        return pa.Table.from_pylist([dict(zip(kinds.names, (name, *r), strict=True)) for r in found], kinds)
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip([[name] * len(found[0]), *found], kinds.types, strict=True)], schema=kinds)
 
     return cells.groupBy("section").applyInArrow(one, ", ".join(f"{n} {k}" for n, k in columns))
 
@@ -192,17 +201,21 @@ def _alone(step, rows: DataFrame, tests: DataFrame | None, **how) -> DataFrame:
     return step(rows.select("*", one), None if tests is None else tests.select("*", one), section="_section", **how).drop("_section")
 
 
-def importance_by_section(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 100, depth: int = 10, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",), section: str = "section") -> DataFrame:
-    """Random forest importance of each section's chosen biomarkers; none with under 4 samples, 2 biomarkers or 2 groups. A section's forest grows in one task."""
+def importance_by_section(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 100, depth: int = 10, max_uids: int | None = None, filters: tuple[str, ...] = ("primary",), section: str = "section", keep=None) -> DataFrame:
+    """Random forest importance of each section's chosen biomarkers, all of them unless max_uids is given; none with under 4 samples, 2 biomarkers or 2 groups. A section's forest grows in one task.
+
+    keep(table, name), such as plans.store.kept, stores the choice, so that Spark knows whether it is small enough to broadcast.
+    """
 
     def learn(uids, x, y):
         grown = forest(x, y, y.max() + 1, trees, depth, SEED)
         return [(u, float(v)) for u, v in zip(uids, importances(grown), strict=True)]
 
-    return _learned(rows, selected_by_section(rows, tests, uid, filters, max_uids, section=section), learn, f"{uid} string, importance double", uid, section)
+    chosen = selected_by_section(rows, tests, uid, filters, max_uids, section=section)
+    return _learned(rows, chosen if keep is None else keep(chosen, "chosen"), learn, f"{uid} string, importance double", uid, section)
 
 
-def importance(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 100, depth: int = 10, max_uids: int = MAX_UIDS, filters: tuple[str, ...] = ("primary",)) -> DataFrame:
+def importance(rows: DataFrame, tests: DataFrame | None = None, uid: str = "uid", trees: int = 100, depth: int = 10, max_uids: int | None = None, filters: tuple[str, ...] = ("primary",)) -> DataFrame:
     """The same of one section's rows."""
     return _alone(importance_by_section, rows, tests, uid=uid, trees=trees, depth=depth, max_uids=max_uids, filters=filters)
 
@@ -254,7 +267,7 @@ def cross_validated_by_section(rows: DataFrame, tests: DataFrame | None = None,
                 hits.setdefault(name, []).append(float((s == y[~inside]).mean()))
         return [(n, len(v), float(np.mean(v)), float(np.std(v))) for n, v in hits.items()]
 
-    chosen = selected_by_section(rows, tests, uid, filters, max_uids, False, section)
+    chosen = F.broadcast(selected_by_section(rows, tests, uid, filters, max_uids, False, section))  # at most max_uids a section
     return _learned(rows, chosen, learn, "model string, folds int, accuracy double, std double", uid, section)
 
 

@@ -82,8 +82,12 @@ def voted(trees: list[Tree], x: np.ndarray) -> np.ndarray:
 
 def importances(trees: list[Tree]) -> np.ndarray:
     """Shares of the features in the gains of each tree, averaged over the trees that split, 1 in all (0 without a split)."""
-    shares = [t.gains / t.gains.sum() for t in trees if t.gains.sum() > 0]
-    mean = np.mean(shares, axis=0) if shares else np.zeros(len(trees[0].gains))
+    mean, split = np.zeros(len(trees[0].gains)), 0
+    for t in trees:  # one by one: features may be many
+        if (whole := t.gains.sum()) > 0:
+            mean += t.gains / whole
+            split += 1
+    mean /= split or 1
     return mean / (mean.sum() or 1.0)
 
 

@@ -507,7 +507,7 @@ def primary(rows: DataFrame) -> DataFrame:
 
 def rf_importance(spark, d, v=values):
     rows = v(spark, d)
-    return multivariate.importance_by_section(rows, primary(rows))
+    return multivariate.importance_by_section(rows, primary(rows), keep=kept)
 
 
 def cv_accuracy(spark, d, v=values):

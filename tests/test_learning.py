@@ -92,3 +92,18 @@ def test_discriminant_is_that_of_the_inverse_covariance():
         inverse = np.linalg.pinv(cov + 1e-6 * np.trace(cov) / d * np.eye(d))
         score = q @ inverse @ means.T - 0.5 * np.einsum("ij,jk,ik->i", means, inverse, means) + np.log(1 / 3)
         assert (multivariate._discriminant(x, y, q) == score.argmax(1)).all()
+
+
+def test_importance_covers_all_chosen_biomarkers(spark):
+    n = spark.range(2 * 12 * 700).selectExpr("id div 8400 as k", "id div 700 % 12 as s", "id % 700 as u")
+    value = F.pmod(F.xxhash64("k", "s", "u"), F.lit(1009)) / 1009 + F.when(F.col("u") == 650, F.col("s") % 3 * 5).otherwise(0)
+    rows = n.select(F.concat(F.lit("sec"), "k").alias("section"), F.concat(F.lit("u"), "u").alias("uid"), F.concat(F.lit("g"), F.col("s") % 3).alias("grp"), F.concat(F.lit("s"), "s").alias("sample"), F.lit("r").alias("rep"), value.alias("value"))
+    tests = rows.select("section", "uid").distinct().select("*", F.lit("primary").alias("test"), F.lit(0.01).alias("pval"), (F.substring("uid", 2, 9).cast("int") / 20000).alias("padj"))
+    for given in (None, tests):  # chosen by variance, or by tests in the order of u
+        got = multivariate.importance_by_section(rows, given).collect()
+        assert len({(r.section, r.uid) for r in got}) == len(got) == 1400  # no cut at 500
+        for k in ("sec0", "sec1"):
+            of = {r.uid: r.importance for r in got if r.section == k}
+            assert abs(sum(of.values()) - 1) < 1e-9 and of["u650"] > 3 / 700
+    few = multivariate.importance_by_section(rows, tests, max_uids=500).collect()
+    assert len(few) == 1000 and "u650" not in {r.uid for r in few}
